@@ -43,12 +43,14 @@ def join_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
     condition (hash/sort-merge join, never a nested loop); versions per key
     are bounded by the number of loads.  Events before the first load of
     their key match nothing."""
-    d = dim.select(F.col(key).alias("_pit_key"), "effective_start_date", "effective_end_date",
+    d = dim.select(F.col(key).alias("_pit_key"),
+                   F.col("effective_start_date").alias("_pit_start"),
+                   F.col("effective_end_date").alias("_pit_end"),
                    *[F.col(c).alias(prefix + c) for c in dim_cols])
     cond = ((fact[key] == d["_pit_key"])
-            & (fact[event_col] >= d["effective_start_date"])
-            & (fact[event_col] < d["effective_end_date"]))
-    return fact.join(d, cond, how).drop("_pit_key")
+            & (fact[event_col] >= d["_pit_start"])
+            & (fact[event_col] < d["_pit_end"]))
+    return fact.join(d, cond, how).drop("_pit_key", "_pit_start", "_pit_end")
 
 
 def join_calendar(fact: DataFrame, dim_date: DataFrame, cols: Sequence[str],

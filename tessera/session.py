@@ -68,6 +68,7 @@ def local_test_session(app: str = "tessera", cores: str = "*",
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
