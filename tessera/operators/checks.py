@@ -6,11 +6,11 @@ specs into one summary frame (one row per check, ``failures`` = rows the
 assertion returns) and ``enforce`` raises when any check failed.
 
 Scale notes: every check is an aggregation with map-side combine, so a hot
-value costs one row per map task; all ``not_null`` checks of a table share a
-single scan and aggregate; all single-column ``unique`` checks of a table
-share a single scan and shuffle; ``relationships`` anti-joins the *distinct*
+value costs one row per map task; ``relationships`` anti-joins the *distinct*
 child keys (with their row counts) against the parent keys, so a child key
-repeated a billion times is one row on the join.
+repeated a billion times is one row on the join.  ``run_checks`` evaluates a
+whole catalogue with one scan per table and a fixed number of shuffles,
+however many checks there are (see below).
 """
 
 from __future__ import annotations
@@ -98,60 +98,98 @@ def null_counts(df: DataFrame, cols: Sequence[str], where: str | None = None) ->
 # ---------------------------------------------------------------------------
 # catalogue evaluation
 # ---------------------------------------------------------------------------
-def _unique_counts(df: DataFrame, cols: Sequence[str], where: str | None) -> DataFrame:
-    """Duplicated-value count for several columns with one scan and shuffle."""
-    tagged = _scoped(df, where).select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        for c in cols])).alias("t")).select("t.*")
-    dups = (tagged.filter(F.col("value").isNotNull())
-            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > 1))
-    found = dups.groupBy("column_name").agg(F.count(F.lit(1)).alias("failures"))
-    # columns without duplicates still get a row
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    return names.join(F.broadcast(found), "column_name", "left").select(
-        "column_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
-
-
-def _summary(spec: CheckSpec, failures: DataFrame) -> DataFrame:
-    return failures.select(
-        F.lit(spec.check_id).alias("check_id"), F.lit(spec.model).alias("model"),
-        F.lit(spec.test).alias("test"), F.lit(spec.column_name).alias("column_name"),
-        F.col("failures").cast("bigint").alias("failures"))
+# Every check reduces to counting tagged values:
+#   unique / unique_combination -> values (or column tuples) seen more than once
+#   not_null                    -> rows whose column is NULL
+#   relationships               -> child rows whose value has no parent row
+# so each table is scanned once, emitting (check_idx, value) tags for all of
+# its checks; one aggregation counts every (check, value) pair across all
+# tables (map-side combined: a hot value is one row per map task), parent keys
+# are tagged the same way, and one anti join on (check_idx, value) — both
+# sides already hash-partitioned on it — finds the orphans.
+_NULL_TAG = "<null>"
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _tag(spec_idx: int, spec: CheckSpec) -> str:
+    """SQL for one check's tag: a (check_idx, value) struct, or NULL when the
+    row contributes nothing to the check."""
+    cols = [_q(c) for c in spec.columns]
+    if spec.test in ("unique", "relationships"):
+        cond, value = f"{cols[0]} IS NOT NULL", f"CAST({cols[0]} AS STRING)"
+    elif spec.test == "not_null":
+        cond, value = f"{cols[0]} IS NULL", f"'{_NULL_TAG}'"
+    elif spec.test == "unique_combination":
+        # NULL members group together, fields are named: injective encoding
+        fields = ", ".join(f"'{c}', CAST({q} AS STRING)" for c, q in zip(spec.columns, cols))
+        cond, value = "TRUE", f"to_json(named_struct({fields}))"
+    else:
+        raise ValueError(f"unknown test {spec.test!r}")
+    if spec.where:
+        cond = f"({cond}) AND coalesce(({spec.where}), FALSE)"
+    return (f"CASE WHEN {cond} THEN named_struct('check_idx', {spec_idx}, 'value', {value}) END")
+
+
+def _tagged(df: DataFrame, tags: list[str]) -> DataFrame:
+    """One scan of ``df`` emitting every tag of its checks (one SQL
+    expression, parsed on the JVM side)."""
+    expr = f"explode(filter(array({', '.join(tags)}), t -> t IS NOT NULL)) AS t"
+    return df.selectExpr(expr).selectExpr("t.check_idx AS check_idx", "t.value AS value")
 
 
 def run_checks(tables: Mapping[str, DataFrame], specs: Sequence[CheckSpec]) -> DataFrame:
-    """Evaluate ``specs`` against ``tables`` (model name → DataFrame)."""
-    parts: list[DataFrame] = []
-    grouped: dict[tuple[str, str, str | None], list[CheckSpec]] = defaultdict(list)
-    for s in specs:
-        if s.test in ("not_null", "unique"):
-            grouped[(s.model, s.test, s.where)].append(s)
-            continue
-        df = tables[s.model]
+    """Evaluate ``specs`` against ``tables`` (model name -> DataFrame) into one
+    summary row per check."""
+    spark = next(iter(tables.values())).sparkSession
+    by_table: dict[str, list] = defaultdict(list)
+    parents: dict[str, list] = defaultdict(list)
+    for i, s in enumerate(specs):
+        by_table[s.model].append(_tag(i, s))
         if s.test == "relationships":
-            bad = check_relationships(df, s.columns[0], tables[s.to], s.field, s.where)
-            parts.append(_summary(s, bad.agg(F.coalesce(F.sum("n_records"), F.lit(0))
-                                             .alias("failures"))))
-        elif s.test == "unique_combination":
-            bad = check_unique_combination(df, list(s.columns), s.where)
-            parts.append(_summary(s, bad.agg(F.count(F.lit(1)).alias("failures"))))
-        else:
-            raise ValueError(f"unknown test {s.test!r}")
-    for (model, test, where), group in grouped.items():
-        cols = [s.columns[0] for s in group]
-        counts = (null_counts(tables[model], cols, where) if test == "not_null"
-                  else _unique_counts(tables[model], cols, where))
-        by_col = {s.columns[0]: s for s in group}
-        ids = counts.sparkSession.createDataFrame(
-            [(c, by_col[c].check_id, model, test) for c in cols],
-            "column_name string, check_id string, model string, test string")
-        parts.append(counts.join(F.broadcast(ids), "column_name")
-                     .select(*SUMMARY_COLUMNS))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            parents[s.to].append(
+                f"named_struct('check_idx', {i}, 'value', CAST({_q(s.field)} AS STRING))")
+    child = None
+    for model, tags in by_table.items():
+        part = _tagged(tables[model], tags)
+        child = part if child is None else child.unionByName(part)
+    counts = child.groupBy("check_idx", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    ids = defaultdict(list)
+    for i, s in enumerate(specs):
+        ids[s.test].append(i)
+    if parents:
+        pkeys = None
+        for model, tags in parents.items():
+            p = (tables[model].selectExpr(f"explode(array({', '.join(tags)})) AS t")
+                 .selectExpr("t.check_idx AS check_idx", "t.value AS value")
+                 .filter(F.col("value").isNotNull()))
+            pkeys = p if pkeys is None else pkeys.unionByName(p)
+        pkeys = pkeys.distinct().withColumn("has_parent", F.lit(True))
+        # same (check_idx, value) hash partitioning on both sides: no reshuffle
+        counts = counts.join(pkeys, ["check_idx", "value"], "left")
+    else:
+        counts = counts.withColumn("has_parent", F.lit(None).cast("boolean"))
+    # one pass computes every check's contribution, so the per-(check, value)
+    # counts are produced once and never re-derived per check family
+    idx, n = F.col("check_idx"), F.col("n")
+    contribution = (
+        F.when(idx.isin(ids["unique"] + ids["unique_combination"]),
+               F.when(n > 1, F.lit(1)).otherwise(F.lit(0)))
+        .when(idx.isin(ids["not_null"]), n)
+        .when(idx.isin(ids["relationships"]),
+              F.when(F.col("has_parent").isNull(), n).otherwise(F.lit(0)))
+        .otherwise(F.lit(0)).cast("bigint"))
+    per_check = counts.groupBy("check_idx").agg(F.sum(contribution).alias("failures"))
+    meta = spark.createDataFrame(
+        [(i, s.check_id, s.model, s.test, s.column_name) for i, s in enumerate(specs)],
+        "check_idx int, check_id string, model string, test string, column_name string")
+    # per_check has at most one row per check: a bounded broadcast
+    return (meta.join(F.broadcast(per_check), "check_idx", "left")
+            .select("check_id", "model", "test", "column_name",
+                    F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
 
 
 def enforce(summary: DataFrame) -> None:

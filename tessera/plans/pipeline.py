@@ -125,19 +125,21 @@ def build_gold(wh: Warehouse, threads: int = DEFAULT_THREADS) -> None:
 # ---------------------------------------------------------------------------
 # checks
 # ---------------------------------------------------------------------------
-def model_tables(wh: Warehouse) -> dict[str, DataFrame]:
-    """Every stored model by name (bronze, silver, gold)."""
-    out: dict[str, DataFrame] = {}
-    for name in BRONZE.values():
-        if wh.exists("bronze", name):
-            out[name] = wh.read("bronze", name)
-    for spec in [*HUBS, *LINKS, *SATELLITES]:
-        if wh.exists("silver", spec.name):
-            out[spec.name] = wh.read("silver", spec.name)
-    for name in GOLD_DIMS + GOLD_FACTS:
-        if wh.exists("gold", name):
-            out[name] = wh.read("gold", name)
-    return out
+def model_tables(wh: Warehouse, threads: int = 8) -> dict[str, DataFrame]:
+    """Every stored model by name (bronze, silver, gold).  Resolving a table
+    lists its files and reads a footer on the driver, so it is done
+    concurrently."""
+    wanted = ([("bronze", n) for n in BRONZE.values()]
+              + [("silver", s.name) for s in [*HUBS, *LINKS, *SATELLITES]]
+              + [("gold", n) for n in GOLD_DIMS + GOLD_FACTS])
+
+    def resolve(item: tuple[str, str]) -> tuple[str, DataFrame | None]:
+        layer, name = item
+        return name, (wh.read(layer, name) if wh.exists(layer, name) else None)
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        found = list(pool.map(resolve, wanted))
+    return {name: df for name, df in found if df is not None}
 
 
 def source_tables(tables: DriverTables, batch: int = 3) -> dict[str, DataFrame]:
