@@ -9,7 +9,8 @@ fifth score in batch 2 and reverts every tenth in batch 3 (A→B→A), moves eve
 seventh customer in batch 3 and changes every third balance from batch 2 on.
 
 Every extract is a narrow projection of one scan; the only joins are to
-``nation``/``region``, which have a fixed 25/5 rows and are broadcast.
+``nation``/``region`` (25 / 5 rows), which Spark broadcasts on its own size
+threshold — no hint is needed or given.
 """
 
 from __future__ import annotations
@@ -30,9 +31,6 @@ BATCH_SOURCES = {
     2: ["customers", "accounts"],
     3: ["customers", "accounts", "cards", "branches", "loans", "merchants", "transactions"],
 }
-# nation / region are the fixed 25- and 5-row TPC-H tables
-FIXED_DIMENSION_TABLES = {"nation", "region"}
-
 
 def stamp(batch: int) -> Column:
     return F.lit(BATCH_STAMPS[batch]).cast("timestamp_ntz")
@@ -50,8 +48,7 @@ class DriverTables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return F.broadcast(df) if name in FIXED_DIMENSION_TABLES else df
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- the seven raw sources -------------------------------------------------
     def customers(self, b: int) -> DataFrame:
