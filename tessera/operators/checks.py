@@ -103,10 +103,11 @@ def null_counts(df: DataFrame, cols: Sequence[str], where: str | None = None) ->
 #   not_null                    -> rows whose column is NULL
 #   relationships               -> child rows whose value has no parent row
 # so each table is scanned once, emitting (check_idx, value) tags for all of
-# its checks; one aggregation counts every (check, value) pair across all
-# tables (map-side combined: a hot value is one row per map task), parent keys
-# are tagged the same way, and one anti join on (check_idx, value) — both
-# sides already hash-partitioned on it — finds the orphans.
+# its checks, and parent tables emit their keys as (check_idx, value) tags
+# flagged as parents.  One aggregation over all tags counts child rows per
+# (check, value) and notes whether a parent row exists (map-side combined: a
+# hot value is one row per map task); orphans are the groups with child rows
+# and no parent.  The whole catalogue is one shuffle plus a tiny one.
 _NULL_TAG = "<null>"
 
 
@@ -130,14 +131,18 @@ def _tag(spec_idx: int, spec: CheckSpec) -> str:
         raise ValueError(f"unknown test {spec.test!r}")
     if spec.where:
         cond = f"({cond}) AND coalesce(({spec.where}), FALSE)"
-    return (f"CASE WHEN {cond} THEN named_struct('check_idx', {spec_idx}, 'value', {value}) END")
+    return (f"CASE WHEN {cond} THEN named_struct('check_idx', {spec_idx}, 'value', {value}, "
+            f"'parent', false) END")
 
 
 def _tagged(df: DataFrame, tags: list[str]) -> DataFrame:
     """One scan of ``df`` emitting every tag of its checks (one SQL
     expression, parsed on the JVM side)."""
-    expr = f"explode(filter(array({', '.join(tags)}), t -> t IS NOT NULL)) AS t"
-    return df.selectExpr(expr).selectExpr("t.check_idx AS check_idx", "t.value AS value")
+    # explode + IS NOT NULL stay in whole-stage codegen (a filter() lambda
+    # would be interpreted row by row)
+    expr = f"explode(array({', '.join(tags)})) AS t"
+    return (df.selectExpr(expr).where("t IS NOT NULL")
+            .selectExpr("t.check_idx AS check_idx", "t.value AS value", "t.parent AS parent"))
 
 
 def run_checks(tables: Mapping[str, DataFrame], specs: Sequence[CheckSpec]) -> DataFrame:
@@ -145,33 +150,27 @@ def run_checks(tables: Mapping[str, DataFrame], specs: Sequence[CheckSpec]) -> D
     summary row per check."""
     spark = next(iter(tables.values())).sparkSession
     by_table: dict[str, list] = defaultdict(list)
-    parents: dict[str, list] = defaultdict(list)
+    parents: dict[str, list[str]] = defaultdict(list)
     for i, s in enumerate(specs):
         by_table[s.model].append(_tag(i, s))
         if s.test == "relationships":
             parents[s.to].append(
-                f"named_struct('check_idx', {i}, 'value', CAST({_q(s.field)} AS STRING))")
-    child = None
-    for model, tags in by_table.items():
-        part = _tagged(tables[model], tags)
-        child = part if child is None else child.unionByName(part)
-    counts = child.groupBy("check_idx", "value").agg(F.count(F.lit(1)).alias("n"))
-
+                f"CASE WHEN {_q(s.field)} IS NOT NULL THEN named_struct('check_idx', {i}, "
+                f"'value', CAST({_q(s.field)} AS STRING), 'parent', true) END")
+    # parent keys of relationship checks are tagged into the same stream, and
+    # a table that is both checked and referenced is still scanned once
+    for m, tags in parents.items():
+        by_table[m].extend(tags)
+    tagged = [_tagged(tables[m], tags) for m, tags in by_table.items()]
+    stream = tagged[0]
+    for t in tagged[1:]:
+        stream = stream.unionByName(t)
+    counts = stream.groupBy("check_idx", "value").agg(
+        F.count_if(~F.col("parent")).alias("n"),
+        F.max("parent").alias("has_parent"))
     ids = defaultdict(list)
     for i, s in enumerate(specs):
         ids[s.test].append(i)
-    if parents:
-        pkeys = None
-        for model, tags in parents.items():
-            p = (tables[model].selectExpr(f"explode(array({', '.join(tags)})) AS t")
-                 .selectExpr("t.check_idx AS check_idx", "t.value AS value")
-                 .filter(F.col("value").isNotNull()))
-            pkeys = p if pkeys is None else pkeys.unionByName(p)
-        pkeys = pkeys.distinct().withColumn("has_parent", F.lit(True))
-        # same (check_idx, value) hash partitioning on both sides: no reshuffle
-        counts = counts.join(pkeys, ["check_idx", "value"], "left")
-    else:
-        counts = counts.withColumn("has_parent", F.lit(None).cast("boolean"))
     # one pass computes every check's contribution, so the per-(check, value)
     # counts are produced once and never re-derived per check family
     idx, n = F.col("check_idx"), F.col("n")
@@ -180,7 +179,7 @@ def run_checks(tables: Mapping[str, DataFrame], specs: Sequence[CheckSpec]) -> D
                F.when(n > 1, F.lit(1)).otherwise(F.lit(0)))
         .when(idx.isin(ids["not_null"]), n)
         .when(idx.isin(ids["relationships"]),
-              F.when(F.col("has_parent").isNull(), n).otherwise(F.lit(0)))
+              F.when(~F.col("has_parent"), n).otherwise(F.lit(0)))
         .otherwise(F.lit(0)).cast("bigint"))
     per_check = counts.groupBy("check_idx").agg(F.sum(contribution).alias("failures"))
     meta = spark.createDataFrame(
