@@ -12,6 +12,9 @@ multi-threaded model runner; dependent models wait for their inputs.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -39,6 +42,18 @@ from tessera.sources.store import Warehouse
 DEFAULT_THREADS = 4
 
 
+def _traced(name: str, fn: Callable[[], None]) -> Callable[[], None]:
+    """Wrap a model write; with TESSERA_TRACE set, print its wall time."""
+    if not os.environ.get("TESSERA_TRACE"):
+        return fn
+
+    def run() -> None:
+        t = time.perf_counter()
+        fn()
+        print(f"[tessera] {name}: {time.perf_counter() - t:.2f}s", file=sys.stderr)
+    return run
+
+
 def _run_all(tasks: Iterable[Callable[[], None]], threads: int) -> None:
     tasks = list(tasks)
     if threads <= 1 or len(tasks) <= 1:
@@ -56,9 +71,9 @@ def _run_all(tasks: Iterable[Callable[[], None]], threads: int) -> None:
 def load_bronze(wh: Warehouse, sources: Mapping[str, DataFrame], loaded_at: Column | str,
                 record_source: str = RECORD_SOURCE, threads: int = DEFAULT_THREADS) -> None:
     def task(src: str, df: DataFrame) -> Callable[[], None]:
-        return lambda: wh.write_full(
+        return _traced(BRONZE[src], lambda: wh.write_full(
             extract_bronze(df, BRONZE_COLUMNS[src], loaded_at, record_source),
-            "bronze", BRONZE[src])
+            "bronze", BRONZE[src]))
     _run_all([task(s, d) for s, d in sources.items()], threads)
 
 
@@ -67,20 +82,20 @@ def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int) -> list[Call
     for src in sources:
         hubs, links, sats = silver_for_source(src)
         for spec in hubs:
-            tasks.append(lambda spec=spec: wh.write_batch(
+            tasks.append(_traced(spec.name, lambda spec=spec: wh.write_batch(
                 load_hub(wh.read("bronze", BRONZE[spec.source]), spec,
                          wh.read_before("silver", spec.name, batch)),
-                "silver", spec.name, batch))
+                "silver", spec.name, batch)))
         for spec in links:
-            tasks.append(lambda spec=spec: wh.write_batch(
+            tasks.append(_traced(spec.name, lambda spec=spec: wh.write_batch(
                 load_link(wh.read("bronze", BRONZE[spec.source]), spec,
                           wh.read_before("silver", spec.name, batch)),
-                "silver", spec.name, batch))
+                "silver", spec.name, batch)))
         for spec in sats:
-            tasks.append(lambda spec=spec: wh.write_batch(
+            tasks.append(_traced(spec.name, lambda spec=spec: wh.write_batch(
                 load_satellite(wh.read("bronze", BRONZE[spec.source]), spec,
                                wh.read_before("silver", spec.name, batch)),
-                "silver", spec.name, batch))
+                "silver", spec.name, batch)))
     return tasks
 
 
@@ -118,8 +133,10 @@ def gold_model(wh: Warehouse, name: str) -> DataFrame:
 
 def build_gold(wh: Warehouse, threads: int = DEFAULT_THREADS) -> None:
     first = [m for m in GOLD_DIMS + GOLD_FACTS if m != "dim_customer"]
-    _run_all([lambda m=m: wh.write_full(gold_model(wh, m), "gold", m) for m in first], threads)
-    wh.write_full(gold_model(wh, "dim_customer"), "gold", "dim_customer")
+    _run_all([_traced(m, lambda m=m: wh.write_full(gold_model(wh, m), "gold", m))
+              for m in first], threads)
+    _traced("dim_customer",
+            lambda: wh.write_full(gold_model(wh, "dim_customer"), "gold", "dim_customer"))()
 
 
 # ---------------------------------------------------------------------------
