@@ -5,11 +5,12 @@ first load); the result is exactly the rows to append.
 
 Physical shape, per load:
 
-* hub / link: one shuffle of the incoming rows on the hash key; the
-  first-seen dedup (row_number = 1 → WindowGroupLimit, with a partial limit
-  before the shuffle, so a key repeated a million times ships one row per
-  map task) and the anti join against the stored keys both run on that
-  partitioning.
+* hub / link: the first-seen dedup (row_number = 1 → WindowGroupLimit) gets
+  a *partial* limit before its shuffle, so an id repeated a million times
+  ships one row per map task; the anti join against the stored keys then
+  shuffles only the deduplicated rows.  (An explicit repartition on the key
+  would save that second, small shuffle but blocks the partial limit — a hot
+  id would then ship every copy.)
 * satellite: the stored side is pruned to (key, load_date, hashdiff) and cut
   to the latest row per key before its shuffle; the incoming side shuffles
   once on the key; then a left join and the change filter.  Versions per key
@@ -55,7 +56,9 @@ def only_new(df: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
     the stored keys."""
     if existing is None:
         return df
-    return df.join(existing.select(key), on=key, how="left_anti")
+    # the stored keys grow with history: always a shuffled (merge) join, never
+    # a broadcast funnelled through the driver
+    return df.join(existing.select(key).hint("merge"), on=key, how="left_anti")
 
 
 def new_or_changed(incoming: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
@@ -65,7 +68,7 @@ def new_or_changed(incoming: DataFrame, existing: DataFrame | None, key: str) ->
         return incoming
     latest = latest_version(existing.select(key, "load_date", "hashdiff"), key)
     current = latest.select(key, F.col("hashdiff").alias("_cv_hashdiff"))
-    return (incoming.join(current, on=key, how="left")
+    return (incoming.join(current.hint("merge"), on=key, how="left")
             .filter(F.col("_cv_hashdiff").isNull()
                     | (F.col("hashdiff") != F.col("_cv_hashdiff")))
             .select(*incoming.columns))
@@ -133,8 +136,7 @@ def load_hub(bronze: DataFrame, spec: HubSpec, existing: DataFrame | None = None
     """Hub rows to append: first sighting per business id, keys not stored."""
     staged = (bronze
               .select(F.col(spec.id_col).alias("_bk"), "_loaded_at", "record_source")
-              .withColumn(spec.key_col, hub_key("_bk"))
-              .repartition(spec.key_col))
+              .withColumn(spec.key_col, hub_key("_bk")))
     first = dedup_first(staged, [spec.key_col, "_bk"], "_loaded_at", tiebreak=["record_source"])
     out = first.select(
         spec.key_col,
@@ -150,8 +152,7 @@ def load_link(bronze: DataFrame, spec: LinkSpec, existing: DataFrame | None = No
     ids = [id_col for _, id_col in spec.hubs]
     staged = (bronze
               .select(*ids, "_loaded_at", "record_source")
-              .withColumn(spec.link_key, hub_key(*ids))
-              .repartition(spec.link_key))
+              .withColumn(spec.link_key, hub_key(*ids)))
     first = dedup_first(staged, [spec.link_key, *ids], "_loaded_at", tiebreak=["record_source"])
     out = first.select(
         spec.link_key,

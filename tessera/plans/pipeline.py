@@ -39,7 +39,7 @@ from tessera.schemas import RECORD_SOURCE
 from tessera.sources.driver_tables import BATCH_SOURCES, DriverTables, stamp
 from tessera.sources.store import Warehouse
 
-DEFAULT_THREADS = 4
+DEFAULT_THREADS = 8
 
 
 def _traced(name: str, fn: Callable[[], None]) -> Callable[[], None]:
@@ -100,9 +100,19 @@ def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int) -> list[Call
 
 
 def run_batch(wh: Warehouse, sources: Mapping[str, DataFrame], loaded_at: Column | str,
-              batch: int, threads: int = DEFAULT_THREADS) -> None:
-    load_bronze(wh, sources, loaded_at, threads=threads)
-    _run_all(silver_tasks(wh, sources.keys(), batch), threads)
+              batch: int, threads: int = DEFAULT_THREADS,
+              record_source: str = RECORD_SOURCE) -> None:
+    """One load.  Each source's silver models start as soon as *its* bronze
+    table is written (no barrier across sources), so a large extract does not
+    hold back the models of the small ones."""
+    def per_source(src: str, df: DataFrame) -> Callable[[], None]:
+        def run() -> None:
+            _traced(BRONZE[src], lambda: wh.write_full(
+                extract_bronze(df, BRONZE_COLUMNS[src], loaded_at, record_source),
+                "bronze", BRONZE[src]))()
+            _run_all(silver_tasks(wh, [src], batch), threads)
+        return run
+    _run_all([per_source(s, d) for s, d in sources.items()], threads)
 
 
 # ---------------------------------------------------------------------------
