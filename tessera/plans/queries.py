@@ -35,7 +35,7 @@ from tessera.plans.check_specs import CHECK_SPECS
 from tessera.plans.models import BRONZE_COLUMNS, HUB, LINK, SAT
 from tessera.plans.pipeline import build_warehouse, model_tables, source_tables
 from tessera.schemas import RECORD_SOURCE, TRANSACTION_ID_WIDTH, ID_WIDTH
-from tessera.session import configure_session, scratch_root
+from tessera.session import application_id, configure_session, scratch_root
 from tessera.sources.driver_tables import BATCH_SOURCES, DriverTables, stamp
 from tessera.sources.store import Warehouse
 
@@ -48,7 +48,7 @@ _LOCK = threading.Lock()
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of ``sf_dir`` for this application (built on first use)."""
     configure_session(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (application_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         if key not in _BUILT:
             root = f"{scratch_root(spark)}/tessera-warehouse/{uuid.uuid4().hex}"

@@ -32,6 +32,23 @@ def configure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+        if current:
+            return current
+    except Exception:  # no SparkContext handle (e.g. a Connect session)
+        pass
+    return spark.conf.get("spark.checkpoint.dir", None) or None
+
+
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.sparkContext.master.startswith("local")
+    except Exception:
+        return (spark.conf.get("spark.master", "") or "").startswith("local")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written tables: the cluster's checkpoint directory.
 
@@ -39,28 +56,31 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local-mode session without one gets a private folder, because on
     a cluster a machine-local directory is not visible to the executors.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    current = _checkpoint_dir(spark)
     if not current:
-        current = sc.getConf().get("spark.checkpoint.dir", None)
-        if current:
-            sc.setCheckpointDir(current)
-    if not current:
-        if not sc.master.startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/...) before building the warehouse on a cluster"
             )
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    # setCheckpointDir appends a per-application UUID folder; strip the scheme
-    # only for local paths so both forms work with the DataFrame readers.
+        try:
+            spark.sparkContext.setCheckpointDir(current)
+            current = spark.sparkContext.getCheckpointDir() or current
+        except Exception:
+            pass
     if current.startswith("file:"):
         current = current[len("file:"):]
     return current.rstrip("/")
 
 
+def application_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", "app")
+
+
 def local_test_session(app: str = "tessera", cores: str = "*",
                        shuffle_partitions: int = 8,
                        advisory_partition_mb: int = 16) -> SparkSession:

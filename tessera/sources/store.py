@@ -40,8 +40,15 @@ class Warehouse:
         return f"{self.root}/{routed}/{name}"
 
     def _jvm_path_exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        try:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        except Exception:  # no JVM handle (e.g. a Connect session): probe by reading
+            try:
+                self.spark.read.parquet(path).schema
+                return True
+            except Exception:
+                return False
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf).exists(p)
 
