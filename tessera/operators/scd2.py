@@ -3,9 +3,9 @@
 Each satellite row becomes a version valid on the half-open interval
 ``[load_date, next load_date)``; the newest version ends at 9999-12-31 and is
 the current one.  The window is partitioned by the hub key, so it runs on the
-same hash partitioning as the joins feeding it (sat ⋈ hub ⟕ link): one
-shuffle per input, none for the window.  A key has at most one version per
-load, so a window group is bounded by the number of loads.
+same hash partitioning as the sat ⋈ hub join feeding it (no extra shuffle),
+and before any parent-link fan-out.  A key has at most one version per load,
+so a window group is bounded by the number of loads.
 """
 
 from __future__ import annotations
@@ -41,18 +41,34 @@ def build_scd2_dim(sat: DataFrame, hub: DataFrame, key: str, id_col: str,
                    parent_link: DataFrame | None = None,
                    parent_key: str | None = None) -> DataFrame:
     """Versioned dimension: satellite ⋈ hub (orphan satellite rows drop),
-    optionally ⟕ a link for a parent key, then intervals and the version
-    surrogate key md5(hub key, load_date).
+    intervals and the version surrogate key md5(hub key, load_date),
+    optionally ⟕ a link for a parent key.
 
-    The parent link carries no validity: an entity linked to two parents
-    fans out before the window (the uniqueness checks report it)."""
+    The parent link carries no validity, so an entity linked to k parents
+    fans out to k copies of each version; as in versioning *after* the fan-out,
+    exactly one copy of a version carries its real interval and the other k-1
+    get the zero-length interval ``[t, t)`` and are not current (the
+    uniqueness checks report such entities).  The window runs *before* the
+    fan-out — its groups stay bounded by the number of loads even for an
+    entity with millions of parents — and the carrier copy is the one with the
+    greatest parent key, found by a map-side-combined aggregate."""
     versions = (sat.select(key, *attrs, "load_date", "record_source")
                 .join(hub.select(key, id_col), on=key, how="inner"))
+    versioned = scd2_intervals(versions, key)
     parent_cols: list[str] = []
     if parent_link is not None:
-        versions = versions.join(parent_link.select(key, parent_key), on=key, how="left")
+        links = parent_link.select(key, parent_key)
+        carrier = links.groupBy(key).agg(F.max(parent_key).alias("_carrier"))
+        versioned = (versioned.join(links, on=key, how="left")
+                     .join(carrier, on=key, how="left"))
+        is_carrier = F.col(parent_key).eqNullSafe(F.col("_carrier"))
+        versioned = (versioned
+                     .withColumn("effective_end_date",
+                                 F.when(is_carrier, F.col("effective_end_date"))
+                                 .otherwise(F.col("effective_start_date")))
+                     .withColumn("is_current", is_carrier & F.col("is_current"))
+                     .drop("_carrier"))
         parent_cols = [parent_key]
-    versioned = scd2_intervals(versions, key)
     return versioned.select(
         hub_key(key, "load_date").alias(version_key),
         key, id_col, *parent_cols, *attrs,

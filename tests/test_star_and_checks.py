@@ -129,3 +129,27 @@ def test_run_checks_counts_like_assertion_queries(spark):
     # unique: 'a' duplicated -> 1 row; not_null: 1 NULL; orphans: v=2 once;
     # combos: (a,1) duplicated -> 1 row
     assert got == [1, 1, 1, 1]
+
+
+def test_fanout_versioning_equals_window_after_fanout(spark):
+    from pyspark.sql import Window
+    sat = _sat(spark, [("a", "x", "2016-01-01 00:00:00"), ("a", "y", "2018-01-01 00:00:00"),
+                       ("a", "z", "2020-01-01 00:00:00"), ("b", "x", "2016-01-01 00:00:00"),
+                       ("b", "w", "2018-01-01 00:00:00"), ("c", "q", "2018-01-01 00:00:00")])
+    hub = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "k string, id string")
+    link = spark.createDataFrame([("a", "p1"), ("a", "p2"), ("a", "p3"), ("b", "p1")],
+                                 "k string, parent string")
+    ours = build_scd2_dim(sat, hub, "k", "id", ["attr"], "vkey", link, "parent")
+    # the reference formulation: fan out first, then version
+    fanned = (sat.join(hub, "k").join(link, "k", "left"))
+    w = Window.partitionBy("k").orderBy("load_date", "k")
+    ref = (fanned.withColumn("effective_start_date", F.col("load_date"))
+           .withColumn("effective_end_date",
+                       F.coalesce(F.lead("load_date").over(w),
+                                  F.lit("9999-12-31 00:00:00").cast(TS)))
+           .withColumn("is_current", F.lead("load_date").over(w).isNull()))
+    cols = ["k", "attr", "effective_start_date", "effective_end_date", "is_current"]
+    assert sorted(map(tuple, ours.select(cols).collect())) == \
+        sorted(map(tuple, ref.select(cols).collect()))
+    assert ours.count() == 3 * 3 + 2 + 1
+    assert ours.filter("is_current").groupBy("k").count().filter("count != 1").count() == 0
