@@ -153,3 +153,10 @@ def test_fanout_versioning_equals_window_after_fanout(spark):
         sorted(map(tuple, ref.select(cols).collect()))
     assert ours.count() == 3 * 3 + 2 + 1
     assert ours.filter("is_current").groupBy("k").count().filter("count != 1").count() == 0
+
+
+def test_empty_catalogue_is_an_empty_summary(spark):
+    t = spark.createDataFrame([("a",)], "u string")
+    out = run_checks({"t": t}, [])
+    assert out.count() == 0 and out.columns == ["check_id", "model", "test", "column_name",
+                                                "failures"]
