@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tessera.operators.bronze import extract_bronze
 from tessera.operators.checks import enforce, run_checks
-from tessera.operators.vault import load_hub, load_link, load_satellite
+from tessera.operators.vault import SatSpec, latest_version, load_hub, load_link, load_satellite
 from tessera.plans import gold
 from tessera.plans.check_specs import CHECK_SPECS
 from tessera.plans.models import (
@@ -92,13 +92,40 @@ def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int) -> list[Call
                           wh.read_before("silver", spec.name, batch)),
                 "silver", spec.name, batch)))
         for spec in sats:
-            tasks.append(_traced(spec.name, lambda spec=spec: wh.write_batch(
-                load_satellite(wh.read("bronze", BRONZE[spec.source]), spec,
-                               wh.read_before("silver", spec.name, batch)),
-                "silver", spec.name, batch)))
+            tasks.append(_traced(spec.name, lambda spec=spec: satellite_task(wh, spec, batch)))
     return tasks
 
 
+STATE = "state"   # layer of the per-load current-version snapshots
+
+
+def current_state(wh: Warehouse, spec: SatSpec, batch: int) -> DataFrame | None:
+    """Latest (key, load_date, hashdiff) per key as seen by load ``batch``.
+
+    Read from the snapshot of the newest earlier load when that snapshot is
+    up to date (no silver partition newer than it below ``batch``) — a scan
+    of one row per key; otherwise derived from the satellite history."""
+    snap = wh.max_batch(STATE, spec.name, batch)
+    newest = wh.max_batch("silver", spec.name, batch)
+    if snap is not None and (newest is None or newest <= snap):
+        return wh.read_batch(STATE, spec.name, snap)
+    history = wh.read_before("silver", spec.name, batch)
+    if history is None:
+        return None
+    return latest_version(history.select(spec.key_col, "load_date", "hashdiff"), spec.key_col)
+
+
+def satellite_task(wh: Warehouse, spec: SatSpec, batch: int) -> None:
+    """Append load ``batch`` to a satellite, then snapshot its current state."""
+    state = current_state(wh, spec, batch)
+    bronze = wh.read("bronze", BRONZE[spec.source])
+    wh.write_batch(load_satellite(bronze, spec, state), "silver", spec.name, batch)
+    cols = [spec.key_col, "load_date", "hashdiff"]
+    added = wh.read_batch("silver", spec.name, batch).select(*cols)
+    merged = added if state is None else state.select(*cols).unionByName(added)
+    wh.write_batch(latest_version(merged, spec.key_col), STATE, spec.name, batch)
+
+
 def run_batch(wh: Warehouse, sources: Mapping[str, DataFrame], loaded_at: Column | str,
               batch: int, threads: int = DEFAULT_THREADS,
               record_source: str = RECORD_SOURCE) -> None:

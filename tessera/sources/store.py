@@ -85,6 +85,16 @@ class Warehouse:
         df = self.spark.read.parquet(self.path(layer, name))
         return df.filter(F.col(BATCH_COL) == batch).drop(BATCH_COL)
 
+    def max_batch(self, layer: str, name: str, before: int) -> int | None:
+        """Newest load partition below ``before`` (answered from partition
+        values, no data scan), or None."""
+        if not self.exists(layer, name):
+            return None
+        df = self.spark.read.parquet(self.path(layer, name))
+        if BATCH_COL not in df.columns:
+            return None
+        return df.filter(F.col(BATCH_COL) < before).agg(F.max(BATCH_COL)).first()[0]
+
     def batches(self, layer: str, name: str) -> DataFrame:
         """Row count per load partition (a metadata-sized aggregate)."""
         df = self.spark.read.parquet(self.path(layer, name))
