@@ -119,6 +119,10 @@ class SatSpec:
     id_col: str
     key_col: str
     attrs: tuple[Attr, ...] = field(default_factory=tuple)
+    # keep a per-load current-state snapshot: worth it when versions per key
+    # keep growing (attributes change between loads), not for event-like
+    # satellites with one version per key
+    snapshot: bool = False
 
     @property
     def attr_names(self) -> list[str]:

@@ -36,10 +36,12 @@ LINKS = [
 SATELLITES = [
     SatSpec("sat_customer_details", "customers", "customer_id", "customer_hub_key", (
         Attr("first_name"), Attr("last_name"), Attr("email"), Attr("city"),
-        Attr("credit_score", dtype="int"), Attr("created_date", "created_at", "date"))),
+        Attr("credit_score", dtype="int"), Attr("created_date", "created_at", "date")),
+        snapshot=True),
     SatSpec("sat_account_details", "accounts", "account_id", "account_hub_key", (
         Attr("account_type"), Attr("balance_usd", dtype="decimal(15,2)"),
-        Attr("open_date", dtype="date"))),
+        Attr("open_date", dtype="date")),
+        snapshot=True),
     SatSpec("sat_card_details", "cards", "card_id", "card_hub_key", (
         Attr("card_type"), Attr("expiration_date", dtype="date"))),
     SatSpec("sat_branch_details", "branches", "branch_id", "branch_hub_key", (

@@ -116,9 +116,14 @@ def current_state(wh: Warehouse, spec: SatSpec, batch: int) -> DataFrame | None:
 
 
 def satellite_task(wh: Warehouse, spec: SatSpec, batch: int) -> None:
-    """Append load ``batch`` to a satellite, then snapshot its current state."""
-    state = current_state(wh, spec, batch)
+    """Append load ``batch`` to a satellite; for snapshot satellites, then
+    record its current state for the next load."""
     bronze = wh.read("bronze", BRONZE[spec.source])
+    if not spec.snapshot:
+        wh.write_batch(load_satellite(bronze, spec, wh.read_before("silver", spec.name, batch)),
+                       "silver", spec.name, batch)
+        return
+    state = current_state(wh, spec, batch)
     wh.write_batch(load_satellite(bronze, spec, state), "silver", spec.name, batch)
     cols = [spec.key_col, "load_date", "hashdiff"]
     added = wh.read_batch("silver", spec.name, batch).select(*cols)

@@ -85,15 +85,33 @@ class Warehouse:
         df = self.spark.read.parquet(self.path(layer, name))
         return df.filter(F.col(BATCH_COL) == batch).drop(BATCH_COL)
 
+    def batch_ids(self, layer: str, name: str) -> list[int]:
+        """Load partitions of a table, from one directory listing."""
+        path = self.path(layer, name)
+        try:
+            jvm = self.spark.sparkContext._jvm
+            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        except Exception:  # no JVM handle: ask Spark for the partition values
+            if not self.exists(layer, name):
+                return []
+            rows = (self.spark.read.parquet(path).select(BATCH_COL).distinct().collect())
+            return sorted(r[0] for r in rows)
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            return []
+        prefix = BATCH_COL + "="
+        out = []
+        for st in fs.listStatus(p):
+            n = st.getPath().getName()
+            if st.isDirectory() and n.startswith(prefix) and n[len(prefix):].lstrip("-").isdigit():
+                out.append(int(n[len(prefix):]))
+        return sorted(out)
+
     def max_batch(self, layer: str, name: str, before: int) -> int | None:
-        """Newest load partition below ``before`` (answered from partition
-        values, no data scan), or None."""
-        if not self.exists(layer, name):
-            return None
-        df = self.spark.read.parquet(self.path(layer, name))
-        if BATCH_COL not in df.columns:
-            return None
-        return df.filter(F.col(BATCH_COL) < before).agg(F.max(BATCH_COL)).first()[0]
+        """Newest load partition below ``before``, or None."""
+        earlier = [b for b in self.batch_ids(layer, name) if b < before]
+        return max(earlier) if earlier else None
 
     def batches(self, layer: str, name: str) -> DataFrame:
         """Row count per load partition (a metadata-sized aggregate)."""
