@@ -22,6 +22,7 @@ from tessera.functions.keys import bounded_id, hashdiff, hub_key
 from tessera.functions.tiers import credit_tier
 from tessera.operators import star
 from tessera.operators.bronze import extract_bronze
+from tessera.operators.calendar import date_spine
 from tessera.operators.checks import (
     check_unique,
     check_unique_combination,
@@ -157,6 +158,17 @@ def credit_tier_query(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def date_spine_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The calendar spine over the span of the transaction dates (bounds are
+    two scalars aggregated from the table; the spine is generated by
+    ``spark.range`` across tasks)."""
+    import datetime as dt
+    t = _tables(spark, sf).transactions(3)
+    d = F.col("transaction_date").cast("date")
+    lo, hi = t.agg(F.min(d), F.max(d)).first()
+    return date_spine(spark, lo.isoformat(), (hi + dt.timedelta(days=1)).isoformat())
+
+
 # -- vault operators ---------------------------------------------------------------
 def hub_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return load_hub(_raw_lines_bronze(spark, sf), HUB["hub_transaction"])
@@ -305,6 +317,7 @@ def registry() -> dict[str, Query]:
         "hub_key_nulls": hub_key_nulls,
         "hashdiff": hashdiff_query,
         "date_key": date_key_query,
+        "date_spine": date_spine_query,
         "acquisition_month": acquisition_month,
         "bounded_id": bounded_id_query,
         "check_not_null": check_not_null_query,
