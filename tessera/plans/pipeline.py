@@ -206,10 +206,24 @@ def source_tables(tables: DriverTables, batch: int = 3) -> dict[str, DataFrame]:
     return {f"source_{n}": df for n, df in tables.batch(batch).items()}
 
 
+def layer_of(model: str) -> str:
+    if model.startswith("source_"):
+        return "source"
+    if model.startswith("bronze_"):
+        return "bronze"
+    if model.startswith(("hub_", "link_", "sat_")):
+        return "silver"
+    return "gold"
+
+
 def run_data_checks(wh: Warehouse, extra: Mapping[str, DataFrame] | None = None,
-                    specs=CHECK_SPECS) -> DataFrame:
+                    specs=CHECK_SPECS, layers: Iterable[str] | None = None) -> DataFrame:
+    """Summary of the catalogue's checks on the stored models (+ ``extra``
+    tables such as the raw sources), optionally only those of ``layers``."""
     tables = {**model_tables(wh), **(extra or {})}
-    usable = [s for s in specs if s.model in tables and (s.to is None or s.to in tables)]
+    wanted = set(layers) if layers is not None else None
+    usable = [s for s in specs if s.model in tables and (s.to is None or s.to in tables)
+              and (wanted is None or layer_of(s.model) in wanted)]
     return run_checks(tables, usable)
 
 
@@ -219,18 +233,25 @@ def run_data_checks(wh: Warehouse, extra: Mapping[str, DataFrame] | None = None,
 def build_warehouse(spark: SparkSession, sf_dir: str, root: str,
                     batches: Iterable[int] = (1, 2, 3), threads: int = DEFAULT_THREADS,
                     gate: bool = False) -> Warehouse:
+    """Load the batches, then rebuild gold.  With ``gate``, failed checks block
+    what is downstream of them: source, bronze and silver checks must pass
+    before gold is built, and the gold checks after it (DataQualityError)."""
     wh = Warehouse(spark, root)
     tables = DriverTables(spark, sf_dir)
     for b in batches:
         run_batch(wh, tables.batch(b), stamp(b), b, threads=threads)
+    if gate:
+        enforce(run_data_checks(wh, source_tables(tables),
+                                layers=("source", "bronze", "silver")))
     build_gold(wh, threads=threads)
     if gate:
-        enforce(run_data_checks(wh, source_tables(tables)))
+        enforce(run_data_checks(wh, layers=("gold",)))
     return wh
 
 
 __all__ = [
     "BATCH_SOURCES",
+    "layer_of",
     "build_gold",
     "build_warehouse",
     "gold_model",

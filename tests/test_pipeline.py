@@ -151,3 +151,14 @@ def test_stale_snapshot_falls_back_to_history(spark, scratch):
     assert state.exceptAll(hist).count() == 0 and hist.exceptAll(state).count() == 0
     run_batch(wh, {"customers": t.customers(3)}, stamp(3), 3)
     assert wh.read("silver", spec.name).count() == 113 + 60 + 34
+
+
+def test_gated_build_passes_and_split_catalogue_is_complete(spark, scratch,
+                                                            warehouse_sf0001):
+    from tessera.plans.pipeline import build_warehouse
+    wh = build_warehouse(spark, SF, scratch, gate=True)
+    assert wh.read("gold", "dim_customer").count() == 207
+    t = source_tables(DriverTables(spark, SF))
+    upstream = run_data_checks(warehouse_sf0001, t, layers=("source", "bronze", "silver"))
+    downstream = run_data_checks(warehouse_sf0001, layers=("gold",))
+    assert upstream.count() + downstream.count() == 209
