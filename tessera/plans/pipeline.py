@@ -173,12 +173,25 @@ def gold_model(wh: Warehouse, name: str) -> DataFrame:
     return builders[name]()
 
 
+# gold models that read other gold models
+GOLD_DEPENDS = {"dim_customer": ("dim_account", "fact_loans")}
+
+
 def build_gold(wh: Warehouse, threads: int = DEFAULT_THREADS) -> None:
-    first = [m for m in GOLD_DIMS + GOLD_FACTS if m != "dim_customer"]
-    _run_all([_traced(m, lambda m=m: wh.write_full(gold_model(wh, m), "gold", m))
-              for m in first], threads)
-    _traced("dim_customer",
-            lambda: wh.write_full(gold_model(wh, "dim_customer"), "gold", "dim_customer"))()
+    """Rebuild every gold model; a model starts as soon as the gold models it
+    reads are written (the others run concurrently from the start)."""
+    def write(m: str) -> Callable[[], None]:
+        return _traced(m, lambda: wh.write_full(gold_model(wh, m), "gold", m))
+
+    models = GOLD_DIMS + GOLD_FACTS
+    with ThreadPoolExecutor(max_workers=max(threads, 1)) as pool:
+        futures = {m: pool.submit(write(m)) for m in models if m not in GOLD_DEPENDS}
+        for m, deps in GOLD_DEPENDS.items():
+            for d in deps:
+                futures[d].result()
+            futures[m] = pool.submit(write(m))
+        for f in futures.values():
+            f.result()
 
 
 # ---------------------------------------------------------------------------
