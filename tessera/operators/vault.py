@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.keys import bounded_id, hashdiff, hub_key
 
@@ -74,9 +75,27 @@ def new_or_changed(incoming: DataFrame, existing: DataFrame | None, key: str) ->
             .select(*incoming.columns))
 
 
+_INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "byte", "short", "long"}
+
+
 def cast_columns(df: DataFrame, casts: Sequence["Attr"], keep: Sequence[str] = ()) -> DataFrame:
-    """Typed cast projection: ``keep`` columns as is, then each attribute."""
-    return df.select(*keep, *[a.column() for a in casts])
+    """Typed cast projection: ``keep`` columns as is, then each attribute.
+
+    A fractional value cast to an integer type is rounded, not truncated:
+    decimals half away from zero, floating point half to even (integer and
+    string inputs cast as they are; a non-integral string still fails)."""
+    cols = []
+    for a in casts:
+        src = df.schema[a.source or a.name].dataType
+        if (a.dtype or "").lower() in _INTEGRAL and isinstance(src, (T.DecimalType,
+                                                                     T.DoubleType,
+                                                                     T.FloatType)):
+            rounded = (F.round(F.col(a.source or a.name)) if isinstance(src, T.DecimalType)
+                       else F.bround(F.col(a.source or a.name)))
+            cols.append(rounded.cast(a.dtype).alias(a.name))
+        else:
+            cols.append(a.column())
+    return df.select(*keep, *cols)
 
 
 # ---------------------------------------------------------------------------

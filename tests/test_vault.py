@@ -142,3 +142,14 @@ def test_store_rerun_is_idempotent(spark, scratch):
             wh.write_batch(add, "silver", "sat_thing", b)
     assert wh.read("silver", "sat_thing").count() == 2
     assert wh.read_batch("silver", "sat_thing", 2).first().name == "B"
+
+
+def test_fractional_to_integer_rounds(spark):
+    from decimal import Decimal
+    from tessera.operators.vault import cast_columns
+    df = spark.createDataFrame(
+        [(Decimal("12.50"), 12.5, 7), (Decimal("12.70"), 13.5, 8), (Decimal("-2.50"), 12.7, 9)],
+        "d decimal(5,2), f double, i bigint")
+    attrs = (Attr("d", dtype="int"), Attr("f", dtype="int"), Attr("i", dtype="int"))
+    rows = [tuple(r) for r in cast_columns(df, attrs).collect()]
+    assert rows == [(13, 12, 7), (13, 14, 8), (-3, 13, 9)]
