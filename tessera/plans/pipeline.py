@@ -81,18 +81,18 @@ def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int) -> list[Call
     tasks: list[Callable[[], None]] = []
     for src in sources:
         hubs, links, sats = silver_for_source(src)
+        bronze = wh.read("bronze", BRONZE[src])   # resolved once, shared by the models
         for spec in hubs:
-            tasks.append(_traced(spec.name, lambda spec=spec: wh.write_batch(
-                load_hub(wh.read("bronze", BRONZE[spec.source]), spec,
-                         wh.read_before("silver", spec.name, batch)),
+            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze: wh.write_batch(
+                load_hub(bronze, spec, wh.read_before("silver", spec.name, batch)),
                 "silver", spec.name, batch)))
         for spec in links:
-            tasks.append(_traced(spec.name, lambda spec=spec: wh.write_batch(
-                load_link(wh.read("bronze", BRONZE[spec.source]), spec,
-                          wh.read_before("silver", spec.name, batch)),
+            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze: wh.write_batch(
+                load_link(bronze, spec, wh.read_before("silver", spec.name, batch)),
                 "silver", spec.name, batch)))
         for spec in sats:
-            tasks.append(_traced(spec.name, lambda spec=spec: satellite_task(wh, spec, batch)))
+            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze:
+                                 satellite_task(wh, spec, batch, bronze)))
     return tasks
 
 
@@ -115,10 +115,12 @@ def current_state(wh: Warehouse, spec: SatSpec, batch: int) -> DataFrame | None:
     return latest_version(history.select(spec.key_col, "load_date", "hashdiff"), spec.key_col)
 
 
-def satellite_task(wh: Warehouse, spec: SatSpec, batch: int) -> None:
+def satellite_task(wh: Warehouse, spec: SatSpec, batch: int,
+                   bronze: DataFrame | None = None) -> None:
     """Append load ``batch`` to a satellite; for snapshot satellites, then
     record its current state for the next load."""
-    bronze = wh.read("bronze", BRONZE[spec.source])
+    if bronze is None:
+        bronze = wh.read("bronze", BRONZE[spec.source])
     if not spec.snapshot:
         wh.write_batch(load_satellite(bronze, spec, wh.read_before("silver", spec.name, batch)),
                        "silver", spec.name, batch)
