@@ -21,8 +21,6 @@ SCALE_CONFS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # dynamic partition overwrite keeps batch re-runs idempotent
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
