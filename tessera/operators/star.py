@@ -35,14 +35,29 @@ def join_current(fact: DataFrame, dim: DataFrame, key: str,
     return fact.join(d, on=key, how=how)
 
 
+def _bucket(c, unit: str):
+    if unit == "year":
+        return F.year(c)
+    if unit == "month":
+        return F.year(c) * 12 + F.month(c) - 1
+    raise ValueError(f"unknown bucket {unit!r}")
+
+
 def join_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
-               dim_cols: Sequence[str], how: str = "inner", prefix: str = "") -> DataFrame:
+               dim_cols: Sequence[str], how: str = "inner", prefix: str = "",
+               bucket: str | None = None) -> DataFrame:
     """Point-in-time join: the version whose ``[start, end)`` holds the event.
 
     Planned as an equi-join on the hub key with the interval as a residual
-    condition (hash/sort-merge join, never a nested loop); versions per key
-    are bounded by the number of loads.  Events before the first load of
-    their key match nothing."""
+    condition (hash/sort-merge join, never a nested loop).  Events before the
+    first load of their key match nothing.
+
+    With few versions per key (one per load) the residual check is cheap.
+    For dimensions with long histories, ``bucket="year"`` or ``"month"``
+    makes the equi-join key (hub key, time bucket): each version is repeated
+    once per bucket it overlaps — clipped at the latest event time, a single
+    aggregated scalar — so an event is only compared with the versions of
+    its own bucket.  Same rows either way."""
     d = dim.select(F.col(key).alias("_pit_key"),
                    F.col("effective_start_date").alias("_pit_start"),
                    F.col("effective_end_date").alias("_pit_end"),
@@ -50,7 +65,20 @@ def join_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
     cond = ((fact[key] == d["_pit_key"])
             & (fact[event_col] >= d["_pit_start"])
             & (fact[event_col] < d["_pit_end"]))
-    return fact.join(d, cond, how).drop("_pit_key", "_pit_start", "_pit_end")
+    if bucket is None:
+        return fact.join(d, cond, how).drop("_pit_key", "_pit_start", "_pit_end")
+    last_event = fact.agg(F.max(event_col)).first()[0]
+    if last_event is None:
+        return fact.join(d, cond, how).drop("_pit_key", "_pit_start", "_pit_end")
+    lo = _bucket(F.col("_pit_start"), bucket)
+    hi = F.least(_bucket(F.col("_pit_end"), bucket), _bucket(F.lit(last_event), bucket))
+    d = d.withColumn("_pit_b", F.explode(
+        F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))))
+    f = fact.withColumn("_pit_fb", _bucket(F.col(event_col), bucket))
+    cond = ((f[key] == d["_pit_key"]) & (f["_pit_fb"] == d["_pit_b"])
+            & (f[event_col] >= d["_pit_start"]) & (f[event_col] < d["_pit_end"]))
+    return (f.join(d, cond, how)
+            .drop("_pit_key", "_pit_start", "_pit_end", "_pit_b", "_pit_fb"))
 
 
 def join_calendar(fact: DataFrame, dim_date: DataFrame, cols: Sequence[str],

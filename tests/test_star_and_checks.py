@@ -160,3 +160,25 @@ def test_empty_catalogue_is_an_empty_summary(spark):
     out = run_checks({"t": t}, [])
     assert out.count() == 0 and out.columns == ["check_id", "model", "test", "column_name",
                                                 "failures"]
+
+
+def test_bucketed_point_in_time_equals_plain(spark, warehouse_sf0001):
+    from tessera.operators.star import join_as_of
+    f = warehouse_sf0001.read("gold", "fact_transactions").select(
+        "transaction_hub_key", "customer_hub_key", "transaction_date", "amount_usd")
+    d = warehouse_sf0001.read("gold", "dim_customer")
+    cols = ["customer_key", "city"]
+    plain = join_as_of(f, d, "customer_hub_key", "transaction_date", cols)
+    for unit in ["year", "month"]:
+        b = join_as_of(f, d, "customer_hub_key", "transaction_date", cols, bucket=unit)
+        assert b.exceptAll(plain).count() == 0 and plain.exceptAll(b).count() == 0
+    # boundary fixture: events at start, just before end, at end, before first load
+    dim = scd2_intervals(_sat(spark, [("a", "v1", "2016-01-01 00:00:00"),
+                                      ("a", "v2", "2018-01-01 00:00:00")]), "k")
+    fact = spark.createDataFrame(
+        [(1, "2016-01-01 00:00:00"), (2, "2017-12-31 23:59:59"), (3, "2018-01-01 00:00:00"),
+         (4, "2015-06-01 00:00:00")], "id int, t string").select(
+        "id", F.lit("a").alias("k"), F.col("t").cast(TS).alias("t"))
+    got = {r.id: r.attr for r in join_as_of(fact, dim, "k", "t", ["attr"],
+                                            bucket="month").collect()}
+    assert got == {1: "v1", 2: "v1", 3: "v2"}
