@@ -70,6 +70,11 @@ def main() -> None:
             g("fact_transactions"), g("dim_customer"), g("dim_date")),
         "join_point_in_time": star.transactions_point_in_time(
             g("fact_transactions"), g("dim_customer")),
+        "join_point_in_time, bucket=year": star.join_as_of(
+            g("fact_transactions").select("transaction_hub_key", "customer_hub_key",
+                                          "transaction_date", "amount_usd"),
+            g("dim_customer"), "customer_hub_key", "transaction_date",
+            ["customer_key", "city"], bucket="year"),
         "transactions_star": star.transactions_star(
             g("fact_transactions"), g("dim_customer"), g("dim_account"), g("dim_merchant"),
             g("dim_date")),
