@@ -182,3 +182,22 @@ def test_bucketed_point_in_time_equals_plain(spark, warehouse_sf0001):
     got = {r.id: r.attr for r in join_as_of(fact, dim, "k", "t", ["attr"],
                                             bucket="month").collect()}
     assert got == {1: "v1", 2: "v1", 3: "v2"}
+
+
+def test_bucketed_point_in_time_null_events_and_left_mode(spark):
+    from tessera.operators.star import join_as_of
+    dim = scd2_intervals(_sat(spark, [("a", "v1", "2016-01-01 00:00:00"),
+                                      ("a", "v2", "2018-06-01 00:00:00")]), "k")
+    fact = spark.createDataFrame(
+        [(1, "2017-03-01 00:00:00"), (2, None), (3, "2019-01-01 00:00:00"),
+         (4, "2015-01-01 00:00:00")], "id int, t string").select(
+        "id", F.lit("a").alias("k"), F.col("t").cast(TS).alias("t"))
+    for how in ["inner", "left"]:
+        plain = join_as_of(fact, dim, "k", "t", ["attr"], how=how)
+        for unit in ["year", "month"]:
+            b = join_as_of(fact, dim, "k", "t", ["attr"], how=how, bucket=unit)
+            assert sorted(map(tuple, b.collect()), key=str) == \
+                sorted(map(tuple, plain.collect()), key=str)
+    left = {r.id: r.attr for r in join_as_of(fact, dim, "k", "t", ["attr"], how="left",
+                                             bucket="year").collect()}
+    assert left == {1: "v1", 2: None, 3: "v2", 4: None}
