@@ -11,6 +11,8 @@ Layers:
                   bronze/silver/gold build, plus the data-test catalogue.
 * ``streaming`` — Structured Streaming front end feeding landed extracts
                   into the same incremental silver load.
+
+``python -m tessera`` runs the layers from the command line.
 """
 
 from tessera.session import configure_session, scratch_root
