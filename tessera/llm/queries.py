@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.substring_dedup import substring_dedup
 from tessera.llm.suffix_dedup import suffix_dedup
 
 
@@ -13,12 +14,16 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(spark, _documents(spark, sf_dir)).drop("removed")
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark, _documents(spark, sf_dir)).drop("removed")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_suffix_array_dedup,)}
+    return {f.__name__: f for f in (op3_substring_dedup, op9_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
