@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, new_path, shuffle_partitions
+from tessera.llm.common import materialise, new_path, ship, shuffle_partitions
 
 BLOCKS = "block long, ids array<bigint>, lens array<int>, bytes long, body binary"
 ASKED = "bucket int, block long, keys binary, more binary, marks binary"
@@ -90,6 +90,7 @@ class Blocks:
     def __init__(self, spark: SparkSession, docs: DataFrame, size: int, id_col: str = "doc_id",
                  text_col: str = "text"):
         """``size``: bytes of text after which a block is closed (it holds at least a document)."""
+        ship(spark)
         self.spark = spark
         self.parts = shuffle_partitions(spark)
         packed = docs.select(F.col(id_col).cast("bigint").alias("id"),

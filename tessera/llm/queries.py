@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring_dedup import substring_dedup
 from tessera.llm.suffix_dedup import suffix_dedup
 
@@ -14,6 +15,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(spark, _documents(spark, sf_dir)).drop("fp")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark, _documents(spark, sf_dir)).drop("removed")
 
@@ -23,7 +28,8 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup, op9_suffix_array_dedup)}
+    return {f.__name__: f for f in (op1_simhash_near_dedup, op3_substring_dedup,
+                                    op9_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

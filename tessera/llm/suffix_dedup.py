@@ -108,7 +108,8 @@ class Windows:
             many = np.flatnonzero(hi - lo > 1)
             several[many] = [np.count_nonzero(gram[where[x:y]] == v) > 1
                              for x, y, v in zip(lo[many], hi[many], own[many], strict=True)]
-            found.append((first + a, count, own, content, several))
+            # a least hash is small: spread it again, or low buckets would get nearly all keys
+            found.append((first + a, count, mix(own), content, several))
         kinds = (np.int64, np.int64, np.uint64, np.uint64, bool)
         return Regions(*[np.concatenate([np.asarray(f[k], dtype=kinds[k]) for f in found])
                          for k in range(5)])
