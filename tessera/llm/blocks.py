@@ -166,7 +166,8 @@ def _bounds(buckets: int) -> np.ndarray:
 def answer(asked: DataFrame, decide: Callable[..., np.ndarray], key_type: str, more_type: str | None,
            mark_type: str = "u1", name: str = "answers") -> DataFrame:
     """Answer every asked row.  ``decide(keys, more, marks, row)`` gets the keys of a bucket (with
-    their row numbers, ascending by block) and returns an array with an answer a key."""
+    their row numbers, ascending by block) and returns an array with an answer a key, or a pair of
+    that and a summary of the bucket as bytes: a row of block -1 then carries the summary."""
 
     def run(group: pa.Table) -> pa.Table:
         order = np.argsort(group.column("block").to_numpy(), kind="stable")
@@ -179,11 +180,15 @@ def answer(asked: DataFrame, decide: Callable[..., np.ndarray], key_type: str, m
         marks = np.concatenate(
             [np.frombuffer(k, dtype=mark_type) for k in group.column("marks").to_pylist()])
         said = decide(keys, more, marks, np.repeat(np.arange(len(parts)), sizes))
+        said, summary = said if isinstance(said, tuple) else (said, None)
         cuts = np.concatenate([[0], np.cumsum(sizes)])
-        return pa.Table.from_arrays([
-            group.column("block"), group.column("bucket"),
-            pa.array([said[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
-                     type=pa.binary())], schema=_ANSWERS_ARROW)
+        bits = [said[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        to, bucket = group.column("block").to_pylist(), group.column("bucket").to_pylist()
+        if summary is not None:
+            bits, to, bucket = [*bits, summary], [*to, -1], [*bucket, bucket[0]]
+        return pa.Table.from_arrays([pa.array(to, type=pa.int64()),
+                                     pa.array(bucket, type=pa.int32()),
+                                     pa.array(bits, type=pa.binary())], schema=_ANSWERS_ARROW)
 
     return materialise(asked.groupBy("bucket").applyInArrow(run, ANSWERS), name)
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring_dedup import substring_dedup
 from tessera.llm.suffix_dedup import suffix_dedup
@@ -27,9 +28,13 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark, _documents(spark, sf_dir)).drop("removed")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(spark, _documents(spark, sf_dir))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash_near_dedup, op3_substring_dedup,
-                                    op9_suffix_array_dedup)}
+                                    op9_suffix_array_dedup, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
