@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.lang_id import language_id
 from tessera.llm.lm_scoring import lm_scores
+from tessera.llm.quality import quality_cascade
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring_dedup import substring_dedup
 from tessera.llm.suffix_dedup import suffix_dedup
@@ -24,6 +26,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark, _documents(spark, sf_dir)).drop("removed")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(spark, _documents(spark, sf_dir))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_cascade(spark, _documents(spark, sf_dir), report=True)
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark, _documents(spark, sf_dir)).drop("removed")
 
@@ -34,6 +44,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash_near_dedup, op3_substring_dedup,
+                                    op4_language_id, op8_quality_rules,
                                     op9_suffix_array_dedup, op10_lm_scoring)}
 
 
