@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.decontamination import contamination
 from tessera.llm.lang_id import language_id
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.quality import quality_cascade
@@ -30,6 +31,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(spark, _documents(spark, sf_dir))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(spark, _documents(spark, sf_dir),
+                         spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade(spark, _documents(spark, sf_dir), report=True)
 
@@ -44,7 +50,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash_near_dedup, op3_substring_dedup,
-                                    op4_language_id, op8_quality_rules,
+                                    op4_language_id, op7_benchmark_decontamination, op8_quality_rules,
                                     op9_suffix_array_dedup, op10_lm_scoring)}
 
 
