@@ -37,47 +37,64 @@ _ANSWERS_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("bit
 
 
 class Block:
-    """The documents of one block: ids (None where null) and their bytes, each followed by \\n."""
+    """The documents of one block: ids (None where null) and their bytes, each followed by a line
+    feed; which texts are null; and the other columns as a struct array, if they are carried."""
 
-    def __init__(self, block: int, ids: list, lens: np.ndarray, body: bytes):
-        self.block, self.ids = block, ids
+    def __init__(self, block: int, ids: list, lens: np.ndarray, body: bytes,
+                 extra: pa.StructArray | None = None):
+        self.block, self.ids, self.extra = block, ids, extra
+        self.null, lens = lens < 0, np.maximum(lens, 0)
         self.data = np.frombuffer(body, dtype=np.uint8)
         self.lens = lens
         self.ends = np.cumsum(lens + 1) - 1
         self.starts = self.ends - lens
 
 
-def read_block(row: dict) -> Block:
-    body = zstandard.ZstdDecompressor().decompress(row["body"]) if row["bytes"] else b""
-    return Block(row["block"], row["ids"], np.array(row["lens"], dtype=np.int64), body)
+def read_block(rows: pa.RecordBatch | pa.Table, k: int) -> Block:
+    row = {c: rows.column(c)[k].as_py() for c in ("block", "ids", "lens", "body")}
+    body = zstandard.ZstdDecompressor().decompress(row["body"])
+    extra = rows.column("extra")[k].values if "extra" in rows.schema.names else None
+    return Block(row["block"], row["ids"], np.array(row["lens"], dtype=np.int64), body, extra)
 
 
 def _pack(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())),
                         ("lens", pa.list_(pa.int32())), ("bytes", pa.int64()), ("body", pa.binary())])
+    kinds = [f.type for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         first = TaskContext.get().partitionId() << 32
-        ids, texts, held, n = [], [], 0, 0
+        ids, lens, texts, extra, held, n = [], [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
             body = b"\n".join(texts) + b"\n"
             packed = zstandard.ZstdCompressor(level=1).compress(body)
-            return pa.RecordBatch.from_pylist([{
-                "block": first + n, "ids": ids, "lens": [len(t) for t in texts],
-                "bytes": len(body), "body": packed}], schema=schema)
+            cols = [[first + n], [ids], [lens], [len(body)], [packed]]
+            arrays = [pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)]
+            names = list(schema.names)
+            if extra:
+                whole = pa.concat_arrays(extra)
+                arrays.append(pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole))
+                names.append("extra")
+            return pa.RecordBatch.from_arrays(arrays, names=names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                    strict=True):
+            since = 0
+            for k, (doc_id, text) in enumerate(zip(
+                    batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), 1):
                 ids.append(doc_id)
+                lens.append(-1 if text is None else len(text))
                 texts.append(text or b"")
                 held += len(texts[-1]) + 1
+                if held >= size or k == batch.num_rows:
+                    if batch.num_columns > 2:
+                        extra.append(batch.column(2).slice(since, k - since))
+                    since = k
                 if held >= size:
                     yield flush()
-                    ids, texts, held, n = [], [], 0, n + 1
+                    ids, lens, texts, extra, held, n = [], [], [], [], 0, n + 1
         if ids:
             yield flush()
 
@@ -88,14 +105,21 @@ class Blocks:
     """The block table of a set of documents."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, size: int, id_col: str = "doc_id",
-                 text_col: str = "text"):
-        """``size``: bytes of text after which a block is closed (it holds at least a document)."""
+                 text_col: str = "text", carry: bool = False):
+        """``size``: bytes of text after which a block is closed (it holds at least a document).
+        ``carry``: keep the documents' other columns, as ``extra``."""
         ship(spark)
         self.spark = spark
         self.parts = shuffle_partitions(spark)
-        packed = docs.select(F.col(id_col).cast("bigint").alias("id"),
-                             F.col(text_col).cast("binary").alias("text")).mapInArrow(
-                                 _pack(size), BLOCKS)
+        cols = [F.col(id_col).cast("bigint").alias("id"),
+                F.col(text_col).cast("binary").alias("text")]
+        schema = BLOCKS
+        if carry:
+            others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
+            cols.append(others.alias("extra"))
+            kind = docs.select(others.alias("extra")).schema[0].dataType.simpleString()
+            schema += f", extra array<{kind}>"
+        packed = docs.select(*cols).mapInArrow(_pack(size), schema)
         name = f"llm_blocks_{uuid.uuid4().hex}"
         (packed.write.bucketBy(self.parts, "block").option("path", new_path(spark, "blocks"))
          .option("compression", "uncompressed").saveAsTable(name))
@@ -116,15 +140,17 @@ class Blocks:
 
         return self.visit(rows, ASKED, _ASKED_ARROW, answers)
 
-    def visit(self, work: Callable[[Block, dict], list], schema: str, arrow: pa.Schema,
+    def visit(self, work: Callable[[Block, dict], list], schema: str,
+              arrow: pa.Schema | Callable[[pa.Schema], pa.Schema],
               answers: dict[str, DataFrame] | None = None) -> DataFrame:
         """``work(block, answers)`` over all blocks; ``answers`` maps a name to the (bucket, bits)
-        rows of that block, by bucket."""
+        rows of that block, by bucket.  ``arrow``: the schema of the result, or a function that
+        makes it from the block table's."""
         if not answers:
             def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     for k in range(batch.num_rows):
-                        yield from work(read_block(batch.slice(k, 1).to_pylist()[0]), {})
+                        yield from work(read_block(batch, k), {})
 
             return self.table.mapInArrow(scan, schema)
         union = None
@@ -136,8 +162,8 @@ class Blocks:
             known: dict[str, dict[int, bytes]] = {}
             for r in right.to_pylist():
                 known.setdefault(r["step"], {})[r["bucket"]] = r["bits"]
-            out = [b for row in left.to_pylist() for b in work(read_block(row), known)]
-            return pa.Table.from_batches(out, schema=arrow)
+            out = [b for k in range(left.num_rows) for b in work(read_block(left, k), known)]
+            return pa.Table.from_batches(out, schema=arrow(left.schema) if callable(arrow) else arrow)
 
         return (self.table.groupBy("block").cogroup(union.groupBy("block"))
                 .applyInArrow(both, schema))

@@ -45,6 +45,12 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return per_byte, powers(base), powers(inverse)
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the base, and of its inverse."""
+    _, up, down = _tables(1 << int(n + 1).bit_length())
+    return up, down
+
+
 class Prefix:
     """Prefix sums of one slice of bytes; ``window`` hashes equal-length strings, ``spans`` others."""
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.decontamination import contamination
 from tessera.llm.lang_id import language_id
+from tessera.llm.line_dedup import line_dedup
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.quality import quality_cascade
 from tessera.llm.simhash import simhash_dedup
@@ -31,6 +32,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(spark, _documents(spark, sf_dir))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_copies, n_near and the digest of the text left."""
+    return line_dedup(spark, _documents(spark, sf_dir)).select("doc_id", "line_dedup.*")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, _documents(spark, sf_dir),
                          spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -50,7 +56,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash_near_dedup, op3_substring_dedup,
-                                    op4_language_id, op7_benchmark_decontamination, op8_quality_rules,
+                                    op4_language_id, op5_line_dedup, op7_benchmark_decontamination, op8_quality_rules,
                                     op9_suffix_array_dedup, op10_lm_scoring)}
 
 
