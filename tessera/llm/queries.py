@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm.chat_formatting import preference_pairs, swapped_replies
 from tessera.llm.decontamination import contamination
 from tessera.llm.lang_id import language_id
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.lm_scoring import lm_scores
+from tessera.llm.mixing import mix_sources, text_form
+from tessera.llm.oracle import CHAT_SQL, QUALITY_SQL, mixing_sql
 from tessera.llm.quality import quality_cascade
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring_dedup import substring_dedup
@@ -24,6 +28,17 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(spark, _documents(spark, sf_dir)).drop("fp")
 
 
+#: Token shares are flattened by these powers (1 keeps them).
+MIX_POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+
+
+def op2_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled documents: doc_id, cell, tokens and probability (six digits)."""
+    out = mix_sources(spark, _documents(spark, sf_dir), text_form(F.col("text")), MIX_POWERS)
+    return out.select("doc_id", "mixing.source", "mixing.lang", "mixing.topic", "mixing.n_tokens",
+                      F.round("mixing.probability", 6).alias("probability"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(spark, _documents(spark, sf_dir)).drop("removed")
 
@@ -37,6 +52,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(spark, _documents(spark, sf_dir)).select("doc_id", "line_dedup.*")
 
 
+def _spans(col: str) -> Column:
+    return F.array_join(F.transform(col, lambda s: F.concat_ws("-", s.start, s.end)), ",")
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of each conversation with the same one under its neighbour's last reply."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pairs = preference_pairs(spark, turns, swapped_replies(turns), "conv_id")
+    return pairs.withColumns({c: _spans(c) for c in ("chosen_train", "rejected_train")}
+                             ).withColumnRenamed("pair_id", "conv_id")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(spark, _documents(spark, sf_dir),
                          spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -55,10 +82,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_near_dedup, op3_substring_dedup,
-                                    op4_language_id, op5_line_dedup, op7_benchmark_decontamination, op8_quality_rules,
-                                    op9_suffix_array_dedup, op10_lm_scoring)}
+    return {f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_mixing_sources, op3_substring_dedup, op4_language_id,
+        op5_line_dedup, op6_chat_formatting, op7_benchmark_decontamination, op8_quality_rules,
+        op9_suffix_array_dedup, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mixing_sources": mixing_sql(MIX_POWERS), "op6_chat_formatting": CHAT_SQL,
+            "op8_quality_rules": QUALITY_SQL}
