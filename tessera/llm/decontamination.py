@@ -90,27 +90,39 @@ def repetitions(samples: int, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - AGREE**samples))
 
 
-def _samples(n: int, repetition: int, samples: int) -> np.ndarray:
-    """Sampled steps of the walk over ``n`` words: half the steps move on, so 2n cover it."""
-    rng = np.random.Generator(np.random.PCG64([n, repetition, 77]))
-    return np.sort(rng.choice(2 * n, size=min(samples, 2 * n), replace=False))
-
-
-def signatures(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, repetition: int,
-               samples: int) -> np.ndarray:
-    """Bit-sampled CGK embeddings of the windows of ``n`` words that begin at ``starts`` (a window
-    stops at ``ends``, and the rest is padding)."""
-    steps = _samples(n, repetition, samples)
-    out = np.full(len(starts), mix(np.array([n * 1000 + repetition], dtype=np.uint64))[0])
-    at = starts.copy()
-    stop = np.minimum(starts + n, ends)
-    for j in range(int(steps[-1]) + 1):
-        inside = at < stop
-        word = np.where(inside, hashes[np.minimum(at, len(hashes) - 1)], np.uint64(0))
-        if j in steps:
-            out = join_hashes(out, word)
-        at += (mix(word ^ np.uint64((repetition << 32) + j)) & np.uint64(1)).astype(np.int64)
-    return out
+class Walks:
+    """The random walks of all repetitions over windows of the given sizes."""
+
+    def __init__(self, sizes: list[int], repetitions: int, samples: int):
+        self.sizes = np.array(sorted(set(sizes)), dtype=np.int64)
+        self.seeds = np.arange(repetitions, dtype=np.uint64)[:, None] << np.uint64(32)
+        # sampled[repetition, size, step]; half the steps move on, so 2n steps cover n words
+        steps = 2 * int(self.sizes[-1]) if len(self.sizes) else 0
+        self.sampled = np.zeros((repetitions, len(self.sizes), steps), dtype=bool)
+        for k, n in enumerate(self.sizes.tolist()):
+            rng = np.random.Generator(np.random.PCG64([n, 77]))
+            for r in range(repetitions):
+                picks = rng.choice(2 * n, size=min(samples, 2 * n), replace=False)
+                self.sampled[r, k, picks] = True
+
+    def signatures(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                   sizes: np.ndarray) -> np.ndarray:
+        """Bit-sampled CGK embeddings, a row a repetition and a column a window: ``sizes`` words
+        from ``starts`` on, padded from ``ends`` on."""
+        out = mix(self.seeds | sizes.astype(np.uint64))
+        if not out.size:
+            return out
+        kind = np.searchsorted(self.sizes, sizes)
+        at = np.broadcast_to(starts, out.shape).copy()
+        stop = np.minimum(starts + sizes, ends)
+        last = len(hashes) - 1
+        for j in range(2 * int(sizes.max())):
+            word = np.where(at < stop, hashes[np.minimum(at, last)], np.uint64(0))
+            hit = self.sampled[:, kind, j]
+            if hit.any():
+                out[hit] = join_hashes(out[hit], word[hit])
+            at += (mix(word ^ (self.seeds + np.uint64(j))) & np.uint64(1)).astype(np.int64)
+        return out
 
 
 class Index:
@@ -119,11 +131,10 @@ class Index:
     def __init__(self, ids: list, texts: list[bytes], max_edits: float, samples: int,
                  recall: float, min_words: int):
         words = Words(texts)
-        self.max_edits, self.samples = max_edits, samples
+        self.max_edits = max_edits
         self.items = [(i, words.hash[a:b]) for i, a, b in
                       zip(ids, words.cuts[:-1], words.cuts[1:], strict=True)
                       if b - a >= min_words]
-        self.repetitions = repetitions(samples, recall)
         runs: dict[int, list] = {}
         for _, h in self.items:
             q = run_length(len(h), max_edits)
@@ -137,14 +148,14 @@ class Index:
             seen = np.zeros(1 << 20, dtype=bool)
             seen[(table[0] & np.uint64(0xFFFFF)).astype(np.int64)] = True
             self.runs[q] = table, seen
-        signs = []
-        for k, (_, h) in enumerate(self.items):
-            for r in range(self.repetitions):
-                s = signatures(h, np.zeros(1, np.int64), np.array([len(h)]), len(h), r, samples)
-                signs.append((int(s[0]), k))
-        signs.sort()
-        self.signs = np.array([s for s, _ in signs], dtype=np.uint64)
-        self.sign_items = np.array([k for _, k in signs], dtype=np.int64)
+        lens = np.array([len(h) for _, h in self.items], dtype=np.int64)
+        self.walks = Walks(lens.tolist(), repetitions(samples, recall), samples)
+        ends = np.cumsum(lens)
+        flat = np.concatenate([h for _, h in self.items]) if self.items else words.hash[:0]
+        signs = self.walks.signatures(flat, ends - lens, ends, lens)
+        order = np.argsort(signs, axis=None, kind="stable")
+        self.signs = signs.ravel()[order]
+        self.sign_items = np.tile(np.arange(len(lens)), len(signs))[order]
 
     def windows(self, words: Words) -> np.ndarray:
         """(start, document, size) of the item-sized windows aligned on a shared run."""
@@ -166,18 +177,12 @@ class Index:
     def candidates(self, words: Words) -> set[tuple[int, int, int]]:
         """(document, item, window start) that agree in some repetition."""
         start, doc, size = self.windows(words)
-        out = set()
-        for n in np.unique(size).tolist():
-            mine = np.flatnonzero(size == n)
-            for r in range(self.repetitions):
-                s = signatures(words.hash, start[mine], words.cuts[doc[mine] + 1], n, r,
-                               self.samples)
-                lo = np.searchsorted(self.signs, s, side="left")
-                hi = np.searchsorted(self.signs, s, side="right")
-                for k in np.flatnonzero(hi > lo).tolist():
-                    for item in self.sign_items[lo[k] : hi[k]].tolist():
-                        out.add((int(doc[mine[k]]), item, int(start[mine[k]])))
-        return out
+        signs = self.walks.signatures(words.hash, start, words.cuts[doc + 1], size)
+        lo = np.searchsorted(self.signs, signs, side="left")
+        hi = np.searchsorted(self.signs, signs, side="right")
+        return {(int(doc[k]), item, int(start[k]))
+                for r, k in zip(*np.nonzero(hi > lo), strict=True)
+                for item in self.sign_items[lo[r, k] : hi[r, k]].tolist()}
 
     def leaks(self, words: Words) -> Iterator[tuple[int, int, int, int, int, int]]:
         """(document, item id, distance, item words, start, end): the best place of each item in
