@@ -20,11 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.calendar import spine_days
 from tessera.operators.scd2 import current_only
-from tessera.schemas import CALENDAR_END, CALENDAR_START
-
-CALENDAR_BROADCAST_ROWS = 200_000
 
 
 def join_current(fact: DataFrame, dim: DataFrame, key: str,
@@ -81,16 +77,10 @@ def join_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
             .drop("_pit_key", "_pit_start", "_pit_end", "_pit_b", "_pit_fb"))
 
 
-def join_calendar(fact: DataFrame, dim_date: DataFrame, cols: Sequence[str],
-                  calendar_rows: int | None = None) -> DataFrame:
-    """Join on the integer ``date_key``.  The calendar is broadcast when its
-    size (known from its bounds) is small; otherwise a shuffled join."""
-    if calendar_rows is None:
-        calendar_rows = spine_days(CALENDAR_START, CALENDAR_END)
-    cal = dim_date.select("date_key", *cols)
-    if calendar_rows <= CALENDAR_BROADCAST_ROWS:
-        cal = F.broadcast(cal)
-    return fact.join(cal, on="date_key", how="inner")
+def join_calendar(fact: DataFrame, dim_date: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Join on the integer ``date_key``.  Spark's own size threshold decides
+    whether the calendar is broadcast."""
+    return fact.join(dim_date.select("date_key", *cols), on="date_key", how="inner")
 
 
 # ---------------------------------------------------------------------------

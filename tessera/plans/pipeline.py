@@ -126,6 +126,7 @@ def satellite_task(wh: Warehouse, spec: SatSpec, batch: int,
                        "silver", spec.name, batch)
         return
     state = current_state(wh, spec, batch)
+    wh.drop_batch(STATE, spec.name, batch)   # of an earlier run of this load
     wh.write_batch(load_satellite(bronze, spec, state), "silver", spec.name, batch)
     cols = [spec.key_col, "load_date", "hashdiff"]
     added = wh.read_batch("silver", spec.name, batch).select(*cols)

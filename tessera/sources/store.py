@@ -5,7 +5,10 @@
   per load.  A load writes only its own partition with overwrite semantics,
   and reads the stored state as the partitions *before* it, so re-running a
   batch (after a failure or on purpose) reproduces the same partition instead
-  of appending twice.  The ``_batch`` column never leaves the store.
+  of appending twice.  The ``_batch`` column never leaves the store;
+* a table or partition exists only once its write is committed (``_SUCCESS``):
+  what an interrupted write leaves behind is neither state nor read;
+* loads go forward: a load older than the newest stored one is refused.
 
 The store is also what cuts lineage between models: every model is written
 and read back, so no plan ever stacks more than one model deep.
@@ -39,21 +42,18 @@ class Warehouse:
         routed = layer_name(self.layers.get(layer, layer), self.default_layer)
         return f"{self.root}/{routed}/{name}"
 
-    def _jvm_path_exists(self, path: str) -> bool:
-        try:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        except Exception:  # no JVM handle (e.g. a Connect session): probe by reading
-            try:
-                self.spark.read.parquet(path).schema
-                return True
-            except Exception:
-                return False
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(conf).exists(p)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+    def _committed(self, path: str) -> bool:
+        fs, p, jvm = self._fs(path)
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
 
     def exists(self, layer: str, name: str) -> bool:
-        return self._jvm_path_exists(self.path(layer, name))
+        """Whether a full table, or any partition of an incremental one, is committed."""
+        return self._committed(self.path(layer, name)) or bool(self.batch_ids(layer, name))
 
     # -- full refresh --------------------------------------------------------
     def write_full(self, df: DataFrame, layer: str, name: str) -> None:
@@ -64,49 +64,48 @@ class Warehouse:
         return f"{self.path(layer, name)}/{BATCH_COL}={batch}"
 
     def write_batch(self, df: DataFrame, layer: str, name: str, batch: int) -> None:
+        newer = [b for b in self.batch_ids(layer, name) if b > batch]
+        if newer:
+            raise ValueError(f"{layer}.{name}: load {batch} is older than stored load "
+                             f"{newer[-1]}; replay loads in order")
         df.write.mode("overwrite").parquet(self._batch_path(layer, name, batch))
 
+    def drop_batch(self, layer: str, name: str, batch: int) -> None:
+        """Invalidate a load partition."""
+        fs, p, _ = self._fs(self._batch_path(layer, name, batch))
+        fs.delete(p, True)
+
     # -- reads ---------------------------------------------------------------
+    def _partitions(self, layer: str, name: str, batches: list[int]) -> DataFrame:
+        return (self.spark.read.option("basePath", self.path(layer, name))
+                .parquet(*[self._batch_path(layer, name, b) for b in batches]))
+
     def read(self, layer: str, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(layer, name))
-        return df.drop(BATCH_COL) if BATCH_COL in df.columns else df
+        batches = self.batch_ids(layer, name)
+        if batches:
+            return self._partitions(layer, name, batches).drop(BATCH_COL)
+        return self.spark.read.parquet(self.path(layer, name))
 
     def read_before(self, layer: str, name: str, batch: int) -> DataFrame | None:
         """Stored state as seen by load ``batch``; None on the first load."""
-        if not self.exists(layer, name):
-            return None
-        df = self.spark.read.parquet(self.path(layer, name))
-        if BATCH_COL not in df.columns:
-            return df
-        return df.filter(F.col(BATCH_COL) < batch).drop(BATCH_COL)
+        earlier = [b for b in self.batch_ids(layer, name) if b < batch]
+        return self._partitions(layer, name, earlier).drop(BATCH_COL) if earlier else None
 
     def read_batch(self, layer: str, name: str, batch: int) -> DataFrame:
-        """Rows appended by load ``batch`` (partition-pruned scan)."""
-        df = self.spark.read.parquet(self.path(layer, name))
-        return df.filter(F.col(BATCH_COL) == batch).drop(BATCH_COL)
+        """Rows appended by load ``batch`` (its folder alone is listed)."""
+        return self._partitions(layer, name, [batch]).drop(BATCH_COL)
 
     def batch_ids(self, layer: str, name: str) -> list[int]:
-        """Load partitions of a table, from one directory listing."""
-        path = self.path(layer, name)
-        try:
-            jvm = self.spark.sparkContext._jvm
-            conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        except Exception:  # no JVM handle: ask Spark for the partition values
-            if not self.exists(layer, name):
-                return []
-            rows = (self.spark.read.parquet(path).select(BATCH_COL).distinct().collect())
-            return sorted(r[0] for r in rows)
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(conf)
+        """Committed load partitions of a table, from its directory listing."""
+        fs, p, _ = self._fs(self.path(layer, name))
         if not fs.exists(p):
             return []
         prefix = BATCH_COL + "="
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if st.isDirectory() and n.startswith(prefix) and n[len(prefix):].lstrip("-").isdigit():
-                out.append(int(n[len(prefix):]))
-        return sorted(out)
+        found = [st.getPath() for st in fs.listStatus(p)
+                 if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+        return sorted(int(f.getName()[len(prefix):]) for f in found
+                      if f.getName()[len(prefix):].lstrip("-").isdigit()
+                      and self._committed(f.toString()))
 
     def max_batch(self, layer: str, name: str, before: int) -> int | None:
         """Newest load partition below ``before``, or None."""
@@ -115,5 +114,5 @@ class Warehouse:
 
     def batches(self, layer: str, name: str) -> DataFrame:
         """Row count per load partition (a metadata-sized aggregate)."""
-        df = self.spark.read.parquet(self.path(layer, name))
+        df = self._partitions(layer, name, self.batch_ids(layer, name))
         return df.groupBy(BATCH_COL).agg(F.count(F.lit(1)).alias("rows_added"))

@@ -11,16 +11,18 @@ epoch after a failure rewrites the same partition, and the stream's own
 checkpoint (under the session's checkpoint folder) records which files were
 consumed, so each extract is loaded once.
 
-The load stamp of a micro-batch is the processing time, one constant per
-extract, exactly as a scheduled batch extract stamps its rows.
+The load stamp of a micro-batch is the newest modification time of its files:
+one constant per extract, and the same when an epoch is replayed.  A trigger
+takes all files that have landed, however many, so an extract whose files are
+moved in at once is never cut.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.bronze import extract_bronze
@@ -31,11 +33,16 @@ from tessera.session import scratch_root
 from tessera.sources.raw import conform
 from tessera.sources.store import Warehouse
 
+LANDED = "_landed_at"
+
 
 def _loader(wh: Warehouse, source: str, base: int, threads: int):
     def load(batch_df: DataFrame, epoch_id: int) -> None:
         batch = base + epoch_id
-        stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(" ")
+        newest = batch_df.agg(F.max(LANDED).cast("string")).first()[0]
+        if newest is None:
+            return
+        stamp, batch_df = newest, batch_df.drop(LANDED)
         bronze = extract_bronze(conform(batch_df, source), BRONZE_COLUMNS[source], stamp)
         wh.write_full(bronze, "bronze", BRONZE[source])
         _run_all(silver_tasks(wh, [source], batch), threads)
@@ -52,8 +59,8 @@ def start_landing_load(spark: SparkSession, wh: Warehouse, landing_dir: str,
     queries = []
     for source in sources:
         stream = (spark.readStream.schema(SOURCE_SCHEMAS[source])
-                  .option("maxFilesPerTrigger", 1000)
-                  .parquet(f"{landing_dir.rstrip('/')}/{source}"))
+                  .parquet(f"{landing_dir.rstrip('/')}/{source}")
+                  .select("*", F.col("_metadata.file_modification_time").alias(LANDED)))
         writer = (stream.writeStream.foreachBatch(_loader(wh, source, base_batch, threads))
                   .option("checkpointLocation", f"{ckpt}/{source}")
                   .queryName(f"land_{source}"))

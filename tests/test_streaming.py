@@ -31,3 +31,17 @@ def test_landed_extracts_load_incrementally(spark, scratch):
     # nothing new landed: nothing is reloaded
     run_landing_once(spark, wh, landing, ["customers"], base_batch=100, checkpoint_dir=ckpt)
     assert wh.read("silver", "sat_customer_details").count() == 173
+
+
+def test_an_extract_of_many_files_is_one_load(spark, scratch):
+    t = DriverTables(spark, SF)
+    landing = os.path.join(scratch, "landing")
+    wh = Warehouse(spark, os.path.join(scratch, "wh"))
+    rows = t.customers(1)
+    rows.repartition(1100).write.option("maxRecordsPerFile", 1).parquet(
+        os.path.join(landing, "customers"))
+    run_landing_once(spark, wh, landing, ["customers"], base_batch=7,
+                     checkpoint_dir=os.path.join(scratch, "streams"))
+    bronze = wh.read("bronze", "bronze_customers")
+    assert bronze.count() == rows.count()
+    assert bronze.select("_loaded_at").distinct().count() == 1
