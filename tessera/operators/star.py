@@ -7,10 +7,9 @@ one (``is_current``) or the one valid at the event time (half-open
 ``[effective_start_date, effective_end_date)``).  Joining on the hub key alone
 fans out.
 
-Broadcasts: the calendar is broadcast only when its row count, fixed by its
-bounds, is under ``CALENDAR_BROADCAST_ROWS``; everything else is left to AQE,
-which switches a join to broadcast from the *measured* size of the finished
-shuffle stage and otherwise keeps a sort-merge join with skew splitting.
+Broadcasts: none is forced.  Spark's threshold and AQE switch a join to
+broadcast from the *measured* size of the finished shuffle stage and otherwise
+keep a sort-merge join with skew splitting.
 """
 
 from __future__ import annotations
