@@ -1,5 +1,5 @@
 """Declared schemas of the seven raw bank tables and the fixed values the
-models depend on.  Nothing is ever inferred from the data."""
+models depend on.  Nothing is ever guessed from values."""
 
 from __future__ import annotations
 
@@ -34,30 +34,32 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-S, L, I, D = T.StringType(), T.LongType(), T.IntegerType(), T.DateType()
-DBL = T.DoubleType()
-TS = T.TimestampNTZType()
+S, D, TS = T.StringType(), T.DateType(), T.TimestampNTZType()
+# measures in text files: exact, wider than any stored type; the satellites cast and round
+NUM = T.DecimalType(38, 10)
 
+#: Columns of every source, and the types that csv and json files are read with.  Business ids are
+#: text ('007' is not '7').  Typed files (parquet, orc) and databases keep the types they declare.
 SOURCE_SCHEMAS: dict[str, T.StructType] = {
     "customers": _schema(
-        ("customer_id", L), ("first_name", S), ("last_name", S), ("email", S),
-        ("city", S), ("credit_score", L), ("created_at", D)),
+        ("customer_id", S), ("first_name", S), ("last_name", S), ("email", S),
+        ("city", S), ("credit_score", NUM), ("created_at", D)),
     "accounts": _schema(
-        ("account_id", L), ("customer_id", L), ("account_type", S),
-        ("balance_usd", DBL), ("open_date", D)),
+        ("account_id", S), ("customer_id", S), ("account_type", S),
+        ("balance_usd", NUM), ("open_date", D)),
     "cards": _schema(
-        ("card_id", S), ("account_id", L), ("card_type", S), ("expiration_date", D)),
+        ("card_id", S), ("account_id", S), ("card_type", S), ("expiration_date", D)),
     "branches": _schema(
-        ("branch_id", I), ("branch_name", S), ("city", S), ("country", S),
+        ("branch_id", S), ("branch_name", S), ("city", S), ("country", S),
         ("manager_name", S)),
     "loans": _schema(
-        ("loan_id", L), ("customer_id", L), ("loan_amount", DBL),
-        ("interest_rate", DBL), ("start_date", D)),
+        ("loan_id", S), ("customer_id", S), ("loan_amount", NUM),
+        ("interest_rate", NUM), ("start_date", D)),
     "merchants": _schema(
-        ("merchant_id", L), ("merchant_name", S), ("city", S)),
+        ("merchant_id", S), ("merchant_name", S), ("city", S)),
     "transactions": _schema(
-        ("transaction_id", S), ("account_id", L), ("merchant_id", L),
-        ("amount_usd", T.DecimalType(18, 2)), ("transaction_date", TS)),
+        ("transaction_id", S), ("account_id", S), ("merchant_id", S),
+        ("amount_usd", NUM), ("transaction_date", TS)),
 }
 
 SOURCE_NAMES = list(SOURCE_SCHEMAS)

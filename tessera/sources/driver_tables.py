@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources.raw import conform
 
 BATCH_STAMPS = {
     1: "2016-01-01 00:00:00",
@@ -32,6 +31,28 @@ BATCH_SOURCES = {
     3: ["customers", "accounts", "cards", "branches", "loans", "merchants", "transactions"],
 }
 
+# types of the derived tables
+FIXTURE_TYPES = {
+    "customers": "customer_id bigint, first_name string, last_name string, email string, "
+                 "city string, credit_score bigint, created_at date",
+    "accounts": "account_id bigint, customer_id bigint, account_type string, "
+                "balance_usd double, open_date date",
+    "cards": "card_id string, account_id bigint, card_type string, expiration_date date",
+    "branches": "branch_id int, branch_name string, city string, country string, "
+                "manager_name string",
+    "loans": "loan_id bigint, customer_id bigint, loan_amount double, interest_rate double, "
+             "start_date date",
+    "merchants": "merchant_id bigint, merchant_name string, city string",
+    "transactions": "transaction_id string, account_id bigint, merchant_id bigint, "
+                    "amount_usd decimal(18,2), transaction_date timestamp_ntz",
+}
+
+
+def _typed(df: DataFrame, name: str) -> DataFrame:
+    columns = [c.split(" ", 1) for c in FIXTURE_TYPES[name].split(", ")]
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in columns])
+
+
 def stamp(batch: int) -> Column:
     return F.lit(BATCH_STAMPS[batch]).cast("timestamp_ntz")
 
@@ -70,7 +91,7 @@ class DriverTables:
             (550 + (key * 37) % 300 + F.when(bump, 40).otherwise(0)).alias("credit_score"),
             F.date_add(F.lit("2015-01-01").cast("date"), (key % 3650).cast("int")).alias("created_at"),
         )
-        return conform(df, "customers")
+        return _typed(df, "customers")
 
     def accounts(self, b: int) -> DataFrame:
         o = self.table("orders")
@@ -87,7 +108,7 @@ class DriverTables:
             (F.col("o_totalprice") + extra).alias("balance_usd"),
             _years(F.col("o_orderdate"), 20).cast("date").alias("open_date"),
         )
-        return conform(df, "accounts")
+        return _typed(df, "accounts")
 
     def cards(self, b: int = 3) -> DataFrame:
         o = self.table("orders").filter(F.col("o_orderstatus") == "F")
@@ -97,7 +118,7 @@ class DriverTables:
             F.col("o_orderpriority").alias("card_type"),
             _years(F.col("o_orderdate"), 24).cast("date").alias("expiration_date"),
         )
-        return conform(df, "cards")
+        return _typed(df, "cards")
 
     def branches(self, b: int = 3) -> DataFrame:
         n = self.table("nation")
@@ -109,7 +130,7 @@ class DriverTables:
             F.col("r_name").alias("country"),
             F.concat(F.lit("Manager "), F.col("n_name")).alias("manager_name"),
         )
-        return conform(df, "branches")
+        return _typed(df, "branches")
 
     def loans(self, b: int = 3) -> DataFrame:
         e = self.table("events").filter(F.col("event_type") == "purchase")
@@ -120,7 +141,7 @@ class DriverTables:
             ((F.col("event_id") % 1500).cast("double") / 100).alias("interest_rate"),
             F.col("ts").cast("date").alias("start_date"),
         )
-        return conform(df, "loans")
+        return _typed(df, "loans")
 
     def merchants(self, b: int = 3) -> DataFrame:
         s = self.table("supplier")
@@ -130,7 +151,7 @@ class DriverTables:
             F.col("s_name").alias("merchant_name"),
             F.col("n_name").alias("city"),
         )
-        return conform(df, "merchants")
+        return _typed(df, "merchants")
 
     def transactions(self, b: int = 3) -> DataFrame:
         # (l_orderkey, l_linenumber) repeats in lineitem: one transaction per
@@ -146,7 +167,7 @@ class DriverTables:
                   F.col("l_orderkey").alias("account_id"),
                   "merchant_id", "amount_usd",
                   _years(F.col("first_ship"), 20).alias("transaction_date")))
-        return conform(df, "transactions")
+        return _typed(df, "transactions")
 
     def raw_transaction_lines(self) -> DataFrame:
         """One row per lineitem row, *not* grouped: duplicate transaction ids
@@ -161,6 +182,18 @@ class DriverTables:
             _years(F.col("l_shipdate"), 20).alias("_loaded_at"),
         )
 
+    def scored_customers(self) -> DataFrame:
+        """Customers with text ids that have leading zeros ('000000001') and a fractional score
+        (the account balance, an exact decimal)."""
+        c = self.table("customer")
+        return c.select(
+            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("customer_id"),
+            F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
+            F.col("c_name").alias("last_name"), F.col("c_mktsegment").alias("email"),
+            F.col("c_mktsegment").alias("city"),
+            F.col("c_acctbal").cast("decimal(18,2)").alias("credit_score"),
+            F.lit("2015-01-01").cast("date").alias("created_at"))
+
     def source(self, name: str, b: int) -> DataFrame:
         if name not in BATCH_SOURCES[b]:
             raise KeyError(f"source {name!r} is not extracted in batch {b}")

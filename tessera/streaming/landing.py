@@ -2,7 +2,7 @@
 into the same bronze → silver load the batch pipeline runs.
 
 One Structured Streaming query per source reads the files landing in
-``<landing>/<source>/`` (parquet, the declared schema) and runs
+``<landing>/<source>/`` (parquet, with the types its files declare) and runs
 ``foreachBatch``: a micro-batch — everything landed since the previous
 trigger, i.e. one extract when extracts land between triggers — is written to
 bronze and appended to that source's hubs, links and satellites as load
@@ -19,16 +19,16 @@ moved in at once is never cut.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators.bronze import extract_bronze
 from tessera.plans.models import BRONZE, BRONZE_COLUMNS
 from tessera.plans.pipeline import DEFAULT_THREADS, _run_all, silver_tasks
-from tessera.schemas import SOURCE_SCHEMAS
 from tessera.session import scratch_root
 from tessera.sources.raw import conform
 from tessera.sources.store import Warehouse
@@ -52,14 +52,17 @@ def _loader(wh: Warehouse, source: str, base: int, threads: int):
 def start_landing_load(spark: SparkSession, wh: Warehouse, landing_dir: str,
                        sources: Iterable[str], base_batch: int,
                        checkpoint_dir: str | None = None, available_now: bool = True,
-                       threads: int = DEFAULT_THREADS) -> list[StreamingQuery]:
+                       threads: int = DEFAULT_THREADS,
+                       schemas: Mapping[str, T.StructType] | None = None) -> list[StreamingQuery]:
     """Start one stream per source; ``base_batch`` must exceed every load
-    partition already stored (e.g. a yyyymmddHHMM of the stream's start)."""
+    partition already stored (e.g. a yyyymmddHHMM of the stream's start).
+    A source of which nothing has landed yet needs its file types in ``schemas``."""
     ckpt = checkpoint_dir or f"{scratch_root(spark)}/tessera-streams"
     queries = []
     for source in sources:
-        stream = (spark.readStream.schema(SOURCE_SCHEMAS[source])
-                  .parquet(f"{landing_dir.rstrip('/')}/{source}")
+        landing = f"{landing_dir.rstrip('/')}/{source}"
+        schema = (schemas or {}).get(source) or spark.read.parquet(landing).schema
+        stream = (spark.readStream.schema(schema).parquet(landing)
                   .select("*", F.col("_metadata.file_modification_time").alias(LANDED)))
         writer = (stream.writeStream.foreachBatch(_loader(wh, source, base_batch, threads))
                   .option("checkpointLocation", f"{ckpt}/{source}")
