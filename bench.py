@@ -66,11 +66,8 @@ def main() -> None:
             g["fact_transactions"], g["dim_customer"], g["dim_date"]),
         "join_point_in_time": lambda: star.transactions_point_in_time(
             g["fact_transactions"], g["dim_customer"]),
-        "join_point_in_time_bucketed": lambda: star.join_as_of(
-            g["fact_transactions"].select("transaction_hub_key", "customer_hub_key",
-                                          "transaction_date", "amount_usd"),
-            g["dim_customer"], "customer_hub_key", "transaction_date",
-            ["customer_key", "city", "credit_tier", "effective_start_date"], bucket="year"),
+        "join_point_in_time_bucketed": lambda: star.transactions_point_in_time(
+            g["fact_transactions"], g["dim_customer"], bucket="year"),
         "join_current": lambda: star.transactions_current(
             g["fact_transactions"], g["dim_customer"]),
         "transactions_star": lambda: star.transactions_star(

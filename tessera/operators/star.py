@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.scd2 import current_only
+from tessera.schemas import CALENDAR_END, CALENDAR_START
 
 
 def join_current(fact: DataFrame, dim: DataFrame, key: str,
@@ -30,17 +31,19 @@ def join_current(fact: DataFrame, dim: DataFrame, key: str,
     return fact.join(d, on=key, how=how)
 
 
-def _bucket(c, unit: str):
-    if unit == "year":
-        return F.year(c)
-    if unit == "month":
-        return F.year(c) * 12 + F.month(c) - 1
-    raise ValueError(f"unknown bucket {unit!r}")
+def _bucket(c, unit: str, bounds: tuple[str, str]):
+    """Time bucket of ``c``; what lies outside ``bounds`` counts to the first or last bucket."""
+    if unit not in ("year", "month"):
+        raise ValueError(f"unknown bucket {unit!r}")
+    lo, hi = (F.lit(b).cast("timestamp_ntz") for b in bounds)
+    c = F.greatest(F.least(c, hi), lo)
+    return F.year(c) if unit == "year" else F.year(c) * 12 + F.month(c) - 1
 
 
 def join_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
                dim_cols: Sequence[str], how: str = "inner", prefix: str = "",
-               bucket: str | None = None) -> DataFrame:
+               bucket: str | None = None,
+               bounds: tuple[str, str] = (CALENDAR_START, CALENDAR_END)) -> DataFrame:
     """Point-in-time join: the version whose ``[start, end)`` holds the event.
 
     Planned as an equi-join on the hub key with the interval as a residual
@@ -50,27 +53,24 @@ def join_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
     With few versions per key (one per load) the residual check is cheap.
     For dimensions with long histories, ``bucket="year"`` or ``"month"``
     makes the equi-join key (hub key, time bucket): each version is repeated
-    once per bucket it overlaps — clipped at the latest event time, a single
-    aggregated scalar — so an event is only compared with the versions of
-    its own bucket.  Same rows either way."""
+    once per bucket it overlaps, so an event is only compared with the
+    versions of its own bucket.  Buckets are clipped to ``bounds``, which
+    limits the copies of an open-ended version; versions and events outside
+    share the first or last bucket, so the rows are the same with any bounds
+    and tight ones only make fewer copies."""
     d = dim.select(F.col(key).alias("_pit_key"),
                    F.col("effective_start_date").alias("_pit_start"),
                    F.col("effective_end_date").alias("_pit_end"),
                    *[F.col(c).alias(prefix + c) for c in dim_cols])
-    cond = ((fact[key] == d["_pit_key"])
-            & (fact[event_col] >= d["_pit_start"])
-            & (fact[event_col] < d["_pit_end"]))
     if bucket is None:
-        return fact.join(d, cond, how).drop("_pit_key", "_pit_start", "_pit_end")
-    last_event = fact.agg(F.max(event_col)).first()[0]
-    if last_event is None:
-        return fact.join(d, cond, how).drop("_pit_key", "_pit_start", "_pit_end")
-    lo = _bucket(F.col("_pit_start"), bucket)
-    hi = F.least(_bucket(F.col("_pit_end"), bucket), _bucket(F.lit(last_event), bucket))
-    d = d.withColumn("_pit_b", F.explode(
-        F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))))
-    f = fact.withColumn("_pit_fb", _bucket(F.col(event_col), bucket))
-    cond = ((f[key] == d["_pit_key"]) & (f["_pit_fb"] == d["_pit_b"])
+        f, same_bucket = fact, F.lit(True)
+    else:
+        first, last = (_bucket(F.col(c), bucket, bounds) for c in ("_pit_start", "_pit_end"))
+        d = d.withColumn("_pit_b", F.explode(
+            F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))))
+        f = fact.withColumn("_pit_fb", _bucket(F.col(event_col), bucket, bounds))
+        same_bucket = f["_pit_fb"] == d["_pit_b"]
+    cond = ((f[key] == d["_pit_key"]) & same_bucket
             & (f[event_col] >= d["_pit_start"]) & (f[event_col] < d["_pit_end"]))
     return (f.join(d, cond, how)
             .drop("_pit_key", "_pit_start", "_pit_end", "_pit_b", "_pit_fb"))
@@ -110,12 +110,23 @@ def transactions_current(fact_transactions: DataFrame, dim_customer: DataFrame)
     return join_current(f, dim_customer, "customer_hub_key", ["city", "credit_tier"])
 
 
-def transactions_point_in_time(fact_transactions: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def transactions_point_in_time(fact_transactions: DataFrame, dim_customer: DataFrame,
+                               bucket: str | None = None) -> DataFrame:
     """Each transaction with the customer version valid at transaction time."""
     f = fact_transactions.select("transaction_hub_key", "customer_hub_key",
                                  "transaction_date", "amount_usd")
     return join_as_of(f, dim_customer, "customer_hub_key", "transaction_date",
-                      ["customer_key", "city", "credit_tier", "effective_start_date"])
+                      ["customer_key", "city", "credit_tier", "effective_start_date"],
+                      bucket=bucket)
+
+
+def activity_by_day(fact_transactions: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Transactions and spend per calendar day, with every attribute of the day.  The fact is
+    summed per day first, so the calendar join sees one row a day."""
+    per_day = (fact_transactions.groupBy("date_key")
+               .agg(F.count(F.lit(1)).alias("transactions"),
+                    F.sum("amount_usd").cast("decimal(25,2)").alias("spend")))
+    return join_calendar(per_day, dim_date, [c for c in dim_date.columns if c != "date_key"])
 
 
 def transactions_star(fact_transactions: DataFrame, dim_customer: DataFrame,

@@ -24,19 +24,29 @@ from tessera.operators import star
 from tessera.operators.bronze import extract_bronze
 from tessera.operators.calendar import date_spine
 from tessera.operators.checks import (
+    CheckSpec,
+    check_not_null,
+    check_relationships,
     check_unique,
     check_unique_combination,
     null_counts,
     run_checks,
 )
 from tessera.operators.scd2 import current_only, scd2_intervals
-from tessera.operators.vault import cast_columns, latest_version, load_hub, load_link
+from tessera.operators.vault import (
+    cast_columns,
+    latest_version,
+    load_hub,
+    load_link,
+    load_satellite,
+)
 from tessera.plans import gold
 from tessera.plans.check_specs import CHECK_SPECS
 from tessera.plans.models import BRONZE_COLUMNS, HUB, LINK, SAT
 from tessera.plans.pipeline import build_warehouse, model_tables, source_tables
 from tessera.schemas import RECORD_SOURCE, TRANSACTION_ID_WIDTH, ID_WIDTH
 from tessera.session import application_id, configure_session, scratch_root
+from tessera.sources.raw import conform
 from tessera.sources.driver_tables import BATCH_SOURCES, DriverTables, stamp
 from tessera.sources.store import Warehouse
 
@@ -178,6 +188,18 @@ def link_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return load_link(_raw_lines_bronze(spark, sf), LINK["link_account_merchant"])
 
 
+def text_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Hub of ids with leading zeros, from the raw frame on."""
+    raw = conform(_tables(spark, sf).scored_customers(), "customers")
+    return load_hub(extract_bronze(raw, raw.columns, stamp(1)), HUB["hub_customer"])
+
+
+def fractional_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Satellite of fractional scores: bronze keeps them, the satellite rounds."""
+    raw = conform(_tables(spark, sf).scored_customers(), "customers")
+    return load_satellite(extract_bronze(raw, raw.columns, stamp(1)), SAT["sat_customer_details"])
+
+
 def hub_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse(spark, sf).read_batch("silver", "hub_customer", 2)
 
@@ -233,6 +255,15 @@ def join_point_in_time(spark: SparkSession, sf: str) -> DataFrame:
     return star.transactions_point_in_time(*_g(spark, sf, "fact_transactions", "dim_customer"))
 
 
+def join_point_in_time_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    return star.transactions_point_in_time(*_g(spark, sf, "fact_transactions", "dim_customer"),
+                                           bucket="month")
+
+
+def activity_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    return star.activity_by_day(*_g(spark, sf, "fact_transactions", "dim_date"))
+
+
 def spend_by_city_quarter(spark: SparkSession, sf: str) -> DataFrame:
     return star.spend_by_city_quarter(
         *_g(spark, sf, "fact_transactions", "dim_customer", "dim_date"))
@@ -290,6 +321,57 @@ def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
     return _checks(spark, sf, lambda s: True)
 
 
+# Checks on data that fails them: newer accounts against older customers (withheld customers are
+# orphans), accounts without a card, transaction lines before they are grouped.
+FAILING_SPECS = [
+    CheckSpec("new_accounts", "relationships", ("customer_id",), to="old_customers",
+              field="customer_id"),
+    CheckSpec("new_accounts", "unique", ("customer_id",)),
+    CheckSpec("new_accounts", "unique", ("account_id",)),
+    CheckSpec("account_cards", "not_null", ("card_id",)),
+    CheckSpec("account_cards", "not_null", ("account_id",)),
+    CheckSpec("lines", "unique", ("transaction_id",), where="merchant_id % 2 = 0"),
+    CheckSpec("lines", "unique_combination", ("account_id", "merchant_id")),
+    CheckSpec("lines", "unique_combination", ("transaction_id", "merchant_id"),
+              where="account_id % 2 = 0"),
+    CheckSpec("lines", "relationships", ("account_id",), to="account_cards", field="account_id",
+              where="merchant_id % 2 = 0"),
+    CheckSpec("lines", "relationships", ("account_id",), to="cards", field="account_id"),
+]
+
+
+def _failing_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    t = _tables(spark, sf)
+    cards = t.cards(3).select("account_id", "card_id")
+    return {"new_accounts": t.accounts(3), "old_customers": t.customers(1), "cards": cards,
+            "account_cards": t.accounts(3).select("account_id").join(cards, "account_id", "left"),
+            "lines": t.raw_transaction_lines()}
+
+
+def orphan_accounts(spark: SparkSession, sf: str) -> DataFrame:
+    t = _failing_tables(spark, sf)
+    return check_relationships(t["new_accounts"], "customer_id", t["old_customers"], "customer_id")
+
+
+def accounts_without_card(spark: SparkSession, sf: str) -> DataFrame:
+    return check_not_null(_failing_tables(spark, sf)["account_cards"], "card_id")
+
+
+def null_counts_failing(spark: SparkSession, sf: str) -> DataFrame:
+    return null_counts(_failing_tables(spark, sf)["account_cards"], ["account_id", "card_id"])
+
+
+def scoped_duplicate_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Account and merchant pairs seen twice or more, within one half of the merchants (the
+    scope is the feature)."""
+    return check_unique_combination(_failing_tables(spark, sf)["lines"],
+                                    ["account_id", "merchant_id"], where="merchant_id % 2 = 0")
+
+
+def failing_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    return run_checks(_failing_tables(spark, sf), FAILING_SPECS)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {
         "spend_by_city_quarter": spend_by_city_quarter,
@@ -324,6 +406,15 @@ def registry() -> dict[str, Query]:
         "check_unique_combination": check_unique_combination_query,
         "check_one_current_version": check_one_current_version,
         "dq_summary": dq_summary,
+        "orphan_accounts": orphan_accounts,
+        "accounts_without_card": accounts_without_card,
+        "null_counts_failing": null_counts_failing,
+        "scoped_duplicate_lines": scoped_duplicate_lines,
+        "failing_catalogue": failing_catalogue,
+        "text_ids": text_ids,
+        "fractional_score": fractional_score,
+        "join_point_in_time_bucketed": join_point_in_time_bucketed,
+        "activity_by_day": activity_by_day,
         "transactions_star": transactions_star,
         "loans_star": loans_star,
         "balances_star": balances_star,
