@@ -6,7 +6,8 @@
     python -m tessera test   --root R [--layer silver]
 
 ``load`` writes bronze and appends silver for one batch (``--layer bronze``
-stops after bronze); ``gold`` rebuilds the star; ``test`` prints the check
+stops after bronze, ``--layer silver`` loads silver from the stored bronze;
+``--full-refresh`` starts silver anew from this batch); ``gold`` rebuilds the star; ``test`` prints the check
 summary and exits 1 when a check fails; ``build`` = load, upstream checks,
 gold, gold checks — a failed check stops the build.  Raw tables come from
 ``--raw-dir`` (``<dir>/<table>``, any reader format, declared schemas) or,
@@ -26,8 +27,10 @@ from tessera.plans.pipeline import (
     load_bronze,
     run_batch,
     run_data_checks,
+    run_silver,
     source_tables,
 )
+from tessera.plans.models import BRONZE
 from tessera.schemas import SOURCE_NAMES
 from tessera.session import configure_session, scratch_root
 from tessera.sources.driver_tables import BATCH_STAMPS, DriverTables
@@ -76,19 +79,29 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--tables", help="comma-separated raw tables to extract (default: all)")
     p.add_argument("--sf-dir", help="test-data folder (derives the raw tables per batch)")
     p.add_argument("--layer", default="all", choices=list(LAYERS))
+    p.add_argument("--full-refresh", action="store_true",
+                   help="load/build: replace stored silver by this batch alone")
     args = p.parse_args(argv)
 
     spark = configure_session(SparkSession.builder.appName("tessera").getOrCreate())
     wh = Warehouse(spark, args.root or f"{scratch_root(spark)}/tessera-warehouse")
-    if args.command in ("load", "build") and (args.batch is None
-                                              or not (args.raw_dir or args.sf_dir)):
+    silver_only = args.command == "load" and args.layer == "silver"
+    if args.command == "load" and args.layer in ("source", "gold"):
+        p.error("load takes --layer bronze, silver or all")
+    if args.command in ("load", "build") and (
+            args.batch is None or not (args.raw_dir or args.sf_dir or silver_only)):
         p.error("load/build need --batch and --raw-dir or --sf-dir")
+    if silver_only:
+        stored = [n for n in (args.tables.split(",") if args.tables else SOURCE_NAMES)
+                  if wh.exists("bronze", BRONZE[n])]
+        run_silver(wh, stored, args.batch, full_refresh=args.full_refresh)
+        return 0
     if args.command == "load":
         srcs = _sources(spark, args)
         if args.layer == "bronze":
             load_bronze(wh, srcs, _loaded_at(args))
         else:
-            run_batch(wh, srcs, _loaded_at(args), args.batch)
+            run_batch(wh, srcs, _loaded_at(args), args.batch, full_refresh=args.full_refresh)
         return 0
     if args.command == "gold":
         build_gold(wh)
@@ -96,7 +109,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "test":
         return _check(spark, wh, args, LAYERS[args.layer])
     # build: failed upstream checks block gold
-    run_batch(wh, _sources(spark, args), _loaded_at(args), args.batch)
+    run_batch(wh, _sources(spark, args), _loaded_at(args), args.batch,
+              full_refresh=args.full_refresh)
     extra = source_tables(DriverTables(spark, args.sf_dir), args.batch) if args.sf_dir else None
     try:
         enforce(run_data_checks(wh, extra, layers=("source", "bronze", "silver")))

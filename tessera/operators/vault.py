@@ -62,12 +62,16 @@ def only_new(df: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
     return df.join(existing.select(key).hint("merge"), on=key, how="left_anti")
 
 
-def new_or_changed(incoming: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
+def new_or_changed(incoming: DataFrame, existing: DataFrame | None, key: str,
+                   latest_only: bool = False) -> DataFrame:
     """Insert-only change detection: keep incoming rows whose key has no
-    stored version or whose hashdiff differs from the *latest* stored one."""
+    stored version or whose hashdiff differs from the *latest* stored one.
+    ``latest_only`` says that ``existing`` has one row a key, so that it needs
+    no ranking."""
     if existing is None:
         return incoming
-    latest = latest_version(existing.select(key, "load_date", "hashdiff"), key)
+    latest = existing if latest_only else latest_version(
+        existing.select(key, "load_date", "hashdiff"), key)
     current = latest.select(key, F.col("hashdiff").alias("_cv_hashdiff"))
     return (incoming.join(current.hint("merge"), on=key, how="left")
             .filter(F.col("_cv_hashdiff").isNull()
@@ -198,11 +202,12 @@ def satellite_incoming(bronze: DataFrame, spec: SatSpec) -> DataFrame:
     )
 
 
-def load_satellite(bronze: DataFrame, spec: SatSpec, existing: DataFrame | None = None) -> DataFrame:
+def load_satellite(bronze: DataFrame, spec: SatSpec, existing: DataFrame | None = None,
+                   latest_only: bool = False) -> DataFrame:
     """Satellite rows to append: new keys and changed fingerprints.  No dedup
     inside one extract: a duplicated id yields two rows (the grain check
     reports it)."""
-    return new_or_changed(satellite_incoming(bronze, spec), existing, spec.key_col)
+    return new_or_changed(satellite_incoming(bronze, spec), existing, spec.key_col, latest_only)
 
 
 def load_satellite_history(stacked_bronze: DataFrame, spec: SatSpec,

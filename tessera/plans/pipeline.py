@@ -16,7 +16,7 @@ import os
 import sys
 import time
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -77,77 +77,99 @@ def load_bronze(wh: Warehouse, sources: Mapping[str, DataFrame], loaded_at: Colu
     _run_all([task(s, d) for s, d in sources.items()], threads)
 
 
-def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int) -> list[Callable[[], None]]:
+def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int,
+                 full_refresh: bool = False) -> list[Callable[[], None]]:
+    """One task per hub, link and satellite fed by ``sources``.  With ``full_refresh`` a model
+    starts anew from this load, as if nothing were stored."""
     tasks: list[Callable[[], None]] = []
     for src in sources:
         hubs, links, sats = silver_for_source(src)
         bronze = wh.read("bronze", BRONZE[src])   # resolved once, shared by the models
-        for spec in hubs:
-            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze: wh.write_batch(
-                load_hub(bronze, spec, wh.read_before("silver", spec.name, batch)),
-                "silver", spec.name, batch)))
-        for spec in links:
-            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze: wh.write_batch(
-                load_link(bronze, spec, wh.read_before("silver", spec.name, batch)),
-                "silver", spec.name, batch)))
+        for load, spec in [*((load_hub, h) for h in hubs), *((load_link, k) for k in links)]:
+            def task(load=load, spec=spec, bronze=bronze) -> None:
+                stored = None if full_refresh else wh.read_before("silver", spec.name, batch)
+                wh.write_batch(load(bronze, spec, stored), "silver", spec.name, batch,
+                               full_refresh)
+            tasks.append(_traced(spec.name, task))
         for spec in sats:
             tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze:
-                                 satellite_task(wh, spec, batch, bronze)))
+                                 satellite_task(wh, spec, batch, bronze, full_refresh)))
     return tasks
 
 
-STATE = "state"   # layer of the per-load current-version snapshots
+STATE = "state"       # layer of the current-version snapshots
+SNAPSHOT_EVERY = 8    # loads per snapshot; the loads since then are read beside it
 
 
 def current_state(wh: Warehouse, spec: SatSpec, batch: int) -> DataFrame | None:
-    """Latest (key, load_date, hashdiff) per key as seen by load ``batch``.
-
-    Read from the snapshot of the newest earlier load when that snapshot is
-    up to date (no silver partition newer than it below ``batch``) — a scan
-    of one row per key; otherwise derived from the satellite history."""
+    """Latest (key, load_date, hashdiff) per key as seen by load ``batch``: the newest earlier
+    snapshot and the rows appended since, or the whole history where there is no snapshot."""
+    cols = [spec.key_col, "load_date", "hashdiff"]
     snap = wh.max_batch(STATE, spec.name, batch)
-    newest = wh.max_batch("silver", spec.name, batch)
-    if snap is not None and (newest is None or newest <= snap):
-        return wh.read_batch(STATE, spec.name, snap)
-    history = wh.read_before("silver", spec.name, batch)
-    if history is None:
-        return None
-    return latest_version(history.select(spec.key_col, "load_date", "hashdiff"), spec.key_col)
-
-
-def satellite_task(wh: Warehouse, spec: SatSpec, batch: int,
-                   bronze: DataFrame | None = None) -> None:
-    """Append load ``batch`` to a satellite; for snapshot satellites, then
-    record its current state for the next load."""
+    since = wh.read_before("silver", spec.name, batch, after=snap)
+    if snap is None:
+        return None if since is None else latest_version(since.select(*cols), spec.key_col)
+    state = wh.read_batch(STATE, spec.name, snap).select(*cols)
+    if since is None:
+        return state
+    return latest_version(state.unionByName(since.select(*cols)), spec.key_col)
+
+
+def satellite_task(wh: Warehouse, spec: SatSpec, batch: int, bronze: DataFrame | None = None,
+                   full_refresh: bool = False) -> None:
+    """Append load ``batch`` to a satellite; for snapshot satellites, record the current state
+    at every ``SNAPSHOT_EVERY``-th load."""
     if bronze is None:
         bronze = wh.read("bronze", BRONZE[spec.source])
     if not spec.snapshot:
-        wh.write_batch(load_satellite(bronze, spec, wh.read_before("silver", spec.name, batch)),
-                       "silver", spec.name, batch)
+        stored = None if full_refresh else wh.read_before("silver", spec.name, batch)
+        wh.write_batch(load_satellite(bronze, spec, stored), "silver", spec.name, batch,
+                       full_refresh)
         return
-    state = current_state(wh, spec, batch)
-    wh.drop_batch(STATE, spec.name, batch)   # of an earlier run of this load
-    wh.write_batch(load_satellite(bronze, spec, state), "silver", spec.name, batch)
-    cols = [spec.key_col, "load_date", "hashdiff"]
-    added = wh.read_batch("silver", spec.name, batch).select(*cols)
-    merged = added if state is None else state.select(*cols).unionByName(added)
-    wh.write_batch(latest_version(merged, spec.key_col), STATE, spec.name, batch)
+    # a snapshot of an earlier run of this load, or of a later one, does not describe what is
+    # written now
+    for stale in wh.batch_ids(STATE, spec.name):
+        if stale >= batch or full_refresh:
+            wh.drop_batch(STATE, spec.name, stale)
+    state = None if full_refresh else current_state(wh, spec, batch)
+    wh.write_batch(load_satellite(bronze, spec, state, latest_only=True), "silver", spec.name,
+                   batch, full_refresh)
+    snapshots = wh.batch_ids(STATE, spec.name)
+    loads = wh.batch_ids("silver", spec.name)
+    if snapshots and len([b for b in loads if b > snapshots[-1]]) < SNAPSHOT_EVERY:
+        return
+    wh.write_batch(current_state(wh, spec, batch + 1), STATE, spec.name, batch)
+    for old in snapshots[:-1]:
+        wh.drop_batch(STATE, spec.name, old)
 
 
 def run_batch(wh: Warehouse, sources: Mapping[str, DataFrame], loaded_at: Column | str,
               batch: int, threads: int = DEFAULT_THREADS,
-              record_source: str = RECORD_SOURCE) -> None:
+              record_source: str = RECORD_SOURCE, full_refresh: bool = False) -> None:
     """One load.  Each source's silver models start as soon as *its* bronze
     table is written (no barrier across sources), so a large extract does not
-    hold back the models of the small ones."""
-    def per_source(src: str, df: DataFrame) -> Callable[[], None]:
-        def run() -> None:
-            _traced(BRONZE[src], lambda: wh.write_full(
-                extract_bronze(df, BRONZE_COLUMNS[src], loaded_at, record_source),
-                "bronze", BRONZE[src]))()
-            _run_all(silver_tasks(wh, [src], batch), threads)
-        return run
-    _run_all([per_source(s, d) for s, d in sources.items()], threads)
+    hold back the models of the small ones.  ``threads`` bounds the jobs of the
+    whole load."""
+    def bronze(src: str, df: DataFrame) -> Callable[[], None]:
+        return _traced(BRONZE[src], lambda: wh.write_full(
+            extract_bronze(df, BRONZE_COLUMNS[src], loaded_at, record_source),
+            "bronze", BRONZE[src]))
+
+    with ThreadPoolExecutor(max_workers=max(threads, 1)) as pool:
+        written = {pool.submit(bronze(s, d)): s for s, d in sources.items()}
+        silver = []
+        for done in as_completed(written):
+            done.result()
+            silver += [pool.submit(t)
+                       for t in silver_tasks(wh, [written[done]], batch, full_refresh)]
+        for f in silver:
+            f.result()
+
+
+def run_silver(wh: Warehouse, sources: Iterable[str], batch: int,
+               threads: int = DEFAULT_THREADS, full_refresh: bool = False) -> None:
+    """Load silver alone, from the bronze tables as they are stored."""
+    _run_all(silver_tasks(wh, sources, batch, full_refresh), threads)
 
 
 # ---------------------------------------------------------------------------
@@ -275,5 +297,6 @@ __all__ = [
     "model_tables",
     "run_batch",
     "run_data_checks",
+    "run_silver",
     "source_tables",
 ]

@@ -179,6 +179,7 @@ class DriverTables:
                      F.col("l_linenumber").cast("string")).alias("transaction_id"),
             F.col("l_orderkey").alias("account_id"),
             F.col("l_suppkey").alias("merchant_id"),
+            (F.col("l_returnflag") == "R").alias("is_returned"),
             _years(F.col("l_shipdate"), 20).alias("_loaded_at"),
         )
 

@@ -1,11 +1,16 @@
 """Layered table store: ``<root>/<layer>/<table>`` parquet tables.
 
-* full-refresh tables (bronze, gold) are overwritten as a whole;
+* full-refresh tables (bronze, gold): every refresh writes a new
+  ``version=<n>`` folder, and the newest committed one is the table, so a
+  failed rebuild leaves the previous table readable.  The version before it is
+  kept until the next refresh, for readers that have already resolved it;
 * incremental tables (silver) are append-only, one ``_batch=<n>`` partition
   per load.  A load writes only its own partition with overwrite semantics,
   and reads the stored state as the partitions *before* it, so re-running a
   batch (after a failure or on purpose) reproduces the same partition instead
   of appending twice.  The ``_batch`` column never leaves the store;
+* a full refresh of an incremental table starts a new ``generation=<load>``
+  folder, which replaces the earlier loads once its first load is committed;
 * a table or partition exists only once its write is committed (``_SUCCESS``):
   what an interrupted write leaves behind is neither state nor read;
 * loads go forward: a load older than the newest stored one is refused.
@@ -20,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COL = "_batch"
+VERSION, GENERATION = "version", "generation"
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -51,45 +57,96 @@ class Warehouse:
         fs, p, jvm = self._fs(path)
         return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
 
+    def _numbered(self, path: str, kind: str) -> list[int]:
+        """Numbers n of the folders ``<kind>=<n>`` under ``path``, ascending."""
+        fs, p, _ = self._fs(path)
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        found = [n.removeprefix(f"{kind}=") for n in names if n.startswith(f"{kind}=")]
+        return sorted(int(n) for n in found if n.lstrip("-").isdigit())
+
+    def _finished(self, path: str, kind: str) -> list[int]:
+        return [n for n in self._numbered(path, kind) if self._committed(f"{path}/{kind}={n}")]
+
+    def _delete(self, path: str) -> None:
+        fs, p, _ = self._fs(path)
+        fs.delete(p, True)
+
     def exists(self, layer: str, name: str) -> bool:
         """Whether a full table, or any partition of an incremental one, is committed."""
-        return self._committed(self.path(layer, name)) or bool(self.batch_ids(layer, name))
+        return (bool(self._finished(self.path(layer, name), VERSION))
+                or bool(self.batch_ids(layer, name)))
 
     # -- full refresh --------------------------------------------------------
     def write_full(self, df: DataFrame, layer: str, name: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(layer, name))
+        """Write the next version of a table and drop those before the last one."""
+        path = self.path(layer, name)
+        current = (self._finished(path, VERSION) or [0])[-1]
+        df.write.mode("overwrite").parquet(f"{path}/{VERSION}={current + 1}")
+        for old in self._numbered(path, VERSION):
+            if old < current:
+                self._delete(f"{path}/{VERSION}={old}")
 
     # -- incremental ---------------------------------------------------------
+    def _home(self, layer: str, name: str) -> str:
+        """Folder of the loads that count: the newest generation with a committed load."""
+        path = self.path(layer, name)
+        for g in reversed(self._numbered(path, GENERATION)):
+            if self._finished(f"{path}/{GENERATION}={g}", BATCH_COL):
+                return f"{path}/{GENERATION}={g}"
+        return path
+
     def _batch_path(self, layer: str, name: str, batch: int) -> str:
-        return f"{self.path(layer, name)}/{BATCH_COL}={batch}"
+        return f"{self._home(layer, name)}/{BATCH_COL}={batch}"
 
-    def write_batch(self, df: DataFrame, layer: str, name: str, batch: int) -> None:
-        newer = [b for b in self.batch_ids(layer, name) if b > batch]
-        if newer:
+    def write_batch(self, df: DataFrame, layer: str, name: str, batch: int,
+                    full_refresh: bool = False) -> None:
+        """Write one load; with ``full_refresh`` it replaces all that is stored."""
+        stored = self.batch_ids(layer, name)
+        if stored and stored[-1] > batch:
             raise ValueError(f"{layer}.{name}: load {batch} is older than stored load "
-                             f"{newer[-1]}; replay loads in order")
-        df.write.mode("overwrite").parquet(self._batch_path(layer, name, batch))
+                             f"{stored[-1]}; replay loads in order")
+        if not full_refresh:
+            df.write.mode("overwrite").parquet(self._batch_path(layer, name, batch))
+            return
+        path = self.path(layer, name)
+        home, new = self._home(layer, name), f"{path}/{GENERATION}={batch}"
+        df.write.mode("overwrite").parquet(f"{new}/{BATCH_COL}={batch}")
+        # what the former home had replaced goes; the former home itself stays for its readers
+        for g in self._numbered(path, GENERATION):
+            if f"{path}/{GENERATION}={g}" not in (home, new):
+                self._delete(f"{path}/{GENERATION}={g}")
+        for b in self._numbered(path, BATCH_COL) if home != path else []:
+            self._delete(f"{path}/{BATCH_COL}={b}")
 
     def drop_batch(self, layer: str, name: str, batch: int) -> None:
         """Invalidate a load partition."""
-        fs, p, _ = self._fs(self._batch_path(layer, name, batch))
-        fs.delete(p, True)
+        self._delete(self._batch_path(layer, name, batch))
 
     # -- reads ---------------------------------------------------------------
     def _partitions(self, layer: str, name: str, batches: list[int]) -> DataFrame:
-        return (self.spark.read.option("basePath", self.path(layer, name))
-                .parquet(*[self._batch_path(layer, name, b) for b in batches]))
+        home = self._home(layer, name)
+        return (self.spark.read.option("basePath", home)
+                .parquet(*[f"{home}/{BATCH_COL}={b}" for b in batches]))
 
     def read(self, layer: str, name: str) -> DataFrame:
         batches = self.batch_ids(layer, name)
         if batches:
             return self._partitions(layer, name, batches).drop(BATCH_COL)
-        return self.spark.read.parquet(self.path(layer, name))
-
-    def read_before(self, layer: str, name: str, batch: int) -> DataFrame | None:
-        """Stored state as seen by load ``batch``; None on the first load."""
-        earlier = [b for b in self.batch_ids(layer, name) if b < batch]
-        return self._partitions(layer, name, earlier).drop(BATCH_COL) if earlier else None
+        path = self.path(layer, name)
+        versions = self._finished(path, VERSION)
+        if not versions:
+            raise FileNotFoundError(f"{layer}.{name}: no committed write under {path}")
+        return self.spark.read.parquet(f"{path}/{VERSION}={versions[-1]}")
+
+    def read_before(self, layer: str, name: str, batch: int,
+                    after: int | None = None) -> DataFrame | None:
+        """Stored state as seen by load ``batch`` (with ``after``, only the loads after that
+        one); None where there is none."""
+        loads = [b for b in self.batch_ids(layer, name)
+                 if b < batch and (after is None or b > after)]
+        return self._partitions(layer, name, loads).drop(BATCH_COL) if loads else None
 
     def read_batch(self, layer: str, name: str, batch: int) -> DataFrame:
         """Rows appended by load ``batch`` (its folder alone is listed)."""
@@ -97,15 +154,7 @@ class Warehouse:
 
     def batch_ids(self, layer: str, name: str) -> list[int]:
         """Committed load partitions of a table, from its directory listing."""
-        fs, p, _ = self._fs(self.path(layer, name))
-        if not fs.exists(p):
-            return []
-        prefix = BATCH_COL + "="
-        found = [st.getPath() for st in fs.listStatus(p)
-                 if st.isDirectory() and st.getPath().getName().startswith(prefix)]
-        return sorted(int(f.getName()[len(prefix):]) for f in found
-                      if f.getName()[len(prefix):].lstrip("-").isdigit()
-                      and self._committed(f.toString()))
+        return self._finished(self._home(layer, name), BATCH_COL)
 
     def max_batch(self, layer: str, name: str, before: int) -> int | None:
         """Newest load partition below ``before``, or None."""

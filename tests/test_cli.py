@@ -30,3 +30,15 @@ def test_cli_reads_raw_folder(spark, scratch):
     assert main(["load", "--root", root, "--batch", "1", "--raw-dir", raw, "--format", "csv",
                  "--tables", "customers", "--loaded-at", "2020-01-01 00:00:00"]) == 0
     assert Warehouse(spark, root).read("silver", "hub_customer").count() == 150
+
+
+def test_cli_silver_alone_and_full_refresh(spark, scratch):
+    root = os.path.join(scratch, "wh")
+    wh = Warehouse(spark, root)
+    assert main(["load", "--root", root, "--batch", "1", "--sf-dir", SF, "--layer", "bronze"]) == 0
+    assert not wh.exists("silver", "hub_customer")
+    assert main(["load", "--root", root, "--batch", "1", "--layer", "silver"]) == 0
+    assert wh.read("silver", "hub_customer").count() == 113
+    assert main(["load", "--root", root, "--batch", "2", "--sf-dir", SF, "--full-refresh"]) == 0
+    assert wh.batch_ids("silver", "sat_customer_details") == [2]
+    assert wh.read("silver", "sat_customer_details").count() == 150

@@ -58,3 +58,64 @@ def test_older_load_is_refused(spark, scratch):
     with pytest.raises(ValueError, match="older"):
         load(wh, tables, 1)
     assert wh.batch_ids("silver", HUB) == [2]
+
+
+def test_a_failed_refresh_leaves_the_previous_table(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    wh.write_full(spark.range(3), "gold", "t")
+    with pytest.raises(Exception):
+        wh.write_full(spark.range(5).selectExpr("assert_true(id < 4)", "id"), "gold", "t")
+    assert wh.read("gold", "t").count() == 3
+    resolved = wh.read("gold", "t")
+    wh.write_full(spark.range(5), "gold", "t")
+    assert resolved.count() == 3                  # a reader of the version before still ends
+    assert wh.read("gold", "t").count() == 5
+    for _ in range(3):
+        wh.write_full(spark.range(2), "gold", "t")
+    assert len(os.listdir(wh.path("gold", "t"))) == 2
+
+
+def test_full_refresh_replaces_the_stored_loads(spark, scratch):
+    wh, tables = Warehouse(spark, scratch), DriverTables(spark, SF)
+    for batch in (1, 2):
+        load(wh, tables, batch)
+    sources = {"customers": tables.customers(3)}
+    for _ in range(2):                            # also when run again
+        run_batch(wh, sources, stamp(3), 3, full_refresh=True)
+        assert wh.batch_ids("silver", SAT) == wh.batch_ids("silver", HUB) == [3]
+        assert wh.read("silver", SAT).count() == wh.read("silver", HUB).count() == 150
+    run_batch(wh, sources, "2021-01-01 00:00:00", 4)
+    assert wh.read_batch("silver", SAT, 4).count() == 0
+    assert wh.read("silver", SAT).count() == 150
+
+
+def test_an_interrupted_full_refresh_changes_nothing(spark, scratch, whole):
+    wh, tables = Warehouse(spark, os.path.join(scratch, "wh")), DriverTables(spark, SF)
+    for batch in (1, 2, 3):
+        load(wh, tables, batch)
+    os.makedirs(os.path.join(wh.path("silver", SAT), "generation=4", f"{BATCH_COL}=4",
+                             "_temporary"))
+    assert history(wh) == whole
+
+
+def test_many_loads_with_few_snapshots(spark, scratch):
+    from tessera.plans import pipeline
+    wh, tables = Warehouse(spark, scratch), DriverTables(spark, SF)
+    extracts = [tables.customers(b) for b in (1, 2, 3)]
+    for n in range(1, 12):
+        run_batch(wh, {"customers": extracts[n % 3]}, f"20{10 + n}-01-01 00:00:00", n)
+    snapshots = wh.batch_ids(STATE, SAT)
+    assert snapshots == [1, 1 + pipeline.SNAPSHOT_EVERY]
+    state = pipeline.current_state(wh, pipeline_spec(), 12)
+    from tessera.operators.vault import latest_version
+    key = pipeline_spec().key_col
+    want = latest_version(wh.read("silver", SAT).select(*state.columns), key)
+    assert sorted(map(tuple, state.collect())) == sorted(map(tuple, want.collect()))
+    run_batch(wh, {"customers": extracts[11 % 3]}, "2030-01-01 00:00:00", 12)
+    assert wh.read_batch("silver", SAT, 12).count() == 0
+    assert wh.batch_ids(STATE, SAT) == snapshots     # an unchanged load writes no state
+
+
+def pipeline_spec():
+    from tessera.plans.models import SAT as SPECS
+    return SPECS[SAT]
