@@ -62,6 +62,23 @@ def only_new(df: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
     return df.join(existing.select(key).hint("merge"), on=key, how="left_anti")
 
 
+#: Keys of an extract up to this many are broadcast: md5 text, about 100 bytes each as a hash table.
+BROADCAST_KEYS = 1_000_000
+
+
+def stored_of_extract(existing: DataFrame | None, bronze: DataFrame, key: str,
+                      ids: Sequence[str], extract_rows: int) -> DataFrame | None:
+    """The stored rows whose key occurs in the extract: all that a load needs of them.
+
+    A small extract (``extract_rows``, counted by the caller) sends its keys to the tasks that scan
+    the stored table, so that only matches are shuffled and a load's shuffles grow with the
+    extract, not with history.  A larger one leaves the stored side as it is, for the shuffled
+    joins."""
+    if existing is None or extract_rows > BROADCAST_KEYS:
+        return existing
+    return existing.join(F.broadcast(bronze.select(hub_key(*ids).alias(key))), key, "left_semi")
+
+
 def new_or_changed(incoming: DataFrame, existing: DataFrame | None, key: str,
                    latest_only: bool = False) -> DataFrame:
     """Insert-only change detection: keep incoming rows whose key has no

@@ -22,7 +22,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tessera.operators.bronze import extract_bronze
 from tessera.operators.checks import enforce, run_checks
-from tessera.operators.vault import SatSpec, latest_version, load_hub, load_link, load_satellite
+from tessera.operators.vault import (
+    SatSpec,
+    latest_version,
+    load_hub,
+    load_link,
+    load_satellite,
+    stored_of_extract,
+)
 from tessera.plans import gold
 from tessera.plans.check_specs import CHECK_SPECS
 from tessera.plans.models import (
@@ -85,15 +92,19 @@ def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int,
     for src in sources:
         hubs, links, sats = silver_for_source(src)
         bronze = wh.read("bronze", BRONZE[src])   # resolved once, shared by the models
-        for load, spec in [*((load_hub, h) for h in hubs), *((load_link, k) for k in links)]:
-            def task(load=load, spec=spec, bronze=bronze) -> None:
-                stored = None if full_refresh else wh.read_before("silver", spec.name, batch)
+        rows = bronze.count()                     # from the file footers
+        models = [*((load_hub, h, h.key_col, [h.id_col]) for h in hubs),
+                  *((load_link, k, k.link_key, [i for _, i in k.hubs]) for k in links)]
+        for load, spec, key, ids in models:
+            def task(load=load, spec=spec, key=key, ids=ids, bronze=bronze, rows=rows) -> None:
+                stored = None if full_refresh else stored_of_extract(
+                    wh.read_before("silver", spec.name, batch), bronze, key, ids, rows)
                 wh.write_batch(load(bronze, spec, stored), "silver", spec.name, batch,
                                full_refresh)
             tasks.append(_traced(spec.name, task))
         for spec in sats:
-            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze:
-                                 satellite_task(wh, spec, batch, bronze, full_refresh)))
+            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze, rows=rows:
+                                 satellite_task(wh, spec, batch, bronze, full_refresh, rows)))
     return tasks
 
 
@@ -101,28 +112,36 @@ STATE = "state"       # layer of the current-version snapshots
 SNAPSHOT_EVERY = 8    # loads per snapshot; the loads since then are read beside it
 
 
-def current_state(wh: Warehouse, spec: SatSpec, batch: int) -> DataFrame | None:
+def current_state(wh: Warehouse, spec: SatSpec, batch: int,
+                  needed: Callable[[DataFrame], DataFrame] = lambda stored: stored,
+                  ) -> DataFrame | None:
     """Latest (key, load_date, hashdiff) per key as seen by load ``batch``: the newest earlier
-    snapshot and the rows appended since, or the whole history where there is no snapshot."""
+    snapshot and the rows appended since, or the whole history where there is no snapshot.
+    ``needed`` restricts the stored rows to keys of interest."""
     cols = [spec.key_col, "load_date", "hashdiff"]
     snap = wh.max_batch(STATE, spec.name, batch)
     since = wh.read_before("silver", spec.name, batch, after=snap)
+    if since is not None:
+        since = needed(since.select(*cols))
     if snap is None:
-        return None if since is None else latest_version(since.select(*cols), spec.key_col)
-    state = wh.read_batch(STATE, spec.name, snap).select(*cols)
-    if since is None:
-        return state
-    return latest_version(state.unionByName(since.select(*cols)), spec.key_col)
+        return None if since is None else latest_version(since, spec.key_col)
+    state = needed(wh.read_batch(STATE, spec.name, snap).select(*cols))
+    return state if since is None else latest_version(state.unionByName(since), spec.key_col)
 
 
 def satellite_task(wh: Warehouse, spec: SatSpec, batch: int, bronze: DataFrame | None = None,
-                   full_refresh: bool = False) -> None:
+                   full_refresh: bool = False, rows: int | None = None) -> None:
     """Append load ``batch`` to a satellite; for snapshot satellites, record the current state
     at every ``SNAPSHOT_EVERY``-th load."""
     if bronze is None:
         bronze = wh.read("bronze", BRONZE[spec.source])
+    rows = bronze.count() if rows is None else rows
+
+    def needed(stored: DataFrame | None) -> DataFrame | None:
+        return stored_of_extract(stored, bronze, spec.key_col, [spec.id_col], rows)
+
     if not spec.snapshot:
-        stored = None if full_refresh else wh.read_before("silver", spec.name, batch)
+        stored = None if full_refresh else needed(wh.read_before("silver", spec.name, batch))
         wh.write_batch(load_satellite(bronze, spec, stored), "silver", spec.name, batch,
                        full_refresh)
         return
@@ -131,7 +150,7 @@ def satellite_task(wh: Warehouse, spec: SatSpec, batch: int, bronze: DataFrame |
     for stale in wh.batch_ids(STATE, spec.name):
         if stale >= batch or full_refresh:
             wh.drop_batch(STATE, spec.name, stale)
-    state = None if full_refresh else current_state(wh, spec, batch)
+    state = None if full_refresh else current_state(wh, spec, batch, needed)
     wh.write_batch(load_satellite(bronze, spec, state, latest_only=True), "silver", spec.name,
                    batch, full_refresh)
     snapshots = wh.batch_ids(STATE, spec.name)

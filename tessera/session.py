@@ -67,8 +67,6 @@ def scratch_root(spark: SparkSession) -> str:
             current = spark.sparkContext.getCheckpointDir() or current
         except Exception:
             pass
-    if current.startswith("file:"):
-        current = current[len("file:"):]
     return current.rstrip("/")
 
 

@@ -43,6 +43,11 @@ class Warehouse:
         self.layers = layers or {}
         self.default_layer = default_layer
 
+    def delete_on_exit(self) -> None:
+        """Have the file system remove this warehouse when the application ends."""
+        fs, p, _ = self._fs(self.root)
+        fs.deleteOnExit(p)
+
     # -- naming -------------------------------------------------------------
     def path(self, layer: str, name: str) -> str:
         routed = layer_name(self.layers.get(layer, layer), self.default_layer)

@@ -25,7 +25,7 @@ def spark():
 def scratch(spark):
     """A fresh folder under the session's checkpoint directory."""
     from tessera.session import scratch_root
-    return tempfile.mkdtemp(prefix="t-", dir=scratch_root(spark))
+    return tempfile.mkdtemp(prefix="t-", dir=scratch_root(spark).removeprefix("file:"))
 
 
 @pytest.fixture(scope="session")

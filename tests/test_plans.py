@@ -93,3 +93,31 @@ def test_flagship_pre_aggregation_equals_naive_join_under_skew(spark):
              .join(cal, "date_key").groupBy("city", "year", "quarter")
              .agg(F.sum("amount_usd").alias("total_spend")).collect())
     assert sorted(map(tuple, got)) == sorted(map(tuple, naive))
+
+
+def test_a_small_extract_does_not_shuffle_the_stored_keys(spark, warehouse_sf0001, monkeypatch):
+    from tessera.operators import vault
+    from tessera.plans.models import LINK, SAT
+    wh = warehouse_sf0001
+    bronze, stored = wh.read("bronze", "bronze_transactions").limit(50), {}
+    for name, key, ids, load, spec in [
+            ("hub_transaction", "transaction_hub_key", ["transaction_id"], load_hub,
+             HUB["hub_transaction"]),
+            ("link_account_merchant", "transaction_account_merchant_link_key",
+             ["transaction_id", "account_id", "merchant_id"], vault.load_link,
+             LINK["link_account_merchant"]),
+            ("sat_transaction_details", "transaction_hub_key", ["transaction_id"],
+             vault.load_satellite, SAT["sat_transaction_details"])]:
+        whole = wh.read("silver", name).select(
+            key, *(["load_date", "hashdiff"] if name.startswith("sat") else []))
+        part = vault.stored_of_extract(whole, bronze, key, ids, 50)
+        p = plan(part)
+        assert "BroadcastHashJoin" in p and "LeftSemi" in p
+        assert "hashpartitioning" not in p            # the stored side streams past the keys
+        # half of the extract is stored
+        some = whole.join(bronze.limit(25).select(vault.hub_key(*ids).alias(key)), key, "left_semi")
+        want = load(bronze, spec, some)
+        got = load(bronze, spec, vault.stored_of_extract(some, bronze, key, ids, 50))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    monkeypatch.setattr(vault, "BROADCAST_KEYS", 10)  # beyond the bound: the shuffled joins
+    assert vault.stored_of_extract(whole, bronze, key, ids, 50) is whole

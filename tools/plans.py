@@ -47,7 +47,7 @@ def main() -> None:
     spark = local_test_session("tessera-plans", shuffle_partitions=16)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-plans-"))
-    root = tempfile.mkdtemp(prefix="plans-", dir=scratch_root(spark))
+    root = tempfile.mkdtemp(prefix="plans-", dir=scratch_root(spark).removeprefix("file:"))
     wh = build_warehouse(spark, sf_dir, root)
     g = lambda n: wh.read("gold", n)
     items = {
