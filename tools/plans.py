@@ -19,7 +19,12 @@ from contextlib import redirect_stdout
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tessera.operators import star  # noqa: E402
-from tessera.operators.vault import load_hub, load_link, load_satellite  # noqa: E402
+from tessera.operators.vault import (  # noqa: E402
+    load_hub,
+    load_link,
+    load_satellite,
+    stored_of_extract,
+)
 from tessera.plans.check_specs import CHECK_SPECS  # noqa: E402
 from tessera.plans.models import HUB, LINK, SAT  # noqa: E402
 from tessera.plans.pipeline import (  # noqa: E402
@@ -50,19 +55,29 @@ def main() -> None:
     root = tempfile.mkdtemp(prefix="plans-", dir=scratch_root(spark).removeprefix("file:"))
     wh = build_warehouse(spark, sf_dir, root)
     g = lambda n: wh.read("gold", n)
+    accounts, transactions = (wh.read("bronze", f"bronze_{n}") for n in ("accounts",
+                                                                         "transactions"))
+
+    def needed(stored, spec, ids, bronze=accounts):
+        """What a load reads of the stored rows, as ``run_batch`` does."""
+        key = getattr(spec, "key_col", None) or spec.link_key
+        return stored_of_extract(stored, bronze, key, ids, bronze.count())
+
+    hub, link, sat = HUB["hub_account"], LINK["link_customer_account"], SAT["sat_account_details"]
+    sat_tx = SAT["sat_transaction_details"]
+    hubs, links = (wh.read_before("silver", x.name, 3) for x in (hub, link))
     items = {
-        "hub load (incremental)": load_hub(wh.read("bronze", "bronze_accounts"),
-                                           HUB["hub_account"],
-                                           wh.read_before("silver", "hub_account", 3)),
-        "link load (incremental)": load_link(wh.read("bronze", "bronze_accounts"),
-                                             LINK["link_customer_account"],
-                                             wh.read_before("silver", "link_customer_account", 3)),
+        "hub load (small extract)": load_hub(accounts, hub, needed(hubs, hub, ["account_id"])),
+        "hub load (extract beyond the broadcast bound)": load_hub(accounts, hub, hubs),
+        "link load (small extract)": load_link(
+            accounts, link, needed(links, link, ["customer_id", "account_id"])),
         "satellite load from the current-state snapshot": load_satellite(
-            wh.read("bronze", "bronze_accounts"), SAT["sat_account_details"],
-            current_state(wh, SAT["sat_account_details"], 3)),
-        "satellite load from history": load_satellite(
-            wh.read("bronze", "bronze_transactions"), SAT["sat_transaction_details"],
-            wh.read_before("silver", "sat_transaction_details", 3)),
+            accounts, sat,
+            current_state(wh, sat, 3, lambda rows: needed(rows, sat, ["account_id"])),
+            latest_only=True),
+        "satellite load from history (small extract)": load_satellite(
+            transactions, sat_tx, needed(wh.read("silver", sat_tx.name), sat_tx,
+                                         ["transaction_id"], transactions)),
         "dim_account": gold_model(wh, "dim_account"),
         "dim_customer": gold_model(wh, "dim_customer"),
         "fact_transactions": gold_model(wh, "fact_transactions"),
@@ -70,11 +85,8 @@ def main() -> None:
             g("fact_transactions"), g("dim_customer"), g("dim_date")),
         "join_point_in_time": star.transactions_point_in_time(
             g("fact_transactions"), g("dim_customer")),
-        "join_point_in_time, bucket=year": star.join_as_of(
-            g("fact_transactions").select("transaction_hub_key", "customer_hub_key",
-                                          "transaction_date", "amount_usd"),
-            g("dim_customer"), "customer_hub_key", "transaction_date",
-            ["customer_key", "city"], bucket="year"),
+        "join_point_in_time, bucket=year": star.transactions_point_in_time(
+            g("fact_transactions"), g("dim_customer"), bucket="year"),
         "transactions_star": star.transactions_star(
             g("fact_transactions"), g("dim_customer"), g("dim_account"), g("dim_merchant"),
             g("dim_date")),
