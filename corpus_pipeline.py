@@ -66,6 +66,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = mix_sources(spark, docs, text_form(F.col("text")), MIX_POWERS)
+    docs = docs.drop("topic", "n_tokens", "probability")  # the results take these names
     return out.select(*_columns(docs), F.col("mixing.topic").alias("topic"),
                       F.col("mixing.n_tokens").alias("n_tokens"),
                       F.col("mixing.probability").alias("probability"))

@@ -111,7 +111,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, topic: Column,
     docs = docs.drop("mixing")
     part = F.struct(F.col(f"`{source_col}`").alias("source"), F.col(f"`{lang_col}`").alias("lang"),
                     topic.alias("topic"), n_words(F.col(text_col)).cast("bigint").alias("n_tokens"))
-    marked = docs.withColumn("mixing", part)
+    # the documents' own columns travel in one struct, so that their names clash with none here
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         part.alias("mixing"))
     dims = ["source", "lang", "topic"]
     cells = materialise(
         marked.groupBy(*[F.col(f"mixing.{d}").alias(d) for d in dims])
@@ -131,11 +133,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, topic: Column,
                          "probabilities")
     same = reduce(Column.__and__, [F.col(f"mixing.{d}").eqNullSafe(F.col(f"cell_{d}"))
                                    for d in dims])
-    key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    key = F.concat(F.lit(f"{seed}:"),
+                   F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit("")))
     draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     return (marked.join(chance, same)
             .filter((F.col("mixing.n_tokens") > 0) & (draw < F.col("probability")))
-            .select(*[F.col(f"`{c}`") for c in docs.columns],
+            .select(*[F.col(f"row.`{c}`") for c in docs.columns],
                     F.col("mixing").withField("probability", F.col("probability"))
                     .alias("mixing")))
 
