@@ -88,7 +88,10 @@ def preference_pairs(spark: SparkSession, chosen: DataFrame, rejected: DataFrame
 def swapped_replies(conversations: DataFrame) -> DataFrame:
     """A rejected side for a table that has none: each conversation with the text of its last
     assistant turn replaced by that of its neighbour's (the id with the last bit flipped); without
-    a neighbour, or an assistant turn there, by an empty text."""
+    a neighbour, or an assistant turn there, by an empty text.
+
+    Returns conv_id, turn, role, text; other columns are ignored.  Rows of a null conv_id stay."""
+    conversations = conversations.select("conv_id", "turn", "role", "text")
     last = (conversations.filter(F.col("role") == ASSISTANT).groupBy("conv_id")
             .agg(F.max(F.struct("turn", "text")).alias("last")))
     other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"),

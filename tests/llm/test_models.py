@@ -11,12 +11,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import make
-from tessera.llm.chat_formatting import preference_pairs
+from tessera.llm.chat_formatting import preference_pairs, swapped_replies
 from tessera.llm.decontamination import Index, Words, bound, contamination, nearest
-from tessera.llm.lang_id import language_id
+from tessera.llm.lang_id import counts, language_id
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.mixing import mix_sources, rake
 from tessera.llm.quality import RULES, ordered, quality_cascade
+from tessera.llm.texts import Texts
 
 SF = "/root/testdata/sf0.01"
 
@@ -45,6 +46,14 @@ def test_language_id_odd_texts(spark, hard_rows, hard_docs, no_docs):
     assert language_id(spark, unlabelled).first().lang_pred == "und"
 
 
+def test_trigrams_stay_within_their_text():
+    texts = [b"", b"ab", b"  .", b"cd e. ", b"x", b" -y", b"", "日本".encode()]
+    together = [row for _, block in counts(Texts(texts), 512) for row in block]
+    for text, row in zip(texts, together, strict=True):
+        (alone,) = next(counts(Texts([text]), 512))[1]
+        assert (row == alone).all(), text
+
+
 def test_quality_order_never_changes_the_verdict(spark, hard_rows, hard_docs, no_docs):
     rows = quality_cascade(spark, hard_docs, report=True).collect()
     assert len(rows) == len(hard_rows)
@@ -161,8 +170,10 @@ def test_rake_meets_every_marginal(spark):
 
 def test_mix_sources_odd_tables(spark, hard_rows, hard_docs, no_docs):
     topic = F.lit("t")
-    out = mix_sources(spark, hard_docs, topic, seed=3)
-    assert out.columns == [*hard_docs.drop("mixing").columns, "mixing"]
+    clash = {c: F.lit("clash") for c in ("cell_source", "topic", "probability", "n_tokens", "row",
+                                         "right_value")}
+    out = mix_sources(spark, hard_docs.withColumns(clash), topic, seed=3)
+    assert out.columns == [*hard_docs.drop("mixing").columns, *clash, "mixing"]
     rows = out.collect()
     assert 0 < len(rows) < len(hard_rows) and all(r.mixing.n_tokens > 0 for r in rows)
     again = mix_sources(spark, hard_docs.repartition(7), topic, seed=3).collect()
@@ -191,3 +202,13 @@ def test_preference_pairs(spark):
     assert got[2].chosen == got[2].rejected == "" and not got[2].usable
     assert got[3].n_prompt_turns == 1 and len(got[5].chosen_train) == 2
     assert preference_pairs(spark, frame([]), frame(r)).count() == 0
+
+
+def test_swapped_replies_with_odd_columns(spark):
+    rows = [(2, 0, "user", "a"), (2, 1, "assistant", "b"), (3, 0, "assistant", "c"),
+            (9, 0, "assistant", "d"), (None, 0, "assistant", "e"), (4, 0, "user", None)]
+    turns = spark.createDataFrame([(*r, 8, "x") for r in rows],
+                                  "conv_id long, turn long, role string, text string, "
+                                  "last_turn int, reply string")
+    got = {(r.conv_id, r.turn): r.text for r in swapped_replies(turns).collect()}
+    assert got == {(2, 0): "a", (2, 1): "c", (3, 0): "b", (9, 0): "", (None, 0): "e", (4, 0): None}

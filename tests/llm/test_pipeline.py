@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tessera.llm.queries import oracle_sql, registry
 
@@ -9,12 +11,15 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_stages_keep_columns_and_survive_odd_rows(spark, hard_docs, no_docs):
-    for docs in (hard_docs, no_docs):
+    names = ("topic", "n_tokens", "probability", "gone_id", "dropped")
+    for docs in (hard_docs.withColumns({c: F.lit("clash") for c in names}), no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns
             docs = spark.createDataFrame(out.collect(), out.schema)
-        corpus_pipeline.STAGES[-1][1](spark, docs, SF).count()
+        out = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+        assert len(set(out.columns)) == len(out.columns) and set(docs.columns) <= set(out.columns)
+        assert all(0 < r.probability <= 1 for r in out.collect())
 
 
 def test_run_drops_what_it_should(spark):
