@@ -6,27 +6,28 @@ Model.  Interpolated absolute discounting over words, on an add-half unigram flo
     p(w | h)    = max(c(h w) - D, 0) / c(h) + back(h) p(w | h without its first word)
 
 with ``c(h w)`` kept from ``min_count`` up; ``back(h)`` is the mass the kept n-grams leave, so every
-distribution sums to one.  A history h is a *state* if it makes up ``state_share`` of the training
-tokens or more, hence there are at most 1 / state_share states an order; words and n-grams are not
-bounded and grow with the corpus.
+distribution sums to one.  Each word and each kept n-gram up to ``order`` - 1 words is a history, and
+each history a *state*: the model grows with the corpus.
 
 Automaton.  States are the empty history and the histories above.  A state has an arc for each kept
 n-gram, weighted by its log-probability, to the longest state that ends the text read; where a word
 has no arc the failure arc, weighted by the log of ``back``, leads to the state without its first
-word.  The empty history has an arc for each word.  A text is scored in one pass from left to right
-that carries the state and adds up weights.
-
-On Spark, no task holds the whole model.  Counts are summed by key bucket over the block exchange
-(``blocks.py``), and each block gets the counts of its own n-grams back: that is the part of the
-automaton that its texts can reach.  Only the states (bounded, see above) go to every task.
+word.  The empty history has an arc for each word.  A text's score is the sum of the weights on its
+way; the state before a token is the longest that ends there, so all tokens are run at once.
+
+On Spark, no task holds the whole model, and none of it is collected or broadcast.  Counts are summed
+by key bucket over the block exchange (``blocks.py``), and each block gets the counts of its own
+n-grams back; one of the blocks that have an n-gram owns it.  A last exchange sums what the
+owned n-grams of a history keep, and each block gets the sums of its own histories: together that is
+the part of the automaton that its texts can reach.  n-grams of which a part is not kept are never
+asked about, as they cannot be kept either.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,23 +49,42 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: Marks the answer of the block that owns an n-gram.
+OWNED = np.uint64(1 << 63)
+_KEPT = np.dtype([("n", "<u4"), ("total", "<u8")])
+
+
 @dataclass
 class Model:
-    """What every task knows: totals, and per order the keys, counts and backoff of its states."""
+    """What every task knows: the parameters and the totals of the training documents."""
 
     folds: int
     held_out: int
     discount: float
     min_count: int
+    state_share: float
     tokens: int = 0
     types: int = 0
-    keys: list[np.ndarray] = field(default_factory=list)
-    counts: list[np.ndarray] = field(default_factory=list)
-    back: list[np.ndarray] = field(default_factory=list)
 
     def base(self, count: np.ndarray) -> np.ndarray:
         return (count + 0.5) / (self.tokens + 0.5 * (self.types + 1))
 
+    def least(self) -> float:
+        return max(1.0, self.state_share * self.tokens)
+
+
+@dataclass
+class _Grams:
+    """The n-grams of one order that a block asks about."""
+
+    at: np.ndarray       # tokens that end one
+    of: np.ndarray       # the number of each
+    keys: np.ndarray     # distinct keys, ascending
+    history: np.ndarray  # of each distinct one, the number of the n-gram without its last word
+    seen: np.ndarray     # count in the block's training documents
+    count: np.ndarray    # count in all training documents, 0 if not kept
+    owned: np.ndarray
+
 
 class _Tokens:
     """The tokens of a block: hashes, the document of each, training or not."""
@@ -82,45 +102,74 @@ class _Tokens:
         self.held = np.array([i is not None and zlib.crc32(str(i).encode()) % model.folds
                               == model.held_out for i in block.ids], dtype=bool)
         self.train = ~self.held[self.doc]
-        self.states: list[np.ndarray] = []  # per order, the state that ends at each token or -1
+        self.orders: list[_Grams] = []
+        #: per order, the n-gram of some count that ends at each token, and the state, or -1
+        self.kept: list[np.ndarray] = []
+        self.states: list[np.ndarray] = []
 
     def words(self):
         """Distinct tokens, their training counts, and the number of each token's word."""
         keys, of = np.unique(self.hash, return_inverse=True)
         return keys, np.bincount(of[self.train], minlength=len(keys)).astype(np.uint64), of
 
-    def follow(self, order: int) -> None:
-        """Find the states of this order (a history of ``order`` words) at every token."""
-        keys = self.model.keys[order - 1]
+    def grams(self, order: int) -> _Grams:
+        """n-grams of this order whose history is a state and whose last words are kept."""
         if order == 1:
-            at, grams = np.arange(len(self.hash)), self.hash
-        else:
-            at, grams, _ = self.grams(order)
-        out = np.full(len(self.hash), -1, dtype=np.int64)
-        if len(keys) and len(at):
-            place = np.minimum(np.searchsorted(keys, grams), len(keys) - 1)
-            hit = keys[place] == grams
-            out[at[hit]] = place[hit]
-        self.states.append(out)
-
-    def grams(self, order: int):
-        """n-grams of this order whose history is a state: token, key, number of the state."""
+            keys, seen, of = self.words()
+            return _Grams(np.arange(len(self.hash)), of, keys, np.zeros(len(keys), np.int64), seen,
+                          seen, seen > 0)
         history = np.full(len(self.hash), -1, dtype=np.int64)
         history[1:] = self.states[order - 2][:-1]
         history[self.first] = -1
-        at = np.flatnonzero(history >= 0)
-        state = history[at]
-        return at, join_hashes(mix(self.model.keys[order - 2][state]), self.hash[at]), state
-
-    def counted(self, order: int):
-        """Distinct n-grams with their state and training count, and each one's number."""
-        at, grams, state = self.grams(order)
+        at = np.flatnonzero((history >= 0) & (self.kept[order - 2] >= 0))
+        history = history[at]
+        grams = join_hashes(mix(self.orders[order - 2].keys[history]), self.hash[at])
         order_, starts = groups(grams)
         size = np.diff(np.append(starts, len(grams)))
         of = np.empty(len(grams), dtype=np.int64)
         of[order_] = np.repeat(np.arange(len(starts)), size)
-        count = np.bincount(of[self.train[at]], minlength=len(starts)).astype(np.uint64)
-        return grams[order_][starts], state[order_][starts].astype(np.uint32), count, at, of
+        seen = np.bincount(of[self.train[at]], minlength=len(starts)).astype(np.uint64)
+        return _Grams(at, of, grams[order_][starts], history[order_][starts], seen, seen, seen > 0)
+
+    def learn(self, upto: int, known: dict) -> None:
+        """Take the counts of the orders up to ``upto`` from the answers."""
+        for order in range(len(self.orders) + 1, upto + 1):
+            g = self.grams(order)
+            got = said(known, f"order{order}", len(g.keys), "u8")
+            g.count, g.owned = (got & ~OWNED).astype(np.int64), got >= OWNED
+            self.orders.append(g)
+            for out, ok in ((self.kept, g.count >= max(1, self.model.min_count)),
+                            (self.states, (g.count >= self.model.least()) & (g.keys != END))):
+                ends = np.full(len(self.hash), -1, dtype=np.int64)
+                ends[g.at] = np.where(ok[g.of], g.of, -1)
+                out.append(ends)
+
+    def histories(self, order: int) -> np.ndarray:
+        """Numbers of the histories of ``order`` words that may have kept n-grams."""
+        g = self.orders[order - 1]
+        return np.flatnonzero((g.count >= max(self.model.least(), self.model.min_count))
+                              & (g.keys != END))
+
+    def left_keys(self):
+        """Keys of the histories of all orders, ascending, with the order that sorts them."""
+        keys = np.concatenate([np.empty(0, np.uint64), *[
+            mix(self.orders[k - 1].keys[self.histories(k)] ^ np.uint64(k))
+            for k in range(1, len(self.orders))]])
+        by = np.argsort(keys, kind="stable")
+        return keys[by], by
+
+    def backs(self, known: dict) -> list[np.ndarray]:
+        """Per order, the backoff of each n-gram as a history; 1 where nothing of it is kept."""
+        keys, by = self.left_keys()
+        left = np.empty(len(keys))
+        left[by] = said(known, "left", len(keys), "f8")
+        out, a = [], 0
+        for k in range(1, len(self.orders)):
+            some = self.histories(k)
+            out.append(np.ones(len(self.orders[k - 1].keys)))
+            out[-1][some] -= left[a : a + len(some)] / self.orders[k - 1].count[some]
+            a += len(some)
+        return out
 
 
 def _summed(keys: np.ndarray, marks: np.ndarray):
@@ -130,143 +179,83 @@ def _summed(keys: np.ndarray, marks: np.ndarray):
     return order, starts, size, total
 
 
-def _decide_words(share: float):
-    """Counts of words; the summary holds the number of types and tokens and the frequent words."""
+def _decide_words(keys, more, marks, row):
+    """Counts of words; the summary holds the number of types and tokens."""
+    order, starts, size, total = _summed(keys, marks.astype(np.uint64))
+    out = np.empty(len(keys), dtype=np.uint64)
+    out[order] = np.repeat(total, size)
+    return out, np.array([np.count_nonzero(total), total.sum()], dtype=np.uint64).tobytes()
+
+
+def _decide_grams(min_count: int):
+    """Kept counts, and which block owns the n-gram: the first that has it."""
     def decide(keys, more, marks, row):
-        order, starts, size, total = _summed(keys, marks)
+        order, starts, size, total = _summed(keys, marks.astype(np.uint64))
+        total[total < min_count] = 0
         out = np.empty(len(keys), dtype=np.uint64)
         out[order] = np.repeat(total, size)
-        often = total >= max(1.0, share * float(total.sum()))
-        head = np.array([np.count_nonzero(total), total.sum()], dtype=np.uint64)
-        return out, np.concatenate([head, keys[order][starts][often], total[often]]).tobytes()
+        out[order[starts]] |= OWNED
+        return out
     return decide
 
 
-def _decide_grams(min_count: int, least: float):
-    """Kept counts; the summary holds what each state keeps, and the frequent n-grams."""
+def _decide_left(discount: float):
+    """Of each history, what its kept n-grams keep after the discount."""
     def decide(keys, more, marks, row):
-        order, starts, size, total = _summed(keys, marks)
-        total[total < min_count] = 0
-        out = np.empty(len(keys), dtype=np.uint64)
-        out[order] = np.repeat(total, size)
-        kept = total > 0
-        state, first, = np.unique(more[order][starts][kept], return_inverse=True)
-        often = kept & (total >= max(1.0, least))
-        return out, np.concatenate([
-            np.array([len(state), np.count_nonzero(often)], dtype=np.uint64),
-            state.astype(np.uint64),
-            np.bincount(first, minlength=len(state)).astype(np.uint64),
-            np.bincount(first, weights=total[kept], minlength=len(state)).astype(np.uint64),
-            keys[order][starts][often], total[often]]).tobytes()
+        order, starts, size, n = _summed(keys, marks["n"].astype(np.int64))
+        total = np.add.reduceat(marks["total"].astype(np.int64)[order], starts)
+        out = np.empty(len(keys))
+        out[order] = np.repeat(total - discount * n, size)
+        return out
     return decide
 
 
-def _summaries(answers: DataFrame, read, schema: str) -> DataFrame:
-    """Rows of the bucket summaries: ``read`` turns one into columns."""
+def _totals(answers: DataFrame):
+    """Types and tokens of all buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bits in batch.column(0):
-                cols = read(np.frombuffer(bits.as_py(), dtype=np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(np.int64) if c.dtype != np.uint64 else c.view(np.int64))
-                     for c in cols], names=[f.split()[0] for f in schema.split(", ")])
-
-    return answers.filter("block = -1").select("bits").mapInArrow(run, schema)
+                types, tokens = np.frombuffer(bits.as_py(), dtype=np.int64).tolist()
+                yield pa.RecordBatch.from_pydict({"types": [types], "tokens": [tokens]})
 
-
-def _states(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of the states of an order: at most 1 / state_share rows."""
-    got = rows.toPandas()
-    keys = got["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], got["n"].to_numpy(np.int64)[order]
+    return (answers.filter("block = -1").select("bits").mapInArrow(run, "types long, tokens long")
+            .agg(F.sum("types"), F.sum("tokens")).first())
 
 
 class Automaton:
-    """The part of the automaton that a block's texts can reach."""
+    """A run of the automaton over a block's texts, all tokens at once: the state before a token is
+    the longest that ends there, so no token waits for the one before it."""
 
     def __init__(self, tokens: _Tokens, known: dict):
-        model = tokens.model
-        keys, _, word = tokens.words()
-        count = said(known, "words", len(keys), "u8").astype(np.float64)
-        self.known, self.word, self.width = count[word] > 0, word, len(keys)
+        model, words = tokens.model, tokens.orders[0]
+        count, word = words.count.astype(np.float64), words.of
         base = model.base(count)
-        self.base = np.log10(base)[word]
-        offset, self.back, self.fail = 1, {}, {}
-        # the longest state that ends at each token, in one numbering of all orders
-        ends_in = np.zeros(len(word), dtype=np.int64)
-        for order, states in enumerate(tokens.states, 1):
-            has = np.flatnonzero(states >= 0)
-            number = states[has] + offset
-            for n, k, low in zip(*self._once(number, states[has], ends_in[has]), strict=True):
-                self.back[n * self.width] = math.log10(model.back[order - 1][k])
-                self.fail[n * self.width] = low * self.width
-            ends_in[has] = number
-            offset += len(model.keys[order - 1])
-        # arcs: of the empty history for each word, then of each kept n-gram
-        self.arcs: dict[int, int] = {}
-        self.weight: list[float] = []
-        self.next: list[int] = []
-        self._lower = base[word]
-        _, first = np.unique(word, return_index=True)
-        one = np.where(tokens.states[0][first] >= 0, tokens.states[0][first] + 1, 0)
-        self._add(word[first], np.log10(base), one)
-        offset = 1
-        for order in range(2, len(tokens.states) + 2):
-            gram, _, _, at, of = tokens.counted(order)
-            c = said(known, f"order{order}", len(gram), "u8").astype(np.float64)[of]
-            _, _, state = tokens.grams(order)
-            seen = np.maximum(c - model.discount, 0) / model.counts[order - 2][state]
-            p = self._lower.copy()
-            p[at] = seen + model.back[order - 2][state] * self._lower[at]
-            ends = np.zeros(len(word), dtype=np.int64)
-            low = 1
-            for k in range(min(order, len(tokens.states))):
-                has = tokens.states[k] >= 0
-                ends[has] = tokens.states[k][has] + low
-                low += len(model.keys[k])
-            _, pick = np.unique(of, return_index=True)
-            pick = pick[c[pick] > 0]
-            arc = (state[pick] + offset) * self.width + word[at[pick]]
-            self._add(arc, np.log10(p[at[pick]]), ends[at[pick]])
-            self._lower = p
-            offset += len(model.keys[order - 2])
-
-    @staticmethod
-    def _once(number, *cols):
-        distinct, at = np.unique(number, return_index=True)
-        return [distinct.tolist(), *(c[at].tolist() for c in cols)]
-
-    def _add(self, arc: np.ndarray, weight: np.ndarray, to: np.ndarray) -> None:
-        n = len(self.weight)
-        self.arcs.update(zip(arc.tolist(), range(n, n + len(arc)), strict=True))
-        self.weight += weight.tolist()
-        self.next += (to * self.width).tolist()
-
-    def score(self, words: list[int]) -> float:
-        """One pass over a text: carries the state, adds arc and failure weights."""
-        arc_of, weight, to, back, fail = self.arcs.get, self.weight, self.next, self.back, self.fail
-        state, total = 0, 0.0
-        for w in words:
-            arc = arc_of(state + w)
-            while arc is None:
-                total += back[state]
-                state = fail[state]
-                arc = arc_of(state + w)
-            total += weight[arc]
-            state = to[arc]
-        return total
+        self.known, self.base = count[word] > 0, np.log10(base)[word]
+        # from the arcs of the empty history up: a longer state has an arc for the token, or its
+        # failure arc leads to what the shorter one gives
+        weight = base[word]
+        for order, back in enumerate(tokens.backs(known), 2):
+            g, shorter = tokens.orders[order - 1], tokens.orders[order - 2]
+            state = np.full(len(word), -1, dtype=np.int64)
+            state[1:] = tokens.states[order - 2][:-1]
+            state[tokens.first] = -1
+            some = np.flatnonzero(state >= 0)
+            weight[some] *= back[state[some]]
+            seen = np.maximum(g.count - model.discount, 0) / shorter.count[g.history]
+            weight[g.at] += seen[g.of]
+        self.score = np.log10(weight)
 
 
 def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int = 5,
               held_out: int = 1, discount: float = 0.75, min_count: int = 2,
-              state_share: float = 1e-3, id_col: str = "doc_id",
+              state_share: float = 0.0, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """One row a document: its log10 probability under the n-gram model of the training documents.
 
     Documents whose crc32(id as text) mod ``folds`` is ``held_out`` do not train.  Tokens are the
     words ``[^\\x20\\x09-\\x0D]+`` after A-Z is lower-cased, then one end token.  The model is that of
-    the module, of ``order`` words.
+    the module, of ``order`` words.  A ``state_share`` above 0 leaves out the histories that make up
+    less than that share of the training tokens.
 
     Null, empty and blank texts are the end token alone.  Documents with a null id train.  Rows with
     equal ids are texts of their own.  With no training document the floor alone scores.  An empty
@@ -276,69 +265,52 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
     (the unigram floor's log10 probability), score.
     """
     blocks = Blocks(spark, docs, BLOCK_BYTES, id_col, text_col)
-    model = Model(folds, held_out, discount, min_count)
-
-    def words(block: Block, _: dict):
-        keys, count, _ = _Tokens(block, model).words()
-        return keys, None, count
-
+    model = Model(folds, held_out, discount, min_count, state_share)
     known: dict[str, DataFrame] = {}
-    known["words"] = answer(blocks.ask(words, blocks.buckets(0.03)), _decide_words(state_share),
-                            "u8", None, "u8", name="words")
-    totals = _summaries(known["words"], lambda s: [s[:1], s[1:2]], "types long, tokens long").agg(
-        F.sum("types"), F.sum("tokens")).first()
-    model.types, model.tokens = (int(x or 0) for x in totals)
-
-    def frequent(s: np.ndarray, head: int) -> list[np.ndarray]:
-        keys, counts = np.split(s[head:], 2)
-        return [keys, counts]
-
-    least = max(1.0, state_share * model.tokens)
-    keys, counts = _states(_summaries(known["words"], lambda s: frequent(s, 2), "key long, n long")
-                           .filter(F.col("n") >= least).filter(F.col("key") != int(
-                               END.astype(np.uint64).view(np.int64))))
-    for n in range(2, order + 1):
-        model.keys.append(keys)
-        model.counts.append(counts)
-
+    for n in range(1, order + 1):
         def grams(block: Block, known: dict, n=n):
             tokens = _Tokens(block, model)
-            for k in range(1, n):
-                tokens.follow(k)
-            key, state, count, _, _ = tokens.counted(n)
-            return key, state, count
-
-        name = f"order{n}"
-        known[name] = answer(blocks.ask(grams, blocks.buckets(0.04)),
-                             _decide_grams(min_count, least), "u8", "u4", "u8", name=name)
-
-        def kept(s: np.ndarray) -> list[np.ndarray]:
-            return np.split(s[2 : 2 + 3 * int(s[0])], 3)
-
-        left = np.zeros(len(keys))
-        for r in (_summaries(known[name], kept, "state long, n long, total long")
-                  .groupBy("state").agg(F.sum("n"), F.sum("total")).collect()):
-            left[r[0]] = r[2] - discount * r[1]
-        model.back.append(1 - left / np.maximum(counts, 1))
-        keys, counts = _states(
-            _summaries(known[name], lambda s: frequent(s, 2 + 3 * int(s[0])), "key long, n long")
-            .filter(F.col("n") >= least))
+            tokens.learn(n - 1, known)
+            g = tokens.grams(n)
+            return g.keys, None, g.seen.astype(np.uint32)
+
+        asked = blocks.ask(grams, blocks.buckets(0.03 if n == 1 else 0.08), dict(known))
+        known[f"order{n}"] = answer(asked, _decide_grams(min_count) if n > 1 else _decide_words,
+                                    "u8", None, "u4", name=f"order{n}")
+        if n == 1:
+            totals = _totals(known["order1"])
+            model.types, model.tokens = (int(x or 0) for x in totals)
+
+    def left(block: Block, known: dict):
+        tokens = _Tokens(block, model)
+        tokens.learn(order, known)
+        marks = [np.empty(0, dtype=_KEPT)]
+        for n in range(2, order + 1):
+            g = tokens.orders[n - 1]
+            mine = g.owned & (g.count > 0)
+            part = np.zeros(len(tokens.orders[n - 2].keys), dtype=_KEPT)
+            part["n"] = np.bincount(g.history[mine], minlength=len(part))
+            np.add.at(part["total"], g.history[mine], g.count[mine].astype(np.uint64))
+            marks.append(part[tokens.histories(n - 1)])
+        keys, by = tokens.left_keys()
+        return keys, None, np.concatenate(marks)[by]
+
+    known["left"] = answer(blocks.ask(left, blocks.buckets(0.08), dict(known)),
+                           _decide_left(discount), "u8", None, _KEPT, name="left")
 
     def finish(block: Block, known: dict) -> list[pa.RecordBatch]:
         tokens = _Tokens(block, model)
-        for k in range(1, order):
-            tokens.follow(k)
+        tokens.learn(order, known)
         run = Automaton(tokens, known)
         n = len(block.ids)
         cuts = np.append(tokens.first, len(tokens.doc))
-        word = run.word.tolist()
         return [pa.RecordBatch.from_arrays([
             pa.array(block.ids, type=pa.int64()), pa.array(tokens.held),
             pa.array(np.diff(cuts)),
             pa.array(np.add.reduceat(run.known.astype(np.int64), tokens.first)),
             pa.array(np.full(n, model.tokens, dtype=np.int64)),
             pa.array(np.add.reduceat(run.base, tokens.first)),
-            pa.array([run.score(word[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
-                     type=pa.float64())], schema=_RESULT_ARROW)]
+            pa.array(np.add.reduceat(run.score, tokens.first), type=pa.float64())],
+            schema=_RESULT_ARROW)]
 
     return blocks.visit(finish, RESULT, _RESULT_ARROW, known)

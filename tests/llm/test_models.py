@@ -114,6 +114,36 @@ def test_lm_scores(spark, hard_rows, hard_docs, no_docs):
     assert lm_scores(spark, alone).first().n_tokens == 3
 
 
+def test_lm_scores_use_every_kept_history(spark, hard_rows, hard_docs):
+    texts = [(i, [*(t or "").encode().lower().split(), None]) for i, t, _, _ in hard_rows]
+    c = [Counter() for _ in range(4)]
+    for i, w in texts:
+        if i is None or zlib.crc32(str(i).encode()) % 5 != 1:
+            for n in (1, 2, 3):
+                c[n].update(tuple(w[k : k + n]) for k in range(len(w) - n + 1))
+    total, types = sum(c[1].values()), len(c[1])
+    left = Counter()
+    for n in (2, 3):
+        for g, x in c[n].items():
+            if x >= 2:
+                left[g[:-1]] += x - 0.75
+
+    def p(w, h):
+        if not h:
+            return (c[1][(w,)] + 0.5) / (total + 0.5 * (types + 1))
+        n = c[len(h)][h]
+        if n < len(h):  # no training count, or a pair that is not kept
+            return p(w, h[1:])
+        x = c[len(h) + 1][(*h, w)]
+        return (x - 0.75 if x >= 2 else 0) / n + (1 - left[h] / n) * p(w, h[1:])
+
+    want = {(i, len(w)): sum(math.log10(p(x, tuple(w[max(0, k - 2) : k]))) for k, x in enumerate(w))
+            for i, w in texts}
+    assert sum(x > 1 for x in c[2].values()) > 1000  # the old bound: a thousand states an order
+    for r in lm_scores(spark, hard_docs).collect():
+        assert r.score == pytest.approx(want[r.doc_id, r.n_tokens])
+
+
 def test_contamination_recall_with_edits(spark, no_docs):
     rng = random.Random(1)
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
