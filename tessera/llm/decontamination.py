@@ -4,6 +4,10 @@ Texts and benchmark items are sequences of words: A-Z lowered, ASCII punctuation
 white space.  An item leaks into a text where a part of the text is within ``max_edits`` word edits
 (a share of the item's words) of it.
 
+0. *Pieces.*  The longer the window, the further walks drift apart, so an item of ``2 * PIECE`` words
+   or more is cut into pieces of ``PIECE`` words or a little more.  If the item is within its bound,
+   some piece is within its own; what follows finds pieces, and each found one makes its item a
+   candidate.
 1. *Windows.*  Within the bound an item of n words and e edits keeps a run of (n - e) / (e + 1)
    words, so only item-sized windows aligned on a run that some item has too (``RUN`` words, or the
    shorter run that a short item guarantees) can match.  All others are skipped; nothing is lost.
@@ -15,7 +19,7 @@ white space.  An item leaks into a text where a part of the text is within ``max
    samples agree in any repetition are candidates.  The number of repetitions follows from the
    target recall.
 4. *Verification.*  The least word edit distance of the item to any part of the text around the
-   window, exact.
+   window, exact, and of the whole item.
 
 The benchmark goes to every task, in blocks of a bounded size, one pass over the texts each.
 """
@@ -44,7 +48,9 @@ _RESULT_ARROW = pa.schema([
 RUN = 4
 #: Bytes of benchmark text that go to every task at once.
 ITEM_BYTES = 1 << 20
-#: Chance that a sampled step agrees at the edit bound; the tests measure the recall.
+#: Least words of a piece of an item; pieces have less than twice as many.
+PIECE = 20
+#: Chance that a sampled step agrees at the edit bound of a piece; the tests measure the recall.
 AGREE = 0.35
 
 _NORMAL = np.arange(256, dtype=np.uint8)
@@ -90,6 +96,12 @@ def repetitions(samples: int, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - AGREE**samples))
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """Ranges of words that an item of ``n`` words is cut into, as equal as can be."""
+    parts = max(1, n // PIECE)
+    return [(n * k // parts, n * (k + 1) // parts) for k in range(parts)]
+
+
 class Walks:
     """The random walks of all repetitions over windows of the given sizes."""
 
@@ -135,30 +147,33 @@ class Index:
         self.items = [(i, words.hash[a:b]) for i, a, b in
                       zip(ids, words.cuts[:-1], words.cuts[1:], strict=True)
                       if b - a >= min_words]
+        # item, offset in it and words of each piece
+        self.pieces = [(k, a, h[a:b]) for k, (_, h) in enumerate(self.items)
+                       for a, b in pieces(len(h))]
         runs: dict[int, list] = {}
-        for _, h in self.items:
+        for _, _, h in self.pieces:
             q = run_length(len(h), max_edits)
             w = windows_of(h, q)
             runs.setdefault(q, []).append(np.stack(
                 [w, np.arange(len(w), dtype=np.uint64), np.full(len(w), len(h), dtype=np.uint64)]))
-        # run length -> distinct (hash, offset in the item, item size), and a bitmap of the hashes
+        # run length -> distinct (hash, offset in the piece, piece size), and a bitmap of the hashes
         self.runs = {}
         for q, parts in runs.items():
             table = np.unique(np.concatenate(parts, axis=1), axis=1)
             seen = np.zeros(1 << 20, dtype=bool)
             seen[(table[0] & np.uint64(0xFFFFF)).astype(np.int64)] = True
             self.runs[q] = table, seen
-        lens = np.array([len(h) for _, h in self.items], dtype=np.int64)
+        lens = np.array([len(h) for _, _, h in self.pieces], dtype=np.int64)
         self.walks = Walks(lens.tolist(), repetitions(samples, recall), samples)
         ends = np.cumsum(lens)
-        flat = np.concatenate([h for _, h in self.items]) if self.items else words.hash[:0]
+        flat = np.concatenate([h for _, _, h in self.pieces]) if self.items else words.hash[:0]
         signs = self.walks.signatures(flat, ends - lens, ends, lens)
         order = np.argsort(signs, axis=None, kind="stable")
         self.signs = signs.ravel()[order]
-        self.sign_items = np.tile(np.arange(len(lens)), len(signs))[order]
+        self.sign_pieces = np.tile(np.arange(len(lens)), len(signs))[order]
 
     def windows(self, words: Words) -> np.ndarray:
-        """(start, document, size) of the item-sized windows aligned on a shared run."""
+        """(start, document, size) of the piece-sized windows aligned on a shared run."""
         found = [np.empty((3, 0), dtype=np.int64)]
         for q, (table, seen) in self.runs.items():
             w = windows_of(words.hash, q)
@@ -175,14 +190,14 @@ class Index:
         return np.unique(np.concatenate(found, axis=1), axis=1)
 
     def candidates(self, words: Words) -> set[tuple[int, int, int]]:
-        """(document, item, window start) that agree in some repetition."""
+        """(document, item, start of the item by the window) that agree in some repetition."""
         start, doc, size = self.windows(words)
         signs = self.walks.signatures(words.hash, start, words.cuts[doc + 1], size)
         lo = np.searchsorted(self.signs, signs, side="left")
         hi = np.searchsorted(self.signs, signs, side="right")
-        return {(int(doc[k]), item, int(start[k]))
+        return {(int(doc[k]), self.pieces[piece][0], int(start[k]) - self.pieces[piece][1])
                 for r, k in zip(*np.nonzero(hi > lo), strict=True)
-                for item in self.sign_items[lo[r, k] : hi[r, k]].tolist()}
+                for piece in self.sign_pieces[lo[r, k] : hi[r, k]].tolist()}
 
     def leaks(self, words: Words) -> Iterator[tuple[int, int, int, int, int, int]]:
         """(document, item id, distance, item words, start, end): the best place of each item in

@@ -164,6 +164,26 @@ def test_contamination_recall_with_edits(spark, no_docs):
     assert tried > 60 and found / tried >= 0.95
 
 
+@pytest.mark.parametrize("how", ["deletions", "insertions"])
+@pytest.mark.parametrize("n", [100, 200, 500])
+def test_contamination_recall_of_long_items(n, how):
+    rng = random.Random(n)
+    items = [[f"w{rng.randrange(10**9)}" for _ in range(n)] for _ in range(40)]
+    index = Index(list(range(40)), [" ".join(w).encode() for w in items], 0.2, 2, 0.98, 5)
+    found = 0
+    for k, w in enumerate(items):
+        w = list(w)
+        for _ in range(bound(n, 0.2)):
+            if how == "deletions":
+                del w[rng.randrange(len(w))]
+            else:
+                w.insert(rng.randrange(1, len(w)), f"n{rng.random()}")
+        around = [f"p{rng.random()}" for _ in range(300)]
+        doc = Words([" ".join(around[:150] + w + around[150:]).encode()])
+        found += any(leak[1] == k for leak in index.leaks(doc))
+    assert found >= 39
+
+
 def test_contamination_odd_tables(spark, hard_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, "Alpha, beta gamma delta epsilon zeta!"), (2, None), (3, ""), (4, "too short"),
