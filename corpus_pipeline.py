@@ -5,12 +5,13 @@ Stages, in order; each works on all that the one before has kept:
 1. language_id: documents that it rejects go; the others get the predicted language;
 2. line_dedup: lines that an earlier line makes redundant go; a document that loses all its words
    that way goes too;
-3. simhash_near_dedup: of each component of near duplicates the document of least id stays;
+3. simhash_near_dedup: of each component of near duplicates one row stays, that of the least id (a
+   null id counts as the largest; of equal ids any one);
 4. benchmark_decontamination: documents into which a benchmark item leaks go;
 5. mixing: a sample whose expected tokens have the target shares of source, language and form.
 
-All stages but the last return the columns of the documents they get.  Documents that share an id
-stay or go together in stages 3 and 4; a null id is never dropped there.
+All stages but the last return the columns of the documents they get.  Stages 3 and 4 decide by row,
+by a key that they write first: rows that share an id, or have none, are documents of their own.
 """
 
 from __future__ import annotations
@@ -31,10 +32,12 @@ def _columns(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
 
 
-def _without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
-    """``docs`` but those whose id is in ``gone`` (doc_id)."""
-    gone = materialise(gone.select(F.col("doc_id").alias("gone_id")).distinct(), name)
-    return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
+def _keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with a key of its own for each row, written so that it stays; and the key's name."""
+    key = "row_key"
+    while key.lower() in map(str.lower, docs.columns):
+        key += "_"
+    return materialise(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,13 +58,23 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash_dedup(spark, docs, shingle=4, max_bits=4)
-    return _without(docs, found.filter("doc_id <> component_id"), "near-duplicates")
+    keyed, key = _keyed(docs, "keyed-near")
+    found = simhash_dedup(spark, keyed, shingle=4, max_bits=4, id_col=key).select(
+        F.col("doc_id").alias("found_key"), "component_id")
+    ids = keyed.select(F.col(key).alias("id_key"), F.col("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("id_key")))
+    stay = (found.join(ids, F.col("found_key") == F.col("id_key")).groupBy("component_id")
+            .agg(first.alias("first")).select(F.col("first.id_key").alias("stay_key")))
+    stay = materialise(stay, "near-duplicates")
+    return keyed.join(stay, keyed[key] == stay.stay_key, "left_semi").select(_columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, contamination(spark, docs, items).filter("doc_id IS NOT NULL"), "leaks")
+    keyed, key = _keyed(docs, "keyed-leaks")
+    gone = contamination(spark, keyed, items, id_col=key).select(F.col("doc_id").alias("gone_key"))
+    gone = materialise(gone.distinct(), "leaks")
+    return keyed.join(gone, keyed[key] == gone.gone_key, "left_anti").select(_columns(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

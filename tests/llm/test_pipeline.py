@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tests.llm.conftest import make
 from tessera.llm.queries import oracle_sql, registry
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +40,23 @@ def test_run_drops_what_it_should(spark):
     assert {r.doc_id for r in out} <= set(kept) and all(0 < r.probability <= 1 for r in out)
 
 
+def test_rows_without_ids_of_their_own(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    copy, clean, other = ("one two three four five six", "seven eight nine ten eleven twelve",
+                          "red green blue cyan pink teal")
+    rows = [(None, copy, "en", "a"), (5, copy, "en", "b"), (5, copy, "en", "c"), (5, clean, "en", "a"),
+            (5, f"x {item} y", "en", "a"), (None, f"z {item} z", "en", "a"), (None, other, "en", "a")]
+    docs = make(spark, rows).withColumn("row_key", F.lit("clash"))
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert [g for g in got if g[1] == copy] == [(5, copy)]
+    assert {(5, clean), (None, other)} <= set(got)
+    out = corpus_pipeline.drop_contaminated(spark, docs, SF)
+    assert sorted(r.text for r in out.collect()) == sorted([copy] * 3 + [clean, other])
+    assert out.columns == docs.columns
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry())
     assert numbers == list(range(1, 11)) and set(oracle_sql()) <= set(registry())
