@@ -43,6 +43,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operator, in a catalog database whose location is the shared
+    folder.  Spark's own ``DROP TABLE`` removes their files once a later table holds the result."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.tables = spark, []
+        self.database = f"llm_{name}_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{new_path(spark, name)}'")
+
+    def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """``df`` as a written table, in folders by the column ``by``, read back: lineage ends
+        here, and a lost executor costs a re-read."""
+        table = f"{self.database}.{name}"
+        writer = df.write.format("parquet")
+        (writer.partitionBy(by) if by else writer).saveAsTable(table)
+        self.tables.append(name)
+        return self.spark.table(table)
+
+    def keep(self, *names: str) -> None:
+        """Drop all tables but these."""
+        for name in [t for t in self.tables if t not in names]:
+            self.spark.sql(f"DROP TABLE {self.database}.{name}")
+        self.tables = list(names)
+
+
 def ship(spark: SparkSession) -> None:
     """Let the executors import this package: Spark sends them a zip of it, once a session."""
     import tessera

@@ -88,3 +88,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR 2 * n_upper > n_letters
        OR 2 * n_exclaims > n_words OR 2 * n_stutters > n_words
        OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM b"""
+
+
+#: CRC-32 of the digits of conv_id, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), list_transform(range(8), lambda i: 0::BIGINT)),
+      lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)"""
+
+TRIE_SQL = rf"""WITH own AS MATERIALIZED (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+    ORDER BY turn NULLS FIRST, role, text) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+shared AS (SELECT conv_id, turns, {_CRC} % 4 AS h FROM own),
+built AS MATERIALIZED (SELECT s.conv_id, list_concat(coalesce(b.turns[1:s.h], []), s.turns[s.h + 1:]) AS turns
+  FROM shared s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 20),
+steps AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM built),
+marked AS MATERIALIZED (SELECT conv_id, depth, turns[1:depth]::VARCHAR AS path, turns[depth].text AS text,
+  turns[1:depth - 1]::VARCHAR AS above, depth = len(turns) AS ends FROM steps),
+nodes AS MATERIALIZED (SELECT depth, path, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+  coalesce(any_value(len(regexp_extract_all(text, '{_WORD}'))), 0) AS words,
+  sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM marked GROUP BY depth, path),
+kin AS (SELECT n.depth, n.path, count(c.path) AS n_children FROM nodes n
+  LEFT JOIN nodes c ON c.depth = n.depth + 1 AND c.above = n.path GROUP BY n.depth, n.path),
+full_nodes AS MATERIALIZED (SELECT n.*, k.n_children FROM nodes n JOIN kin k USING (depth, path)),
+pairs AS (SELECT DISTINCT a.depth, a.path, b.depth AS below_depth, b.path AS below
+  FROM marked a JOIN marked b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+sums AS (SELECT p.depth, p.path, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves,
+  sum((b.n_convs - 1) * b.words) AS saved_tokens
+  FROM pairs p JOIN full_nodes b ON b.depth = p.below_depth AND b.path = p.below GROUP BY p.depth, p.path)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+  s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s USING (depth, path)
+LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.path = n.above AND n.depth > 0"""

@@ -13,7 +13,8 @@ from tessera.llm.lang_id import language_id
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.mixing import mix_sources, text_form
-from tessera.llm.oracle import CHAT_SQL, QUALITY_SQL, mixing_sql
+from tessera.llm.oracle import CHAT_SQL, QUALITY_SQL, TRIE_SQL, mixing_sql
+from tessera.llm.prefix_trie import prefix_trie
 from tessera.llm.quality import quality_cascade
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring_dedup import substring_dedup
@@ -81,13 +82,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(spark, _documents(spark, sf_dir))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of the conversations, rebuilt in families of 20 that share up to 3 opening turns."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie(spark, turns, family=20, most=3).drop("enter", "exit")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mixing_sources, op3_substring_dedup, op4_language_id,
         op5_line_dedup, op6_chat_formatting, op7_benchmark_decontamination, op8_quality_rules,
-        op9_suffix_array_dedup, op10_lm_scoring)}
+        op9_suffix_array_dedup, op10_lm_scoring,
+        op11_conversation_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_mixing_sources": mixing_sql(MIX_POWERS), "op6_chat_formatting": CHAT_SQL,
-            "op8_quality_rules": QUALITY_SQL}
+            "op8_quality_rules": QUALITY_SQL, "op11_conversation_prefix_trie": TRIE_SQL}
