@@ -14,6 +14,7 @@ from tessera.llm.line_dedup import line_dedup
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.mixing import mix_sources, text_form
 from tessera.llm.oracle import CHAT_SQL, QUALITY_SQL, TRIE_SQL, mixing_sql
+from tessera.llm.periodic_runs import periodic_runs
 from tessera.llm.prefix_trie import prefix_trie
 from tessera.llm.quality import quality_cascade
 from tessera.llm.simhash import simhash_dedup
@@ -88,12 +89,16 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie(spark, turns, family=20, most=3).drop("enter", "exit")
 
 
+def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(spark, _documents(spark, sf_dir), fold=True).drop("n_words", "runs", "collapsed")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mixing_sources, op3_substring_dedup, op4_language_id,
         op5_line_dedup, op6_chat_formatting, op7_benchmark_decontamination, op8_quality_rules,
         op9_suffix_array_dedup, op10_lm_scoring,
-        op11_conversation_prefix_trie)}
+        op11_conversation_prefix_trie, op12_periodic_run_detection)}
 
 
 def oracle_sql() -> dict[str, str]:
