@@ -120,3 +120,11 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_con
   s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
 FROM full_nodes n JOIN sums s USING (depth, path)
 LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.path = n.above AND n.depth > 0"""
+
+
+WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS kept FROM d),
+t AS (SELECT *, payload_bytes >= 1000 AND page_id IS DISTINCT FROM kept AS again FROM m)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN kept END AS refers_to FROM t"""

@@ -8,18 +8,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.chat_formatting import preference_pairs, swapped_replies
+from tessera.llm.common import new_path
 from tessera.llm.decontamination import contamination
 from tessera.llm.lang_id import language_id
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.mixing import mix_sources, text_form
-from tessera.llm.oracle import CHAT_SQL, QUALITY_SQL, TRIE_SQL, mixing_sql
+from tessera.llm.oracle import CHAT_SQL, QUALITY_SQL, TRIE_SQL, WARC_SQL, mixing_sql
 from tessera.llm.periodic_runs import periodic_runs
 from tessera.llm.prefix_trie import prefix_trie
 from tessera.llm.quality import quality_cascade
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring_dedup import substring_dedup
 from tessera.llm.suffix_dedup import suffix_dedup
+from tessera.llm.warc import read_warc, resolve_revisits, write_warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,14 +95,26 @@ def op12_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs(spark, _documents(spark, sf_dir), fold=True).drop("n_words", "runs", "collapsed")
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages, written as archives and read back; a record that fails a check ends the query."""
+    archive = new_path(spark, "warc")
+    write_warc(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"), archive)
+    records = resolve_revisits(read_warc(spark, archive, payloads=False))
+    right = F.when(F.col("problem").isNull(), F.col("kind")).otherwise(F.raise_error(F.concat(
+        F.lit("record "), F.coalesce("record", F.lit("?")), F.lit(": "), F.col("problem"))))
+    return records.select(F.col("doc_id").alias("page_id"), "payload_bytes",
+                          F.col("payload_sha1").alias("payload_digest"), right.alias("record_type"), "refers_to")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_simhash_near_dedup, op2_mixing_sources, op3_substring_dedup, op4_language_id,
         op5_line_dedup, op6_chat_formatting, op7_benchmark_decontamination, op8_quality_rules,
         op9_suffix_array_dedup, op10_lm_scoring,
-        op11_conversation_prefix_trie, op12_periodic_run_detection)}
+        op11_conversation_prefix_trie, op12_periodic_run_detection, op13_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_mixing_sources": mixing_sql(MIX_POWERS), "op6_chat_formatting": CHAT_SQL,
-            "op8_quality_rules": QUALITY_SQL, "op11_conversation_prefix_trie": TRIE_SQL}
+            "op8_quality_rules": QUALITY_SQL, "op11_conversation_prefix_trie": TRIE_SQL,
+            "op13_warc": WARC_SQL}
