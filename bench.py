@@ -48,7 +48,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = local_test_session("tessera-bench", cores=cpus, shuffle_partitions=int(cpus) * 4)
+    spark = local_test_session("tessera-bench", cores=cpus, shuffle_partitions=int(cpus))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-bench-"))
     wh = Warehouse(spark, f"{scratch_root(spark)}/bench-warehouse")

@@ -72,6 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tessera")
     p.add_argument("command", choices=["load", "gold", "test", "build"])
     p.add_argument("--root", help="warehouse folder (default: under spark.checkpoint.dir)")
+    p.add_argument("--prefix", default="", help="prefix of the databases bronze, silver and gold")
     p.add_argument("--batch", type=int, help="load number (increasing)")
     p.add_argument("--loaded-at", help="load stamp 'YYYY-MM-DD HH:MM:SS' (UTC)")
     p.add_argument("--raw-dir", help="folder with one sub-folder per raw table")
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     spark = configure_session(SparkSession.builder.appName("tessera").getOrCreate())
-    wh = Warehouse(spark, args.root or f"{scratch_root(spark)}/tessera-warehouse")
+    wh = Warehouse(spark, args.root or f"{scratch_root(spark)}/tessera-warehouse", prefix=args.prefix)
     silver_only = args.command == "load" and args.layer == "silver"
     if args.command == "load" and args.layer in ("source", "gold"):
         p.error("load takes --layer bronze, silver or all")

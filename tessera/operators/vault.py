@@ -3,18 +3,23 @@
 All three are insert-only.  ``existing`` is the stored state (None on the
 first load); the result is exactly the rows to append.
 
-Physical shape, per load:
+Physical shape, per load, with stored tables that are bucketed by the key of
+the join (see `tessera.sources.store`):
 
+* the stored rows that a load needs are those whose key occurs in the extract:
+  a semi join that streams the stored side, pruned to a few columns, past a
+  hash table of the extract's distinct keys, bucket by bucket.  Stored rows are
+  neither shuffled nor sorted, whatever the sizes;
 * hub / link: the first-seen dedup (row_number = 1 → WindowGroupLimit) gets
   a *partial* limit before its shuffle, so an id repeated a million times
   ships one row per map task; the anti join against the stored keys then
   shuffles only the deduplicated rows.  (An explicit repartition on the key
   would save that second, small shuffle but blocks the partial limit — a hot
   id would then ship every copy.)
-* satellite: the stored side is pruned to (key, load_date, hashdiff) and cut
-  to the latest row per key before its shuffle; the incoming side shuffles
-  once on the key; then a left join and the change filter.  Versions per key
-  are bounded by the number of loads, never by data volume.
+* satellite: the stored rows of the extract's keys are cut to the latest per
+  key where they lie; the incoming side shuffles once on the key; then a left
+  join and the change filter.  Versions per key are bounded by the number of
+  loads, never by data volume.
 """
 
 from __future__ import annotations
@@ -51,32 +56,27 @@ def latest_version(df: DataFrame, key: str | Sequence[str], order_col: str = "lo
               .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def only_new(df: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
+def only_new(df: DataFrame, existing: DataFrame | None, key: str | Sequence[str]) -> DataFrame:
     """Rows whose ``key`` is not stored yet.  Written as a left-anti join (keys
     are never NULL), not ``NOT IN``, whose null-aware plan always broadcasts
     the stored keys."""
     if existing is None:
         return df
+    keys = [key] if isinstance(key, str) else list(key)
     # the stored keys grow with history: always a shuffled (merge) join, never
     # a broadcast funnelled through the driver
-    return df.join(existing.select(key).hint("merge"), on=key, how="left_anti")
-
-
-#: Keys of an extract up to this many are broadcast: md5 text, about 100 bytes each as a hash table.
-BROADCAST_KEYS = 1_000_000
+    return df.join(existing.select(*keys).hint("merge"), on=keys, how="left_anti")
 
 
 def stored_of_extract(existing: DataFrame | None, bronze: DataFrame, key: str,
-                      ids: Sequence[str], extract_rows: int) -> DataFrame | None:
-    """The stored rows whose key occurs in the extract: all that a load needs of them.
-
-    A small extract (``extract_rows``, counted by the caller) sends its keys to the tasks that scan
-    the stored table, so that only matches are shuffled and a load's shuffles grow with the
-    extract, not with history.  A larger one leaves the stored side as it is, for the shuffled
-    joins."""
-    if existing is None or extract_rows > BROADCAST_KEYS:
-        return existing
-    return existing.join(F.broadcast(bronze.select(hub_key(*ids).alias(key))), key, "left_semi")
+                      ids: Sequence[str]) -> DataFrame | None:
+    """The stored rows whose ``key`` (the hash of ``ids``) occurs in the extract: all that a load
+    needs of them.  Bucketed by ``key``, they stream past the extract's distinct keys, of which a
+    task holds one bucket."""
+    if existing is None:
+        return None
+    keys = bronze.select(hub_key(*ids).alias(key)).distinct()
+    return existing.join(keys.hint("shuffle_hash"), key, "left_semi")
 
 
 def new_or_changed(incoming: DataFrame, existing: DataFrame | None, key: str,
@@ -150,6 +150,19 @@ class LinkSpec:
     source: str
     link_key: str
     hubs: tuple[tuple[str, str], ...]   # (hub key column, id column) in hash order
+    # the stored rows are bucketed by this column: the link key, which no id can make hot, or the
+    # key of an entity that has one link at most
+    bucket_key: str | None = None
+
+    @property
+    def dealt_by(self) -> str:
+        return self.bucket_key or self.link_key
+
+    @property
+    def dealt_ids(self) -> list[str]:
+        """The ids that ``dealt_by`` is the hash of."""
+        ids = dict(self.hubs)
+        return [ids[self.bucket_key]] if self.bucket_key else list(ids.values())
 
 
 @dataclass(frozen=True)
@@ -204,7 +217,7 @@ def load_link(bronze: DataFrame, spec: LinkSpec, existing: DataFrame | None = No
         F.col("_loaded_at").alias("load_date"),
         "record_source",
     )
-    return only_new(out, existing, spec.link_key)
+    return only_new(out, existing, list(dict.fromkeys([spec.dealt_by, spec.link_key])))
 
 
 def satellite_incoming(bronze: DataFrame, spec: SatSpec) -> DataFrame:

@@ -30,7 +30,7 @@ LINKS = [
              (("customer_hub_key", "customer_id"), ("loan_hub_key", "loan_id"))),
     LinkSpec("link_account_merchant", "transactions", "transaction_account_merchant_link_key",
              (("transaction_hub_key", "transaction_id"), ("account_hub_key", "account_id"),
-              ("merchant_hub_key", "merchant_id"))),
+              ("merchant_hub_key", "merchant_id")), bucket_key="transaction_hub_key"),
 ]
 
 SATELLITES = [

@@ -92,19 +92,18 @@ def silver_tasks(wh: Warehouse, sources: Iterable[str], batch: int,
     for src in sources:
         hubs, links, sats = silver_for_source(src)
         bronze = wh.read("bronze", BRONZE[src])   # resolved once, shared by the models
-        rows = bronze.count()                     # from the file footers
         models = [*((load_hub, h, h.key_col, [h.id_col]) for h in hubs),
-                  *((load_link, k, k.link_key, [i for _, i in k.hubs]) for k in links)]
+                  *((load_link, k, k.dealt_by, k.dealt_ids) for k in links)]
         for load, spec, key, ids in models:
-            def task(load=load, spec=spec, key=key, ids=ids, bronze=bronze, rows=rows) -> None:
+            def task(load=load, spec=spec, key=key, ids=ids, bronze=bronze) -> None:
                 stored = None if full_refresh else stored_of_extract(
-                    wh.read_before("silver", spec.name, batch), bronze, key, ids, rows)
+                    wh.read_before("silver", spec.name, batch), bronze, key, ids)
                 wh.write_batch(load(bronze, spec, stored), "silver", spec.name, batch,
-                               full_refresh)
+                               full_refresh, key=key, dealt=stored is not None)
             tasks.append(_traced(spec.name, task))
         for spec in sats:
-            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze, rows=rows:
-                                 satellite_task(wh, spec, batch, bronze, full_refresh, rows)))
+            tasks.append(_traced(spec.name, lambda spec=spec, bronze=bronze:
+                                 satellite_task(wh, spec, batch, bronze, full_refresh)))
     return tasks
 
 
@@ -130,20 +129,19 @@ def current_state(wh: Warehouse, spec: SatSpec, batch: int,
 
 
 def satellite_task(wh: Warehouse, spec: SatSpec, batch: int, bronze: DataFrame | None = None,
-                   full_refresh: bool = False, rows: int | None = None) -> None:
+                   full_refresh: bool = False) -> None:
     """Append load ``batch`` to a satellite; for snapshot satellites, record the current state
     at every ``SNAPSHOT_EVERY``-th load."""
     if bronze is None:
         bronze = wh.read("bronze", BRONZE[spec.source])
-    rows = bronze.count() if rows is None else rows
 
     def needed(stored: DataFrame | None) -> DataFrame | None:
-        return stored_of_extract(stored, bronze, spec.key_col, [spec.id_col], rows)
+        return stored_of_extract(stored, bronze, spec.key_col, [spec.id_col])
 
     if not spec.snapshot:
         stored = None if full_refresh else needed(wh.read_before("silver", spec.name, batch))
         wh.write_batch(load_satellite(bronze, spec, stored), "silver", spec.name, batch,
-                       full_refresh)
+                       full_refresh, key=spec.key_col, dealt=stored is not None)
         return
     # a snapshot of an earlier run of this load, or of a later one, does not describe what is
     # written now
@@ -152,12 +150,12 @@ def satellite_task(wh: Warehouse, spec: SatSpec, batch: int, bronze: DataFrame |
             wh.drop_batch(STATE, spec.name, stale)
     state = None if full_refresh else current_state(wh, spec, batch, needed)
     wh.write_batch(load_satellite(bronze, spec, state, latest_only=True), "silver", spec.name,
-                   batch, full_refresh)
+                   batch, full_refresh, key=spec.key_col)
     snapshots = wh.batch_ids(STATE, spec.name)
     loads = wh.batch_ids("silver", spec.name)
     if snapshots and len([b for b in loads if b > snapshots[-1]]) < SNAPSHOT_EVERY:
         return
-    wh.write_batch(current_state(wh, spec, batch + 1), STATE, spec.name, batch)
+    wh.write_batch(current_state(wh, spec, batch + 1), STATE, spec.name, batch, key=spec.key_col)
     for old in snapshots[:-1]:
         wh.drop_batch(STATE, spec.name, old)
 

@@ -64,7 +64,6 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         if key not in _BUILT:
             root = f"{scratch_root(spark)}/tessera-warehouse/{uuid.uuid4().hex}"
             _BUILT[key] = build_warehouse(spark, sf_dir, root)
-            _BUILT[key].delete_on_exit()
         return _BUILT[key]
 
 

@@ -21,6 +21,8 @@ SCALE_CONFS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a table bucketed by one of several join keys is joined where it lies
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 

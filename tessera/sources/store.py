@@ -1,31 +1,31 @@
-"""Layered table store: ``<root>/<layer>/<table>`` parquet tables.
-
-* full-refresh tables (bronze, gold): every refresh writes a new
-  ``version=<n>`` folder, and the newest committed one is the table, so a
-  failed rebuild leaves the previous table readable.  The version before it is
-  kept until the next refresh, for readers that have already resolved it;
-* incremental tables (silver) are append-only, one ``_batch=<n>`` partition
-  per load.  A load writes only its own partition with overwrite semantics,
-  and reads the stored state as the partitions *before* it, so re-running a
-  batch (after a failure or on purpose) reproduces the same partition instead
-  of appending twice.  The ``_batch`` column never leaves the store;
-* a full refresh of an incremental table starts a new ``generation=<load>``
-  folder, which replaces the earlier loads once its first load is committed;
-* a table or partition exists only once its write is committed (``_SUCCESS``):
-  what an interrupted write leaves behind is neither state nor read;
+"""Layered store on catalog tables: a database a layer, a table a model.
+
+``<prefix><layer>.<table>`` are managed parquet tables under ``<root>/<layer>``, so that models are read
+by name, from Spark SQL as well.  Writing, committing, replacing and deleting are Spark's:
+
+* full-refresh tables (bronze, gold) are built under another name and take the table's name when
+  they are complete, so a failed rebuild leaves the previous table as it was;
+* incremental tables (silver) are partitioned by load and bucketed by their hub key.  A load
+  overwrites its own partition alone (dynamic partition overwrite) and compares itself with the
+  partitions before it, so that a repeated load reproduces its rows instead of appending them
+  twice.  Buckets are what saves shuffles of stored rows: joins and windows on the hub key read
+  history where it lies;
+* a full refresh of an incremental table is built under another name as well;
 * loads go forward: a load older than the newest stored one is refused.
 
-The store is also what cuts lineage between models: every model is written
-and read back, so no plan ever stacks more than one model deep.
+What is stored is what the catalog lists; files of an interrupted write are in no table.  Another
+application sees the tables if the session's catalog is persistent (a metastore).
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH_COL = "_batch"
-VERSION, GENERATION = "version", "generation"
+NEXT = "__next"
 
 
 def layer_name(custom: str | None, default: str) -> str:
@@ -35,115 +35,107 @@ def layer_name(custom: str | None, default: str) -> str:
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str,
-                 layers: dict[str, str | None] | None = None,
-                 default_layer: str = "main"):
+    """``prefix``: of the database names.  "" gives ``bronze``, ``silver`` and ``gold``; None a prefix of
+    the root's own, so that warehouses of one session do not meet.  ``buckets``: files a load and
+    silver table (default: the session's shuffle partitions), for all loads the same."""
+
+    def __init__(self, spark: SparkSession, root: str, layers: dict[str, str | None] | None = None,
+                 default_layer: str = "main", prefix: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.layers = layers or {}
         self.default_layer = default_layer
-
-    def delete_on_exit(self) -> None:
-        """Have the file system remove this warehouse when the application ends."""
-        fs, p, _ = self._fs(self.root)
-        fs.deleteOnExit(p)
+        self.prefix = f"wh_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_" if prefix is None else prefix
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self._databases: set[str] = set()
 
     # -- naming -------------------------------------------------------------
-    def path(self, layer: str, name: str) -> str:
+    def database(self, layer: str) -> str:
         routed = layer_name(self.layers.get(layer, layer), self.default_layer)
-        return f"{self.root}/{routed}/{name}"
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-    def _committed(self, path: str) -> bool:
-        fs, p, jvm = self._fs(path)
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+        name, place = f"{self.prefix}{routed}", f"{self.root}/{routed}"
+        if name not in self._databases:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{place}'")
+            there = self.spark.catalog.getDatabase(name).locationUri
+            if there.removeprefix("file:").rstrip("/") != place.removeprefix("file:"):
+                raise ValueError(f"database {name} lies in {there}, not in {place}; give a prefix")
+            self._databases.add(name)
+        return name
+
+    def table(self, layer: str, name: str) -> str:
+        """The table's name in the catalog."""
+        return f"`{self.database(layer)}`.`{name}`"
 
-    def _numbered(self, path: str, kind: str) -> list[int]:
-        """Numbers n of the folders ``<kind>=<n>`` under ``path``, ascending."""
-        fs, p, _ = self._fs(path)
-        if not fs.exists(p):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-        found = [n.removeprefix(f"{kind}=") for n in names if n.startswith(f"{kind}=")]
-        return sorted(int(n) for n in found if n.lstrip("-").isdigit())
+    def exists(self, layer: str, name: str) -> bool:
+        """Whether a full table, or any load of an incremental one, is stored."""
+        table = self.table(layer, name)
+        if not self.spark.catalog.tableExists(table):
+            return False
+        return not self._by_load(table) or bool(self._loads(table))
 
-    def _finished(self, path: str, kind: str) -> list[int]:
-        return [n for n in self._numbered(path, kind) if self._committed(f"{path}/{kind}={n}")]
+    def drop(self) -> None:
+        """Remove the warehouse's databases and their files."""
+        for name in sorted(self._databases):
+            self.spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+        self._databases.clear()
 
-    def _delete(self, path: str) -> None:
-        fs, p, _ = self._fs(path)
-        fs.delete(p, True)
+    def _by_load(self, table: str) -> bool:
+        return BATCH_COL in self.spark.table(table).columns
 
-    def exists(self, layer: str, name: str) -> bool:
-        """Whether a full table, or any partition of an incremental one, is committed."""
-        return (bool(self._finished(self.path(layer, name), VERSION))
-                or bool(self.batch_ids(layer, name)))
+    def _loads(self, table: str) -> list[int]:
+        return sorted(int(r[0].removeprefix(f"{BATCH_COL}="))
+                      for r in self.spark.sql(f"SHOW PARTITIONS {table}").collect())
 
     # -- full refresh --------------------------------------------------------
+    def _replace(self, layer: str, name: str) -> None:
+        """The table that was built beside takes the name."""
+        table = self.table(layer, name)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"ALTER TABLE {self.table(layer, name + NEXT)} RENAME TO {table}")
+
     def write_full(self, df: DataFrame, layer: str, name: str) -> None:
-        """Write the next version of a table and drop those before the last one."""
-        path = self.path(layer, name)
-        current = (self._finished(path, VERSION) or [0])[-1]
-        df.write.mode("overwrite").parquet(f"{path}/{VERSION}={current + 1}")
-        for old in self._numbered(path, VERSION):
-            if old < current:
-                self._delete(f"{path}/{VERSION}={old}")
+        """Replace a table by the rows of ``df``."""
+        beside = self.table(layer, name + NEXT)
+        self.spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        df.write.format("parquet").saveAsTable(beside)
+        self._replace(layer, name)
 
     # -- incremental ---------------------------------------------------------
-    def _home(self, layer: str, name: str) -> str:
-        """Folder of the loads that count: the newest generation with a committed load."""
-        path = self.path(layer, name)
-        for g in reversed(self._numbered(path, GENERATION)):
-            if self._finished(f"{path}/{GENERATION}={g}", BATCH_COL):
-                return f"{path}/{GENERATION}={g}"
-        return path
-
-    def _batch_path(self, layer: str, name: str, batch: int) -> str:
-        return f"{self._home(layer, name)}/{BATCH_COL}={batch}"
-
-    def write_batch(self, df: DataFrame, layer: str, name: str, batch: int,
-                    full_refresh: bool = False) -> None:
-        """Write one load; with ``full_refresh`` it replaces all that is stored."""
+    def _create(self, df: DataFrame, table: str, key: str | None) -> None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        dealt = f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {self.buckets} BUCKETS" if key else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {BATCH_COL} BIGINT) USING parquet "
+                       f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({BATCH_COL}) {dealt}")
+
+    def write_batch(self, df: DataFrame, layer: str, name: str, batch: int, full_refresh: bool = False,
+                    key: str | None = None, dealt: bool = False) -> None:
+        """Write one load; with ``full_refresh`` it replaces all that is stored.  ``key``: the column
+        that a new table is bucketed by; ``dealt`` says that the rows come from a join with the
+        stored table on that column, so that each task holds one bucket already."""
         stored = self.batch_ids(layer, name)
         if stored and stored[-1] > batch:
             raise ValueError(f"{layer}.{name}: load {batch} is older than stored load "
                              f"{stored[-1]}; replay loads in order")
-        if not full_refresh:
-            df.write.mode("overwrite").parquet(self._batch_path(layer, name, batch))
-            return
-        path = self.path(layer, name)
-        home, new = self._home(layer, name), f"{path}/{GENERATION}={batch}"
-        df.write.mode("overwrite").parquet(f"{new}/{BATCH_COL}={batch}")
-        # what the former home had replaced goes; the former home itself stays for its readers
-        for g in self._numbered(path, GENERATION):
-            if f"{path}/{GENERATION}={g}" not in (home, new):
-                self._delete(f"{path}/{GENERATION}={g}")
-        for b in self._numbered(path, BATCH_COL) if home != path else []:
-            self._delete(f"{path}/{BATCH_COL}={b}")
+        target = name + NEXT if full_refresh else name
+        table = self.table(layer, target)
+        if full_refresh:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._create(df, table, key)
+        if batch in stored and not full_refresh:
+            self.drop_batch(layer, name, batch)  # also if the load is empty now
+        if key and not dealt:
+            df = df.repartition(self.buckets, key)
+        df.withColumn(BATCH_COL, F.lit(batch).cast("bigint")).write.insertInto(table, overwrite=True)
+        # a load without rows is a load, too
+        self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({BATCH_COL}={batch})")
+        if full_refresh:
+            self._replace(layer, name)
 
     def drop_batch(self, layer: str, name: str, batch: int) -> None:
-        """Invalidate a load partition."""
-        self._delete(self._batch_path(layer, name, batch))
+        self.spark.sql(f"ALTER TABLE {self.table(layer, name)} DROP IF EXISTS PARTITION ({BATCH_COL}={batch})")
 
     # -- reads ---------------------------------------------------------------
-    def _partitions(self, layer: str, name: str, batches: list[int]) -> DataFrame:
-        home = self._home(layer, name)
-        return (self.spark.read.option("basePath", home)
-                .parquet(*[f"{home}/{BATCH_COL}={b}" for b in batches]))
-
     def read(self, layer: str, name: str) -> DataFrame:
-        batches = self.batch_ids(layer, name)
-        if batches:
-            return self._partitions(layer, name, batches).drop(BATCH_COL)
-        path = self.path(layer, name)
-        versions = self._finished(path, VERSION)
-        if not versions:
-            raise FileNotFoundError(f"{layer}.{name}: no committed write under {path}")
-        return self.spark.read.parquet(f"{path}/{VERSION}={versions[-1]}")
+        return self.spark.table(self.table(layer, name)).drop(BATCH_COL)
 
     def read_before(self, layer: str, name: str, batch: int,
                     after: int | None = None) -> DataFrame | None:
@@ -151,22 +143,26 @@ class Warehouse:
         one); None where there is none."""
         loads = [b for b in self.batch_ids(layer, name)
                  if b < batch and (after is None or b > after)]
-        return self._partitions(layer, name, loads).drop(BATCH_COL) if loads else None
+        return self._only(layer, name, F.col(BATCH_COL).isin(loads)) if loads else None
 
     def read_batch(self, layer: str, name: str, batch: int) -> DataFrame:
-        """Rows appended by load ``batch`` (its folder alone is listed)."""
-        return self._partitions(layer, name, [batch]).drop(BATCH_COL)
+        """Rows appended by load ``batch``."""
+        return self._only(layer, name, F.col(BATCH_COL) == batch)
+
+    def _only(self, layer: str, name: str, loads) -> DataFrame:
+        return self.spark.table(self.table(layer, name)).filter(loads).drop(BATCH_COL)
 
     def batch_ids(self, layer: str, name: str) -> list[int]:
-        """Committed load partitions of a table, from its directory listing."""
-        return self._finished(self._home(layer, name), BATCH_COL)
+        """Stored loads, ascending."""
+        table = self.table(layer, name)
+        return self._loads(table) if self.spark.catalog.tableExists(table) else []
 
     def max_batch(self, layer: str, name: str, before: int) -> int | None:
-        """Newest load partition below ``before``, or None."""
+        """Newest load below ``before``, or None."""
         earlier = [b for b in self.batch_ids(layer, name) if b < before]
         return max(earlier) if earlier else None
 
     def batches(self, layer: str, name: str) -> DataFrame:
-        """Row count per load partition (a metadata-sized aggregate)."""
-        df = self._partitions(layer, name, self.batch_ids(layer, name))
-        return df.groupBy(BATCH_COL).agg(F.count(F.lit(1)).alias("rows_added"))
+        """Row count per load (a metadata-sized aggregate)."""
+        return (self.spark.table(self.table(layer, name)).groupBy(BATCH_COL)
+                .agg(F.count(F.lit(1)).alias("rows_added")))

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import os
 
-from tessera.__main__ import main
+from tessera import __main__ as cli
 from tessera.sources.store import Warehouse
 
 SF = "/root/testdata/sf0.001"
 
 
+def main(argv):
+    """The command line, with databases of the root's own."""
+    root = argv[argv.index("--root") + 1]
+    return cli.main([*argv, "--prefix", Warehouse(None, root, buckets=1).prefix])
+
+
 def test_cli_build_and_test(spark, scratch, capsys):
     root = os.path.join(scratch, "wh")
     assert main(["load", "--root", root, "--batch", "1", "--sf-dir", SF]) == 0

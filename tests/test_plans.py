@@ -3,6 +3,8 @@ anti joins; top-1 per key uses WindowGroupLimit; pruned, pushed-down scans."""
 
 from __future__ import annotations
 
+import pytest
+
 from tessera.operators import star
 from tessera.operators.vault import latest_version, load_hub
 from tessera.plans.models import HUB
@@ -95,29 +97,82 @@ def test_flagship_pre_aggregation_equals_naive_join_under_skew(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, naive))
 
 
-def test_a_small_extract_does_not_shuffle_the_stored_keys(spark, warehouse_sf0001, monkeypatch):
+def stored_scans(p: str, table: str) -> list[list[str]]:
+    """For each scan of a stored table, the operators between it and the plan's top."""
+    lines, out = p.split("\n"), []
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if f".{table}[" in line:
+            above, d = [], depth(line)
+            for up in reversed(lines[:i]):
+                if depth(up) < d and up.strip():
+                    above.append(up.strip(" :+-"))
+                    d = depth(up)
+            out.append(above)
+    return out
+
+
+@pytest.mark.parametrize("rows", [50, 100_000])
+def test_stored_keys_are_neither_shuffled_nor_sorted(spark, warehouse_sf0001, rows):
+    from tessera.operators import vault
+    from tessera.plans.models import LINK, SAT
+    wh = warehouse_sf0001
+    bronze = wh.read("bronze", "bronze_transactions").limit(rows)
+    for spec, load in [(HUB["hub_transaction"], load_hub), (LINK["link_account_merchant"], vault.load_link),
+                       (SAT["sat_transaction_details"], vault.load_satellite)]:
+        key = getattr(spec, "dealt_by", None) or spec.key_col
+        ids = spec.dealt_ids if hasattr(spec, "dealt_ids") else [spec.id_col]
+        stored = vault.stored_of_extract(wh.read_before("silver", spec.name, 9), bronze, key, ids)
+        p = plan(load(bronze, spec, stored))
+        for above in stored_scans(p, spec.name):
+            joins = [k for k, op in enumerate(above) if "Join" in op]
+            assert "ShuffledHashJoin" in above[joins[0]] and "LeftSemi" in above[joins[0]]
+            assert not any("Sort" in op and "Join" not in op for op in above[: joins[0]])
+            assert not any(op.startswith("Exchange") for op in above), p
+        assert stored_scans(p, spec.name)
+
+
+def test_stored_joins_read_buckets_where_they_lie(spark, warehouse_sf0001):
+    s = lambda n: warehouse_sf0001.read("silver", n)
+    from tessera.plans import gold
+    merge = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with_conf(spark, merge, lambda: check_no_exchange(plan(gold.dim_merchant(
+        s("sat_merchant_details"), s("hub_merchant"))), "sat_merchant_details", "hub_merchant"))
+    with_conf(spark, merge, lambda: check_no_exchange(plan(latest_version(
+        s("sat_transaction_details").select("transaction_hub_key", "load_date", "hashdiff"),
+        "transaction_hub_key")), "sat_transaction_details"))
+
+
+def check_no_exchange(p: str, *tables: str) -> None:
+    for table in tables:
+        scans = stored_scans(p, table)
+        assert scans and not any(op.startswith("Exchange") for above in scans for op in above), p
+
+
+def with_conf(spark, confs, work):
+    old = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        return work()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_loads_of_part_of_the_stored_keys(spark, warehouse_sf0001):
     from tessera.operators import vault
     from tessera.plans.models import LINK, SAT
     wh = warehouse_sf0001
-    bronze, stored = wh.read("bronze", "bronze_transactions").limit(50), {}
-    for name, key, ids, load, spec in [
-            ("hub_transaction", "transaction_hub_key", ["transaction_id"], load_hub,
-             HUB["hub_transaction"]),
-            ("link_account_merchant", "transaction_account_merchant_link_key",
-             ["transaction_id", "account_id", "merchant_id"], vault.load_link,
-             LINK["link_account_merchant"]),
-            ("sat_transaction_details", "transaction_hub_key", ["transaction_id"],
-             vault.load_satellite, SAT["sat_transaction_details"])]:
-        whole = wh.read("silver", name).select(
-            key, *(["load_date", "hashdiff"] if name.startswith("sat") else []))
-        part = vault.stored_of_extract(whole, bronze, key, ids, 50)
-        p = plan(part)
-        assert "BroadcastHashJoin" in p and "LeftSemi" in p
-        assert "hashpartitioning" not in p            # the stored side streams past the keys
+    bronze = wh.read("bronze", "bronze_transactions").limit(50)
+    for spec, load in [(HUB["hub_transaction"], load_hub), (LINK["link_account_merchant"], vault.load_link),
+                       (SAT["sat_transaction_details"], vault.load_satellite)]:
+        key = getattr(spec, "dealt_by", None) or spec.key_col
+        ids = spec.dealt_ids if hasattr(spec, "dealt_ids") else [spec.id_col]
         # half of the extract is stored
-        some = whole.join(bronze.limit(25).select(vault.hub_key(*ids).alias(key)), key, "left_semi")
+        some = wh.read("silver", spec.name).join(
+            bronze.limit(25).select(vault.hub_key(*ids).alias(key)), key, "left_semi")
         want = load(bronze, spec, some)
-        got = load(bronze, spec, vault.stored_of_extract(some, bronze, key, ids, 50))
+        got = load(bronze, spec, vault.stored_of_extract(some, bronze, key, ids))
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    monkeypatch.setattr(vault, "BROADCAST_KEYS", 10)  # beyond the bound: the shuffled joins
-    assert vault.stored_of_extract(whole, bronze, key, ids, 50) is whole
+        assert 0 < want.count() < 50

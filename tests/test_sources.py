@@ -76,5 +76,8 @@ def test_layer_routing(spark, scratch):
     assert layer_name(None, "main") == "main"
     assert layer_name("  gold ", "main") == "gold"
     wh = Warehouse(spark, scratch, layers={"gold": " marts "})
-    assert wh.path("gold", "dim_x").endswith("/marts/dim_x")
-    assert wh.path("silver", "hub_x").endswith("/silver/hub_x")
+    assert wh.table("gold", "dim_x").endswith("_marts`.`dim_x`")
+    assert wh.table("silver", "hub_x").endswith("_silver`.`hub_x`")
+    assert Warehouse(spark, scratch + "/p", prefix="plain_").table("gold", "t") == "`plain_gold`.`t`"
+    with pytest.raises(ValueError, match="prefix"):
+        Warehouse(spark, scratch + "/q", prefix="plain_").table("gold", "t")

@@ -60,22 +60,20 @@ def main() -> None:
 
     def needed(stored, spec, ids, bronze=accounts):
         """What a load reads of the stored rows, as ``run_batch`` does."""
-        key = getattr(spec, "key_col", None) or spec.link_key
-        return stored_of_extract(stored, bronze, key, ids, bronze.count())
+        key = getattr(spec, "key_col", None) or spec.dealt_by
+        return stored_of_extract(stored, bronze, key, ids)
 
     hub, link, sat = HUB["hub_account"], LINK["link_customer_account"], SAT["sat_account_details"]
     sat_tx = SAT["sat_transaction_details"]
     hubs, links = (wh.read_before("silver", x.name, 3) for x in (hub, link))
     items = {
-        "hub load (small extract)": load_hub(accounts, hub, needed(hubs, hub, ["account_id"])),
-        "hub load (extract beyond the broadcast bound)": load_hub(accounts, hub, hubs),
-        "link load (small extract)": load_link(
-            accounts, link, needed(links, link, ["customer_id", "account_id"])),
+        "hub load": load_hub(accounts, hub, needed(hubs, hub, ["account_id"])),
+        "link load": load_link(accounts, link, needed(links, link, link.dealt_ids)),
         "satellite load from the current-state snapshot": load_satellite(
             accounts, sat,
             current_state(wh, sat, 3, lambda rows: needed(rows, sat, ["account_id"])),
             latest_only=True),
-        "satellite load from history (small extract)": load_satellite(
+        "satellite load from history": load_satellite(
             transactions, sat_tx, needed(wh.read("silver", sat_tx.name), sat_tx,
                                          ["transaction_id"], transactions)),
         "dim_account": gold_model(wh, "dim_account"),
