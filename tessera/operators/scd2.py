@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.keys import hub_key
+from tessera.operators.skew import left_join_salted
 from tessera.schemas import OPEN_END
 
 
@@ -51,16 +52,16 @@ def build_scd2_dim(sat: DataFrame, hub: DataFrame, key: str, id_col: str,
     uniqueness checks report such entities).  The window runs *before* the
     fan-out — its groups stay bounded by the number of loads even for an
     entity with millions of parents — and the carrier copy is the one with the
-    greatest parent key, found by a map-side-combined aggregate."""
+    greatest parent key, found by the map-side-combined aggregate that also finds the
+    entities whose links are dealt over several tasks."""
     versions = (sat.select(key, *attrs, "load_date", "record_source")
                 .join(hub.select(key, id_col), on=key, how="inner"))
     versioned = scd2_intervals(versions, key)
     parent_cols: list[str] = []
     if parent_link is not None:
         links = parent_link.select(key, parent_key)
-        carrier = links.groupBy(key).agg(F.max(parent_key).alias("_carrier"))
-        versioned = (versioned.join(links, on=key, how="left")
-                     .join(carrier, on=key, how="left"))
+        versioned = left_join_salted(versioned, links, key, spread=parent_key,
+                                     extra={"_carrier": F.max(parent_key)})
         is_carrier = F.col(parent_key).eqNullSafe(F.col("_carrier"))
         versioned = (versioned
                      .withColumn("effective_end_date",

@@ -14,7 +14,7 @@ from tessera.functions.dates import date_key, month_start
 from tessera.functions.tiers import credit_tier
 from tessera.operators.calendar import date_dimension
 from tessera.operators.scd2 import build_scd2_dim, current_only
-from tessera.operators.vault import latest_version
+from tessera.operators.skew import left_join_salted
 from tessera.schemas import CHECKING, SAVINGS
 
 
@@ -100,24 +100,32 @@ def dim_customer(sat: DataFrame, hub: DataFrame, dim_account_df: DataFrame,
 # ---------------------------------------------------------------------------
 # facts
 # ---------------------------------------------------------------------------
-def _current(sat: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    latest = latest_version(sat.select(key, *cols, "load_date", "record_source", "hashdiff"), key)
-    return latest.drop("hashdiff")
+def latest_of(sat: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """The latest version of each key, as the greatest (load_date, ...) of its rows: an aggregate
+    with partial maxima, which keeps one row a key and task and ranks nothing.  Of versions with
+    equal load dates (a duplicate id in one extract) the one with the least fingerprint counts."""
+    # the least fingerprint among the latest rows: the maximum of the inverted digits
+    inverted = F.translate("hashdiff", "0123456789abcdef", "fedcba9876543210")
+    row = F.struct("load_date", inverted.alias("order"), *cols, "record_source")
+    latest = sat.groupBy(key).agg(F.max(row).alias("v"))
+    return latest.select(key, *[F.col(f"v.{c}").alias(c) for c in [*cols, "load_date", "record_source"]])
 
 
-def _customer_of_account(link_customer_account: DataFrame) -> DataFrame:
-    return link_customer_account.select("account_hub_key", "customer_hub_key")
+def _with_customer(facts: DataFrame, link_customer_account: DataFrame) -> DataFrame:
+    """The customer through the account (left: an unlinked account keeps the row)."""
+    links = link_customer_account.select("account_hub_key", "customer_hub_key")
+    return left_join_salted(facts, links, "account_hub_key", spread="customer_hub_key")
 
 
 def fact_transactions(link_account_merchant: DataFrame, sat_transaction: DataFrame,
                       link_customer_account: DataFrame) -> DataFrame:
     """One row per transaction: latest satellite version ⋈ link, plus the
-    customer through the account (left: an unlinked account keeps the row)."""
-    cur = _current(sat_transaction, "transaction_hub_key", ["amount_usd", "transaction_date"])
+    customer through the account.  Link and satellite are bucketed by the
+    transaction, so their join shuffles neither."""
+    cur = latest_of(sat_transaction, "transaction_hub_key", ["amount_usd", "transaction_date"])
     link = link_account_merchant.select("transaction_hub_key", "account_hub_key",
                                         "merchant_hub_key")
-    f = (link.join(cur, "transaction_hub_key", "inner")
-         .join(_customer_of_account(link_customer_account), "account_hub_key", "left"))
+    f = _with_customer(link.join(cur, "transaction_hub_key", "inner"), link_customer_account)
     return f.select(
         "transaction_hub_key", "account_hub_key", "merchant_hub_key", "customer_hub_key",
         date_key("transaction_date").alias("date_key"),
@@ -125,7 +133,7 @@ def fact_transactions(link_account_merchant: DataFrame, sat_transaction: DataFra
 
 
 def fact_loans(link_customer_loan: DataFrame, sat_loan: DataFrame) -> DataFrame:
-    cur = _current(sat_loan, "loan_hub_key", ["loan_amount", "interest_rate", "start_date"])
+    cur = latest_of(sat_loan, "loan_hub_key", ["loan_amount", "interest_rate", "start_date"])
     link = link_customer_loan.select("loan_hub_key", "customer_hub_key")
     f = link.join(cur, "loan_hub_key", "inner")
     return f.select(
@@ -136,8 +144,8 @@ def fact_loans(link_customer_loan: DataFrame, sat_loan: DataFrame) -> DataFrame:
 def fact_account_balance(sat_account: DataFrame, link_customer_account: DataFrame) -> DataFrame:
     """Current balance per account; its time axis is the capture (load) date,
     not the open date."""
-    cur = _current(sat_account, "account_hub_key", ["balance_usd", "open_date"])
-    f = cur.join(_customer_of_account(link_customer_account), "account_hub_key", "left")
+    cur = latest_of(sat_account, "account_hub_key", ["balance_usd", "open_date"])
+    f = _with_customer(cur, link_customer_account)
     return f.select(
         "account_hub_key", "customer_hub_key", date_key("load_date").alias("date_key"),
         F.col("load_date").cast("date").alias("snapshot_date"),
