@@ -9,7 +9,9 @@
 stops after bronze, ``--layer silver`` loads silver from the stored bronze;
 ``--full-refresh`` starts silver anew from this batch); ``gold`` rebuilds the star; ``test`` prints the check
 summary and exits 1 when a check fails; ``build`` = load, upstream checks,
-gold, gold checks — a failed check stops the build.  Raw tables come from
+gold, gold checks — a failed check stops the build.  ``--gate`` does the same for one
+layer: ``load --gate`` fails on the checks of what it has loaded, ``gold --gate`` builds
+nothing while a silver check fails, and then checks gold.  Raw tables come from
 ``--raw-dir`` (``<dir>/<table>``, any reader format, declared schemas) or,
 for the bundled test data, from ``--sf-dir`` and the batch number.
 """
@@ -82,6 +84,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--layer", default="all", choices=list(LAYERS))
     p.add_argument("--full-refresh", action="store_true",
                    help="load/build: replace stored silver by this batch alone")
+    p.add_argument("--gate", action="store_true", help="load/gold: run the layer's own checks, exit 1 on failure")
     args = p.parse_args(argv)
 
     spark = configure_session(SparkSession.builder.appName("tessera").getOrCreate())
@@ -92,10 +95,26 @@ def main(argv: list[str] | None = None) -> int:
     if args.command in ("load", "build") and (
             args.batch is None or not (args.raw_dir or args.sf_dir or silver_only)):
         p.error("load/build need --batch and --raw-dir or --sf-dir")
+    try:
+        return _run(spark, wh, args, silver_only)
+    except DataQualityError as e:
+        print(e, file=sys.stderr)
+        return 1
+
+
+def _gate(wh: Warehouse, *layers: str, extra=None) -> None:
+    enforce(run_data_checks(wh, extra, layers=layers))
+
+
+def _run(spark: SparkSession, wh: Warehouse, args, silver_only: bool) -> int:
     if silver_only:
         stored = [n for n in (args.tables.split(",") if args.tables else SOURCE_NAMES)
                   if wh.exists("bronze", BRONZE[n])]
+        if args.gate:
+            _gate(wh, "bronze")
         run_silver(wh, stored, args.batch, full_refresh=args.full_refresh)
+        if args.gate:
+            _gate(wh, "silver")
         return 0
     if args.command == "load":
         srcs = _sources(spark, args)
@@ -103,9 +122,15 @@ def main(argv: list[str] | None = None) -> int:
             load_bronze(wh, srcs, _loaded_at(args))
         else:
             run_batch(wh, srcs, _loaded_at(args), args.batch, full_refresh=args.full_refresh)
+        if args.gate:
+            _gate(wh, "bronze", *(["silver"] if args.layer != "bronze" else []))
         return 0
     if args.command == "gold":
+        if args.gate:
+            _gate(wh, "silver")
         build_gold(wh)
+        if args.gate:
+            _gate(wh, "gold")
         return 0
     if args.command == "test":
         return _check(spark, wh, args, LAYERS[args.layer])
@@ -113,13 +138,9 @@ def main(argv: list[str] | None = None) -> int:
     run_batch(wh, _sources(spark, args), _loaded_at(args), args.batch,
               full_refresh=args.full_refresh)
     extra = source_tables(DriverTables(spark, args.sf_dir), args.batch) if args.sf_dir else None
-    try:
-        enforce(run_data_checks(wh, extra, layers=("source", "bronze", "silver")))
-        build_gold(wh)
-        enforce(run_data_checks(wh, layers=("gold",)))
-    except DataQualityError as e:
-        print(e, file=sys.stderr)
-        return 1
+    _gate(wh, "source", "bronze", "silver", extra=extra)
+    build_gold(wh)
+    _gate(wh, "gold")
     print("build complete")
     return 0
 

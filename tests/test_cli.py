@@ -48,3 +48,26 @@ def test_cli_silver_alone_and_full_refresh(spark, scratch):
     assert main(["load", "--root", root, "--batch", "2", "--sf-dir", SF, "--full-refresh"]) == 0
     assert wh.batch_ids("silver", "sat_customer_details") == [2]
     assert wh.read("silver", "sat_customer_details").count() == 150
+
+
+def test_gate_stops_the_next_layer(spark, scratch, capsys):
+    from tessera.sources.driver_tables import DriverTables
+    root = os.path.join(scratch, "wh")
+    load = ["load", "--root", root, "--sf-dir", SF, "--gate", "--batch"]
+    # batch 1 has two sources of seven; their checks pass
+    assert main([*load, "1"]) == 0
+    assert main(["load", "--root", root, "--sf-dir", SF, "--batch", "3"]) == 0
+    wh = Warehouse(spark, root)
+    # a customer id twice in one extract: the satellite's grain check fails, and gold is not built
+    raw = os.path.join(scratch, "raw")
+    rows = DriverTables(spark, SF).customers(3).limit(5)
+    rows = [rows.withColumn("city", rows.city.substr(1, n)) for n in (2, 3)]
+    rows[0].unionByName(rows[1]).write.parquet(os.path.join(raw, "customers"))
+    more = ["--batch", "4", "--raw-dir", raw, "--tables", "customers", "--loaded-at", "2022-01-01 00:00:00"]
+    assert main(["load", "--root", root, "--gate", *more]) == 1
+    assert main(["gold", "--root", root, "--gate"]) == 1
+    assert not wh.exists("gold", "fact_transactions")
+    assert "sat_customer_details" in capsys.readouterr().err
+    wh.drop_batch("silver", "sat_customer_details", 4)
+    assert main(["gold", "--root", root, "--gate"]) == 0
+    assert wh.exists("gold", "fact_transactions")
