@@ -113,6 +113,7 @@ def start_extract_load(spark: SparkSession, wh: Warehouse, landing_dir: str,
     queries = []
     for source in sources:
         stream = (spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", 1)
+                  .option("maxFileAge", "36500d")  # a manifest that was written long ago counts, too
                   .option("multiLine", True)
                   .json(f"{landing_dir.rstrip('/')}/manifests/{source}")
                   .select("*", F.col("_metadata.file_modification_time").cast("string").alias(LANDED)))
