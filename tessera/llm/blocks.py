@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, new_path, ship, shuffle_partitions
+from tessera.llm.common import Scratch, materialise, new_path, ship, shuffle_partitions
 
 BLOCKS = "block long, ids array<bigint>, lens array<int>, bytes long, body binary"
 ASKED = "bucket int, block long, keys binary, more binary, marks binary"
@@ -105,9 +105,10 @@ class Blocks:
     """The block table of a set of documents."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, size: int, id_col: str = "doc_id",
-                 text_col: str = "text", carry: bool = False):
+                 text_col: str = "text", carry: bool = False, scratch: Scratch | None = None):
         """``size``: bytes of text after which a block is closed (it holds at least a document).
-        ``carry``: keep the documents' other columns, as ``extra``."""
+        ``carry``: keep the documents' other columns, as ``extra``.  ``scratch``: the database that
+        the table goes to, for its owner to drop."""
         ship(spark)
         self.spark = spark
         self.parts = shuffle_partitions(spark)
@@ -121,8 +122,13 @@ class Blocks:
             schema += f", extra array<{kind}>"
         packed = docs.select(*cols).mapInArrow(_pack(size), schema)
         name = f"llm_blocks_{uuid.uuid4().hex}"
-        (packed.write.bucketBy(self.parts, "block").option("path", new_path(spark, "blocks"))
-         .option("compression", "uncompressed").saveAsTable(name))
+        writer = packed.write.bucketBy(self.parts, "block").option("compression", "uncompressed")
+        if scratch:
+            scratch.tables.append(name)
+            name = f"{scratch.database}.{name}"
+        else:
+            writer = writer.option("path", new_path(spark, "blocks"))
+        writer.saveAsTable(name)
         self.table = spark.table(name)
         self.bytes = self.table.agg(F.sum("bytes")).first()[0] or 0
 
@@ -190,7 +196,8 @@ def _bounds(buckets: int) -> np.ndarray:
 
 
 def answer(asked: DataFrame, decide: Callable[..., np.ndarray], key_type: str, more_type: str | None,
-           mark_type: str = "u1", name: str = "answers") -> DataFrame:
+           mark_type: str = "u1", name: str = "answers",
+           write: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
     """Answer every asked row.  ``decide(keys, more, marks, row)`` gets the keys of a bucket (with
     their row numbers, ascending by block) and returns an array with an answer a key, or a pair of
     that and a summary of the bucket as bytes: a row of block -1 then carries the summary."""
@@ -216,7 +223,7 @@ def answer(asked: DataFrame, decide: Callable[..., np.ndarray], key_type: str, m
                                      pa.array(bucket, type=pa.int32()),
                                      pa.array(bits, type=pa.binary())], schema=_ANSWERS_ARROW)
 
-    return materialise(asked.groupBy("bucket").applyInArrow(run, ANSWERS), name)
+    return write(asked.groupBy("bucket").applyInArrow(run, ANSWERS), name)
 
 
 def said(known: dict, step: str, n: int, dtype: str = "u1") -> np.ndarray:

@@ -13,8 +13,9 @@ are joined, their edit distance is verified, and the earliest stays.
   halves no other line has emits no variants; this loses nothing.
 * Equal lines collapse before all that, and only the earliest occurrence emits.
 
-Keys and answers travel by the block exchange (``blocks.py``); only lines that share a variant are
-shuffled as text, for verification.
+Keys and answers travel by the block exchange (``blocks.py``).  Lines that share a variant meet by
+number, each key once a line however often the line repeats it; only the pairs that the stars have
+chosen are joined with their texts, for verification.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.blocks import Block, Blocks, answer, groups, said
-from tessera.llm.common import materialise
+from tessera.llm.common import Scratch
 from tessera.llm.hashing import mix, powers, span_hashes, word_spans
 
 BLOCK_BYTES = 2 << 20
@@ -210,13 +211,14 @@ def within_one_edit(a: list, b: list) -> bool:
 
 def _verify(batches):
     for batch in batches:
-        keep = [within_one_edit(x.split(), y.split()) for x, y in
+        keep = [within_one_edit(x.lower().split(), y.lower().split()) for x, y in
                 zip(batch.column("text").to_pylist(), batch.column("other").to_pylist(), strict=True)]
         yield batch.select(["block", "line"]).filter(pa.array(keep, type=pa.bool_()))
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, min_words: int = 5, near_words: int = 10,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(spark: SparkSession, docs: DataFrame, min_words: int = 1, near_words: int = 5,
+               id_col: str = "doc_id", text_col: str = "text",
+               scratch: Scratch | None = None) -> DataFrame:
     """The documents without the lines that an earlier line makes redundant.
 
     Lines are the parts of a text between line feeds; their words are ``[^\\x20\\x09-\\x0D]+`` after
@@ -231,18 +233,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, min_words: int = 5, near_wo
 
     Returns all columns of ``docs``, the text rewritten, and n_lines, n_copies (dropped as equal),
     n_near (dropped as near), kept_sha256 (hex digest of the text left; null text: of nothing) in a
-    struct column ``line_dedup`` (a column of that name is replaced).
+    struct column ``line_dedup`` (a column of that name is replaced).  ``scratch`` takes the
+    intermediate tables, for the caller to drop once the result is written.
     """
+    scratch = scratch or Scratch(spark, "lines")
     docs = docs.drop("line_dedup")
     blocks = Blocks(spark, docs.withColumn(id_col, F.col(id_col).cast("bigint")), BLOCK_BYTES,
-                    id_col, text_col, carry=True)
+                    id_col, text_col, carry=True, scratch=scratch)
     known: dict[str, DataFrame] = {}
 
     def first(block: Block, _: dict):
         return Lines(block, min_words, near_words).first_keys()[:3]
 
     known["first"] = answer(blocks.ask(first, blocks.buckets(0.012)), _decide_first, "u8", "u8",
-                            _MARK, name="lines")
+                            _MARK, name="lines", write=scratch.write)
 
     def second(block: Block, known: dict):
         lines = Lines(block, min_words, near_words)
@@ -250,43 +254,53 @@ def line_dedup(spark: SparkSession, docs: DataFrame, min_words: int = 5, near_wo
         return lines.second_keys()[:3]
 
     known["second"] = answer(blocks.ask(second, blocks.buckets(0.03), dict(known)),
-                             _decide_second, "u8", "u1", name="variants")
+                             _decide_second, "u8", "u1", name="variants", write=scratch.write)
     shared_schema = pa.schema([
         ("key", pa.int64()), ("role", pa.int32()), ("block", pa.int64()), ("line", pa.int32()),
         ("id", pa.int64()), ("place", pa.int64()), ("text", pa.binary())])
 
     def sharing(block: Block, known: dict) -> list[pa.RecordBatch]:
+        """A row a key and line, without text, and a row a line with its text, without key."""
         lines = Lines(block, min_words, near_words)
         lines.after_first(known)
         distinct, role, _, of, keys, line = lines.second_keys()
         hit = np.flatnonzero(said(known, "second", len(distinct))[of] > 0)
-        line = line[hit]
-        data = _LOWER[block.data]
+        hit = hit[np.unique(np.stack([of[hit], line[hit]]), axis=1, return_index=True)[1]]
+        line, shown = line[hit], np.unique(line[hit])
+        n, m = len(line), len(shown)
+        every = np.concatenate([line, shown])
+        texts = [block.data[s:e].tobytes() for s, e in zip(lines.start[shown], lines.end[shown], strict=True)]
         return [pa.RecordBatch.from_arrays([
-            pa.array(keys[hit].view(np.int64)), pa.array(role[of[hit]].astype(np.int32)),
-            pa.array(np.full(len(hit), block.block, dtype=np.int64)),
-            pa.array(line.astype(np.int32)), pa.array(lines.id[line]),
-            pa.array(lines.start[line] - block.starts[lines.doc[line]]),
-            pa.array([data[s:e].tobytes() for s, e in
-                      zip(lines.start[line], lines.end[line], strict=True)], type=pa.binary())],
+            pa.concat_arrays([pa.array(keys[hit].view(np.int64)), pa.nulls(m, pa.int64())]),
+            pa.concat_arrays([pa.array(role[of[hit]].astype(np.int32)), pa.nulls(m, pa.int32())]),
+            pa.array(np.full(n + m, block.block, dtype=np.int64)),
+            pa.array(every.astype(np.int32)), pa.array(lines.id[every]),
+            pa.array(lines.start[every] - block.starts[lines.doc[every]]),
+            pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(texts, type=pa.binary())])],
             schema=shared_schema)]
 
-    shared = materialise(blocks.visit(
+    found = scratch.write(blocks.visit(
         sharing, "key long, role int, block long, line int, id long, place long, text binary",
-        shared_schema, dict(known)), "shared-lines")
+        shared_schema, dict(known)), "shared_lines")
+    shared = found.filter("key IS NOT NULL").drop("text")
+    texts = found.filter("key IS NULL").select("block", "line", "text")
     first_of = shared.groupBy("key", "role").agg(
-        F.min(F.struct("id", "place", "block", "line", "text")).alias("first"))
+        F.min(F.struct("id", "place", "block", "line")).alias("first"))
     # a place meets a place, a whole line a deletion
     first_of = first_of.select(
         "key", F.when(F.col("role") == PLACE, PLACE).otherwise(1 - F.col("role")).alias("role"),
         F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"),
-        F.col("first.block").alias("first_block"), F.col("first.text").alias("other"))
+        F.col("first.block").alias("first_block"), F.col("first.line").alias("first_line"))
     pairs = (shared.join(first_of, ["key", "role"])
              .filter((F.col("first_id") < F.col("id"))
                      | ((F.col("first_id") == F.col("id")) & (F.col("first_block") == F.col("block"))
                         & (F.col("first_place") < F.col("place"))))
-             .select("block", "line", "text", "other"))
-    near = materialise(pairs.mapInArrow(_verify, "block long, line int").distinct(), "near-lines")
+             .select("block", "line", "first_block", "first_line").distinct())
+    others = texts.select(F.col("block").alias("first_block"), F.col("line").alias("first_line"),
+                          F.col("text").alias("other"))
+    pairs = pairs.join(texts, ["block", "line"]).join(others, ["first_block", "first_line"])
+    near = scratch.write(pairs.select("block", "line", "text", "other").mapInArrow(
+        _verify, "block long, line int").distinct(), "near_lines")
     known["near"] = near.select("block", F.col("line").alias("bucket"),
                                 F.lit(b"").alias("bits"))
     del known["second"]

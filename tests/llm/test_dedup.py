@@ -114,14 +114,13 @@ def test_line_dedup(spark, hard_rows, hard_docs, no_docs):
         kept, copies, near = [], 0, 0
         for line in (t or "").split("\n"):
             w = line.encode().lower().split()
-            if len(w) >= 5 and tuple(w) in exact:
+            if w and tuple(w) in exact:
                 copies += 1
                 continue
-            drop = len(w) >= 10 and any(abs(len(o) - len(w)) < 2 and within_one_edit(o, w)
-                                        for o in seen)
+            drop = len(w) >= 5 and any(abs(len(o) - len(w)) < 2 and within_one_edit(o, w)
+                                       for o in seen)
+            exact.add(tuple(w))
             if len(w) >= 5:
-                exact.add(tuple(w))
-            if len(w) >= 10:
                 seen.append(w)
             near += drop
             if not drop:
@@ -139,6 +138,16 @@ def test_line_dedup(spark, hard_rows, hard_docs, no_docs):
     assert line_dedup(spark, hard_docs).count() == len(hard_rows)
 
 
+def test_line_dedup_of_long_periodic_lines(spark):
+    unit = "ab " * 40_000
+    texts = [unit, unit[3:], unit[6:], "- " * 500_000, "- " * 499_998, "x" * 1_000_000, "x" * 1_000_000,
+             "a b c", "A  b\tc", "one two three four five six seven", "one two three 4 five six seven"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    found = {r.doc_id: (r.line_dedup.n_copies, r.line_dedup.n_near) for r in line_dedup(spark, docs).collect()}
+    assert [found[k] for k in range(len(texts))] == [
+        (0, 0), (0, 1), (0, 1), (0, 0), (0, 0), (0, 0), (1, 0), (0, 0), (1, 0), (0, 0), (0, 1)]
+
+
 def test_within_one_edit():
     assert within_one_edit(list("abc"), list("abc")) and within_one_edit(list("abc"), list("abd"))
     assert within_one_edit(list("abc"), list("ab")) and within_one_edit(list("bc"), list("abc"))

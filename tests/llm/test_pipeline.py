@@ -60,3 +60,32 @@ def test_rows_without_ids_of_their_own(spark):
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry())
     assert numbers == list(range(1, len(numbers) + 1)) and set(oracle_sql()) <= set(registry())
+
+
+def test_marked_rows_are_those_of_the_keys(spark):
+    docs = spark.range(100_000).selectExpr("id AS doc_id", "string(id) AS text", "1 AS row_key", "2 AS row_key__slice")
+    keyed, key, part = corpus_pipeline._keyed(spark, docs.repartition(3), "marked")
+    rows = keyed.select(key, "doc_id").collect()
+    assert len({r[0] for r in rows}) == 100_000
+    for chosen in ([], [r[0] for r in rows if r[1] % 7 == 0], [r[0] for r in rows]):
+        keys = spark.createDataFrame([(k,) for k in chosen], "k long")
+        among = set(chosen)
+        ids = {r[1] for r in rows if r[0] in among}
+        got = [r.doc_id for r in corpus_pipeline._marked(keyed, key, keys, "in").select("doc_id").collect()]
+        assert len(got) == len(ids) and set(got) == ids
+        rest = [r.doc_id for r in corpus_pipeline._marked(keyed, key, keys, "out").select("doc_id").collect()]
+        assert len(rest) == 100_000 - len(ids) and not set(rest) & ids
+
+
+def test_documents_are_not_shuffled(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.drop_contaminated):
+            p = stage(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+            scan = p.index(".documents[")
+            above = [x for x in p[:scan].split("\n") if "Exchange" in x or "Sort" in x]
+            assert "ShuffledHashJoin" in p and not above, p
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
