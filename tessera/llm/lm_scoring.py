@@ -11,9 +11,9 @@ each history a *state*: the model grows with the corpus.
 
 Automaton.  States are the empty history and the histories above.  A state has an arc for each kept
 n-gram, weighted by its log-probability, to the longest state that ends the text read; where a word
-has no arc the failure arc, weighted by the log of ``back``, leads to the state without its first
-word.  The empty history has an arc for each word.  A text's score is the sum of the weights on its
-way; the state before a token is the longest that ends there, so all tokens are run at once.
+has no arc the failure arc, weighted by the log of ``back``, leads to the longest shorter state that
+ends there too.  The empty history has an arc for each word.  A text is read once from left to right;
+it carries its state, and its score is the sum of the weights on its way.
 
 On Spark, no task holds the whole model, and none of it is collected or broadcast.  Counts are summed
 by key bucket over the block exchange (``blocks.py``), and each block gets the counts of its own
@@ -79,6 +79,7 @@ class _Grams:
 
     at: np.ndarray       # tokens that end one
     of: np.ndarray       # the number of each
+    where: np.ndarray    # of each distinct one, a token that ends it
     keys: np.ndarray     # distinct keys, ascending
     history: np.ndarray  # of each distinct one, the number of the n-gram without its last word
     seen: np.ndarray     # count in the block's training documents
@@ -108,15 +109,16 @@ class _Tokens:
         self.states: list[np.ndarray] = []
 
     def words(self):
-        """Distinct tokens, their training counts, and the number of each token's word."""
-        keys, of = np.unique(self.hash, return_inverse=True)
-        return keys, np.bincount(of[self.train], minlength=len(keys)).astype(np.uint64), of
+        """Distinct tokens, their training counts, the number of each token's word, and a token of
+        each word."""
+        keys, where, of = np.unique(self.hash, return_index=True, return_inverse=True)
+        return keys, np.bincount(of[self.train], minlength=len(keys)).astype(np.uint64), of, where
 
     def grams(self, order: int) -> _Grams:
         """n-grams of this order whose history is a state and whose last words are kept."""
         if order == 1:
-            keys, seen, of = self.words()
-            return _Grams(np.arange(len(self.hash)), of, keys, np.zeros(len(keys), np.int64), seen,
+            keys, seen, of, where = self.words()
+            return _Grams(np.arange(len(self.hash)), of, where, keys, np.zeros(len(keys), np.int64), seen,
                           seen, seen > 0)
         history = np.full(len(self.hash), -1, dtype=np.int64)
         history[1:] = self.states[order - 2][:-1]
@@ -129,7 +131,8 @@ class _Tokens:
         of = np.empty(len(grams), dtype=np.int64)
         of[order_] = np.repeat(np.arange(len(starts)), size)
         seen = np.bincount(of[self.train[at]], minlength=len(starts)).astype(np.uint64)
-        return _Grams(at, of, grams[order_][starts], history[order_][starts], seen, seen, seen > 0)
+        some = order_[starts]
+        return _Grams(at, of, at[some], grams[some], history[some], seen, seen, seen > 0)
 
     def learn(self, upto: int, known: dict) -> None:
         """Take the counts of the orders up to ``upto`` from the answers."""
@@ -223,27 +226,94 @@ def _totals(answers: DataFrame):
 
 
 class Automaton:
-    """A run of the automaton over a block's texts, all tokens at once: the state before a token is
-    the longest that ends there, so no token waits for the one before it."""
+    """The part of the automaton that a block's texts can reach.
+
+    State 0 is the empty history.  ``fail`` and ``fail_weight`` are the failure arcs.  An arc's key is
+    state x words + word, in ascending order; those of state 0 are by word."""
 
     def __init__(self, tokens: _Tokens, known: dict):
         model, words = tokens.model, tokens.orders[0]
-        count, word = words.count.astype(np.float64), words.of
-        base = model.base(count)
-        self.known, self.base = count[word] > 0, np.log10(base)[word]
-        # from the arcs of the empty history up: a longer state has an arc for the token, or its
-        # failure arc leads to what the shorter one gives
-        weight = base[word]
-        for order, back in enumerate(tokens.backs(known), 2):
-            g, shorter = tokens.orders[order - 1], tokens.orders[order - 2]
-            state = np.full(len(word), -1, dtype=np.int64)
-            state[1:] = tokens.states[order - 2][:-1]
-            state[tokens.first] = -1
-            some = np.flatnonzero(state >= 0)
-            weight[some] *= back[state[some]]
-            seen = np.maximum(g.count - model.discount, 0) / shorter.count[g.history]
-            weight[g.at] += seen[g.of]
-        self.score = np.log10(weight)
+        self.tokens, self.word, self.n_words = tokens, words.of, len(words.keys)
+        self.base = model.base(words.count.astype(np.float64))
+        # by order: the longest state of so many words that ends at each token
+        ends = [np.zeros(len(self.word), dtype=np.int64)]
+        number = []  # of each n-gram, its state
+        self.n_states = 1
+        fail, fail_weight = [np.zeros(1, dtype=np.int64)], [np.zeros(1)]
+        for k, back in enumerate(tokens.backs(known), 1):
+            g, at = tokens.orders[k - 1], tokens.states[k - 1]
+            is_state = at[g.where] >= 0
+            number.append(np.where(is_state, self.n_states - 1 + np.cumsum(is_state), -1))
+            self.n_states += np.count_nonzero(is_state)
+            fail.append(ends[-1][g.where[is_state]])
+            fail_weight.append(np.log10(back[is_state]))
+            ends.append(ends[-1].copy())
+            ends[-1][at >= 0] = number[-1][at[at >= 0]]
+        self.fail, self.fail_weight = np.concatenate(fail), np.concatenate(fail_weight)
+        top = len(ends) - 1
+        # from the arcs of the empty history up, each adds its share to that of the shorter history
+        self.first_weight, self.first_to = np.log10(self.base), ends[min(1, top)][words.where]
+        keys, weights, to = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
+        shorter = self.base
+        back = 10.0 ** self.fail_weight
+        for k in range(2, len(tokens.orders) + 1):
+            g, h = tokens.orders[k - 1], tokens.orders[k - 2]
+            state = number[k - 2][g.history]
+            share = np.maximum(g.count - model.discount, 0) / h.count[g.history]
+            lower = tokens.kept[k - 2][g.where]
+            chance = share + back[state] * shorter[lower]
+            kept = tokens.kept[k - 1][g.where] >= 0
+            keys.append(state[kept] * self.n_words + self.word[g.where[kept]])
+            weights.append(np.log10(chance[kept]))
+            to.append(ends[min(k, top)][g.where[kept]])
+            shorter = chance
+        by = np.argsort(np.concatenate(keys))
+        self.arc = np.append(np.concatenate(keys)[by], np.iinfo(np.int64).max)
+        self.arc_weight, self.arc_to = np.concatenate(weights)[by], np.concatenate(to)[by]
+
+    def _step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Read a word in each state: the states after it, and the weights of the arcs taken."""
+        to, weight = np.empty_like(state), np.zeros(len(state))
+        open_ = np.arange(len(state))
+        while True:
+            empty = state[open_] == 0
+            done = open_[empty]
+            to[done] = self.first_to[word[done]]
+            weight[done] += self.first_weight[word[done]]
+            open_ = open_[~empty]
+            if not len(open_):
+                return to, weight
+            key = state[open_] * self.n_words + word[open_]
+            arc = np.searchsorted(self.arc, key)
+            has = self.arc[arc] == key
+            done, arc = open_[has], arc[has]
+            to[done] = self.arc_to[arc]
+            weight[done] += self.arc_weight[arc]
+            open_ = open_[~has]
+            weight[open_] += self.fail_weight[state[open_]]
+            state[open_] = self.fail[state[open_]]
+
+    def run(self, stretch: int = 256) -> np.ndarray:
+        """Log-probability of each token.  All texts run from left to right side by side, each
+        carrying its state.  A long text runs in stretches; all but its first start in the empty
+        state as many words early as a state holds, after which the state is that of the whole text."""
+        tokens, early = self.tokens, len(self.tokens.orders) - 1
+        n = len(self.word)
+        at = np.arange(n) - tokens.first[tokens.doc]
+        begin = np.flatnonzero(at % stretch == 0)
+        size = np.diff(np.append(begin, n))
+        warm = np.minimum(at[begin], early)
+        begin, size = begin - warm, size + warm
+        by = np.argsort(-size, kind="stable")
+        begin, size, warm = begin[by], size[by], warm[by]
+        out, state = np.empty(n), np.zeros(len(begin), dtype=np.int64)
+        for step in range(size[0] if len(size) else 0):
+            live = np.searchsorted(-size, -step, side="left")
+            here = begin[:live] + step
+            state[:live], weight = self._step(state[:live], self.word[here])
+            read = warm[:live] <= step
+            out[here[read]] = weight[read]
+        return out
 
 
 def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int = 5,
@@ -301,16 +371,17 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
     def finish(block: Block, known: dict) -> list[pa.RecordBatch]:
         tokens = _Tokens(block, model)
         tokens.learn(order, known)
-        run = Automaton(tokens, known)
+        automaton = Automaton(tokens, known)
+        base, seen = np.log10(automaton.base)[automaton.word], tokens.orders[0].count > 0
         n = len(block.ids)
         cuts = np.append(tokens.first, len(tokens.doc))
         return [pa.RecordBatch.from_arrays([
             pa.array(block.ids, type=pa.int64()), pa.array(tokens.held),
             pa.array(np.diff(cuts)),
-            pa.array(np.add.reduceat(run.known.astype(np.int64), tokens.first)),
+            pa.array(np.add.reduceat(seen[automaton.word].astype(np.int64), tokens.first)),
             pa.array(np.full(n, model.tokens, dtype=np.int64)),
-            pa.array(np.add.reduceat(run.base, tokens.first)),
-            pa.array(np.add.reduceat(run.score, tokens.first), type=pa.float64())],
+            pa.array(np.add.reduceat(base, tokens.first)),
+            pa.array(np.add.reduceat(automaton.run(), tokens.first), type=pa.float64())],
             schema=_RESULT_ARROW)]
 
     return blocks.visit(finish, RESULT, _RESULT_ARROW, known)
