@@ -32,7 +32,7 @@ from tessera.llm.decontamination import contamination
 from tessera.llm.lang_id import language_id
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.mixing import mix_sources, text_form
-from tessera.llm.queries import MIX_POWERS
+from tessera.llm.queries import MIX_FRACTION, MIX_POWERS
 from tessera.llm.simhash import simhash_dedup
 
 
@@ -140,10 +140,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample documents so that expected tokens have the target shares.
 
-    Texts without a word, null ones too, are never drawn; rows of one id, and all rows without id,
-    share a draw; an empty table gives no rows; a text of any length counts with all its words."""
+    Texts without a word, null ones too, are never drawn; rows of one id and text share a draw; an empty table gives no rows; a text of any length counts with all its words."""
     _begin(spark, "mixing")
-    out = mix_sources(spark, docs, text_form(F.col("text")), MIX_POWERS)
+    out = mix_sources(spark, docs, text_form(F.col("text")), MIX_POWERS, fraction=MIX_FRACTION)
     docs = docs.drop("topic", "n_tokens", "probability")  # the results take these names
     return out.select(*_columns(docs), F.col("mixing.topic").alias("topic"),
                       F.col("mixing.n_tokens").alias("n_tokens"),

@@ -11,6 +11,7 @@ Everything is DataFrame work: one aggregation of the documents to cells, rounds
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,8 +41,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     dimension is that value's target share.
 
     Values without a target get weight zero.  Stops when no marginal is off by more than
-    ``tolerance`` (relative), or after ``max_rounds`` if targets contradict the empty cells.  A round
-    is one written table; sums are grouped with partial aggregation, so a value with many cells
+    ``tolerance`` (relative); where targets contradict the empty cells no weights meet them, and after
+    ``max_rounds`` a warning names what is still off.  A round is one written table; sums are grouped with partial aggregation, so a value with many cells
     meets in no single task.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
@@ -51,6 +52,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
     for dim, target in targets.items():
         now = _join(now, target.withColumnRenamed("share", f"share_{dim}"), dim, "left")
     now = materialise(now.fillna(0.0, [f"share_{d}" for d in targets]), "cell-targets")
+    left = 0.0
     for _ in range(max_rounds):
         for dim in targets:
             sums = now.groupBy(dim).agg(F.sum("weight").alias("sum"))
@@ -60,17 +62,21 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = 1e-
         off = [now.groupBy(dim).agg(F.sum("weight").alias("sum"), F.max(f"share_{dim}").alias("share"))
                .filter("share > 0").select(F.abs(F.col("sum") / F.col("share") - 1).alias("off"))
                for dim in targets]
-        if (reduce(DataFrame.unionAll, off).agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        left = reduce(DataFrame.unionAll, off).agg(F.max("off")).first()[0] or 0.0
+        if left <= tolerance:
             break
+    if left > tolerance:
+        warnings.warn(f"raking left a share off by {left:.2e} of its target", stacklevel=2)
     return now.select(*cells.columns, "weight")
 
 
 def probabilities(raked: DataFrame, fraction: float | None) -> DataFrame:
     """``raked`` with the documents' probability in each cell.
 
-    Without ``fraction`` the sample is the largest that meets every target: the cell that is raised
-    most is taken whole.  With it, probabilities grow until the expected tokens are that fraction of
-    all; cells that reach one stay there, and the rest make up for them.
+    Probabilities grow until the expected tokens are ``fraction`` of all; cells that reach one stay
+    there, and the rest make up for them in proportion.  A cell that cannot give its target thus costs
+    no other cell a document.  Without ``fraction`` the sample is the largest that meets every target:
+    the cell that is raised most is taken whole and sets the rate of all.
     """
     ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
     cells = materialise(raked.withColumn("ratio", ratio), "cell-ratios")
@@ -92,7 +98,7 @@ def probabilities(raked: DataFrame, fraction: float | None) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, topic: Column,
                 powers: dict[str, float] | None = None,
-                targets: dict[str, DataFrame] | None = None, fraction: float | None = None,
+                targets: dict[str, DataFrame] | None = None, fraction: float | None = 0.5,
                 seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """The sampled documents: all columns of ``docs`` and a struct column ``mixing`` (source, lang,
@@ -100,13 +106,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, topic: Column,
 
     Tokens are the words ``[^\\x20\\x09-\\x0D]+``.  ``targets`` may give a (value, share) table for
     any of source, lang and topic, its value column of that name; the other dimensions aim at their
-    token shares raised to ``powers`` (0.5 by default).  A document is taken if a number in [0, 1)
-    made of the MD5 of seed and id is below its probability, so the same documents come back from
-    every run.
+    token shares raised to ``powers`` (0.5 by default).  ``fraction``: expected tokens of the sample,
+    of all (see ``probabilities``).  A document is taken if a number in [0, 1) made of the MD5 of
+    seed, id and text is below its probability, so the same documents come back from every run.
 
     A null source, language or topic is a value of its own.  Documents without words (null and
-    empty texts too) are never taken.  Rows with equal ids in one cell are taken or left together;
-    null ids count as equal.  An empty table gives no rows.
+    empty texts too) are never taken.  Rows of one id and text (no id is an id too) in one cell are
+    taken or left together.  An empty table gives no rows.
     """
     docs = docs.drop("mixing")
     part = F.struct(F.col(f"`{source_col}`").alias("source"), F.col(f"`{lang_col}`").alias("lang"),
@@ -134,7 +140,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, topic: Column,
     same = reduce(Column.__and__, [F.col(f"mixing.{d}").eqNullSafe(F.col(f"cell_{d}"))
                                    for d in dims])
     key = F.concat(F.lit(f"{seed}:"),
-                   F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit("")))
+                   F.coalesce(F.col(f"row.`{id_col}`").cast("string"), F.lit("")), F.lit(":"),
+                   F.md5(F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))))
     draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     return (marked.join(chance, same)
             .filter((F.col("mixing.n_tokens") > 0) & (draw < F.col("probability")))

@@ -6,8 +6,10 @@ from __future__ import annotations
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
-def mixing_sql(powers: dict[str, float], rounds: int = 60) -> str:
-    """Raking unrolled: a step a dimension and round, each scaling by target over sum."""
+def mixing_sql(powers: dict[str, float], fraction: float, rounds: int = 60) -> str:
+    """Raking unrolled: a step a dimension and round, each scaling by target over sum.  Cells in
+    falling order of weight over tokens: with the first k whole, the rest share what is missing; the
+    first k that leaves no later cell above one is the right one."""
     steps = []
     previous = "start"
     for k in range(rounds):
@@ -23,17 +25,22 @@ def mixing_sql(powers: dict[str, float], rounds: int = 60) -> str:
     return f"""WITH marked AS MATERIALIZED (SELECT doc_id, source, lang,
   CASE WHEN contains(text, ' | ') THEN 'table' WHEN length(text) < 500 THEN 'short'
        WHEN length(text) < 5000 THEN 'medium' ELSE 'long' END AS topic,
-  coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS n_tokens FROM documents),
+  coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS n_tokens,
+  '0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) AS draw FROM documents),
 cells AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM marked GROUP BY ALL),
 {targets},
 start AS (SELECT *, tokens / (SELECT sum(tokens) FROM cells) AS weight FROM cells),
 {", ".join(steps)},
-chance AS (SELECT source, lang, topic, weight / tokens / max(weight / tokens) OVER () AS p
-  FROM {previous} WHERE tokens > 0)
+ratios AS MATERIALIZED (SELECT *, weight / tokens AS ratio FROM {previous} WHERE tokens > 0),
+filled AS (SELECT ratio, ({fraction} * (SELECT sum(tokens) FROM ratios)
+  - coalesce(sum(tokens) OVER (ORDER BY ratio DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY ratio DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS factor FROM ratios),
+chance AS (SELECT source, lang, topic, ratio * (SELECT arg_max(factor, ratio) FROM filled WHERE factor * ratio <= 1) AS p
+  FROM ratios)
 SELECT m.doc_id, m.source, m.lang, m.topic, m.n_tokens::BIGINT AS n_tokens, round(least(1.0, p), 6) AS probability
 FROM marked m JOIN chance c ON m.source IS NOT DISTINCT FROM c.source
   AND m.lang IS NOT DISTINCT FROM c.lang AND m.topic IS NOT DISTINCT FROM c.topic
-WHERE m.n_tokens > 0 AND ('0x' || substr(md5('0:' || coalesce(m.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0 < p"""
+WHERE m.n_tokens > 0 AND ('0x' || substr(md5(m.draw), 1, 13))::BIGINT / 4503599627370496.0 < p"""
 
 
 CHAT_SQL = r"""WITH last AS (SELECT conv_id, max(turn) AS turn FROM conversations

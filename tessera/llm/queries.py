@@ -34,11 +34,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Token shares are flattened by these powers (1 keeps them).
 MIX_POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
+#: Expected tokens of the sample, of all.
+MIX_FRACTION = 0.5
 
 
 def op2_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sampled documents: doc_id, cell, tokens and probability (six digits)."""
-    out = mix_sources(spark, _documents(spark, sf_dir), text_form(F.col("text")), MIX_POWERS)
+    out = mix_sources(spark, _documents(spark, sf_dir), text_form(F.col("text")), MIX_POWERS,
+                      fraction=MIX_FRACTION)
     return out.select("doc_id", "mixing.source", "mixing.lang", "mixing.topic", "mixing.n_tokens",
                       F.round("mixing.probability", 6).alias("probability"))
 
@@ -115,6 +118,6 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing_sources": mixing_sql(MIX_POWERS), "op6_chat_formatting": CHAT_SQL,
+    return {"op2_mixing_sources": mixing_sql(MIX_POWERS, MIX_FRACTION), "op6_chat_formatting": CHAT_SQL,
             "op8_quality_rules": QUALITY_SQL, "op11_conversation_prefix_trie": TRIE_SQL,
             "op13_warc": WARC_SQL}
