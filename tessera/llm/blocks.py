@@ -137,12 +137,13 @@ class Blocks:
         return max(2 * self.parts, int(self.bytes * keys_per_byte / per_bucket) + 1)
 
     def ask(self, emit: Callable[[Block, dict], Iterator[tuple]], buckets: int,
-            answers: dict[str, DataFrame] | None = None) -> DataFrame:
+            answers: dict[str, DataFrame] | None = None, packed: bool = False) -> DataFrame:
         """Rows of ASKED.  ``emit(block, answers of the block)`` returns (keys, more, marks):
-        ascending distinct uint64 keys, a further array of as many items (or None), a byte a key."""
+        ascending distinct uint64 keys, a further array of as many items (or None), a byte a key.
+        ``packed``: the arrays go through ``pack``; ``answer`` and ``said`` have to be told."""
 
         def rows(block: Block, known: dict) -> list[pa.RecordBatch]:
-            return [split_by_bucket(block.block, *emit(block, known), buckets)]
+            return [split_by_bucket(block.block, *emit(block, known), buckets, packed)]
 
         return self.visit(rows, ASKED, _ASKED_ARROW, answers)
 
@@ -175,47 +176,72 @@ class Blocks:
                 .applyInArrow(both, schema))
 
 
+def pack(items: np.ndarray, ascending: bool = False) -> bytes:
+    """The items' first bytes, then their second bytes and so on, compressed; of ascending integers
+    the differences.  Counts are mostly small and differences have zero bytes in front, so that most
+    of these planes shrink to nothing."""
+    if ascending:
+        items = np.diff(items, prepend=items.dtype.type(0))
+    planes = np.ascontiguousarray(items).view(np.uint8).reshape(len(items), items.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(raw: bytes, dtype, ascending: bool = False) -> np.ndarray:
+    dtype = np.dtype(dtype)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8)
+    items = np.ascontiguousarray(planes.reshape(dtype.itemsize, -1).T).view(dtype).reshape(-1)
+    return np.cumsum(items, dtype=dtype) if ascending else items
+
+
+def key_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key: the integer part of key x buckets / 2^64.  Buckets are fewer than 2^31."""
+    n, half, low = np.uint64(buckets), np.uint64(32), np.uint64(0xFFFFFFFF)
+    return (((keys >> half) * n + (((keys & low) * n) >> half)) >> half).astype(np.int32)
+
+
 def split_by_bucket(block: int, keys: np.ndarray, more: np.ndarray | None, marks: np.ndarray,
-                    buckets: int) -> pa.RecordBatch:
-    """One row a bucket that has keys.  Buckets are ranges of the hash space, so ascending keys
-    stay ascending over the buckets."""
-    cuts = np.searchsorted(keys, _bounds(buckets))
-    rows = []
-    for b in range(buckets):
-        lo, hi = cuts[b], cuts[b + 1] if b + 1 < buckets else len(keys)
-        if hi > lo:
-            rows.append((b, block, keys[lo:hi].tobytes(),
-                         None if more is None else more[lo:hi].tobytes(), marks[lo:hi].tobytes()))
+                    buckets: int, packed: bool = False) -> pa.RecordBatch:
+    """One row a bucket that has keys; the others cost nothing, however many there are.  Buckets are
+    ranges of the hash space, so ascending keys stay ascending over the buckets."""
+    of = key_buckets(keys, buckets)
+    cuts = np.append(np.flatnonzero(np.diff(of, prepend=np.int32(-1))), len(keys))
+
+    def put(items: np.ndarray, ascending: bool = False) -> bytes:
+        return pack(items, ascending) if packed else items.tobytes()
+
+    rows = [(int(of[lo]), block, put(keys[lo:hi], True), None if more is None else put(more[lo:hi]),
+             put(marks[lo:hi])) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
     cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in
                                        zip(cols, _ASKED_ARROW, strict=True)], schema=_ASKED_ARROW)
 
 
-def _bounds(buckets: int) -> np.ndarray:
-    return np.array([(b << 64) // buckets for b in range(buckets)], dtype=np.uint64)
-
-
 def answer(asked: DataFrame, decide: Callable[..., np.ndarray], key_type: str, more_type: str | None,
            mark_type: str = "u1", name: str = "answers",
-           write: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
+           write: Callable[[DataFrame, str], DataFrame] = materialise,
+           packed: bool = False) -> DataFrame:
     """Answer every asked row.  ``decide(keys, more, marks, row)`` gets the keys of a bucket (with
     their row numbers, ascending by block) and returns an array with an answer a key, or a pair of
-    that and a summary of the bucket as bytes: a row of block -1 then carries the summary."""
+    that and a summary of the bucket as bytes: a row of block -1 then carries the summary.
+    ``packed``: the asked rows are packed, and the answers will be."""
+
+    def get(column: pa.ChunkedArray, dtype, ascending: bool = False) -> list[np.ndarray]:
+        return [unpack(k, dtype, ascending) if packed else np.frombuffer(k, dtype=dtype)
+                for k in column.to_pylist()]
 
     def run(group: pa.Table) -> pa.Table:
         order = np.argsort(group.column("block").to_numpy(), kind="stable")
         group = group.take(pa.array(order))
-        parts = [np.frombuffer(k, dtype=key_type) for k in group.column("keys").to_pylist()]
+        parts = get(group.column("keys"), key_type, True)
         sizes = np.array([len(p) for p in parts])
         keys = np.concatenate(parts)
-        more = None if more_type is None else np.concatenate(
-            [np.frombuffer(k, dtype=more_type) for k in group.column("more").to_pylist()])
-        marks = np.concatenate(
-            [np.frombuffer(k, dtype=mark_type) for k in group.column("marks").to_pylist()])
+        more = None if more_type is None else np.concatenate(get(group.column("more"), more_type))
+        marks = np.concatenate(get(group.column("marks"), mark_type))
         said = decide(keys, more, marks, np.repeat(np.arange(len(parts)), sizes))
         said, summary = said if isinstance(said, tuple) else (said, None)
         cuts = np.concatenate([[0], np.cumsum(sizes)])
-        bits = [said[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        bits = [pack(said[a:b]) if packed else said[a:b].tobytes()
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         to, bucket = group.column("block").to_pylist(), group.column("bucket").to_pylist()
         if summary is not None:
             bits, to, bucket = [*bits, summary], [*to, -1], [*bucket, bucket[0]]
@@ -226,10 +252,13 @@ def answer(asked: DataFrame, decide: Callable[..., np.ndarray], key_type: str, m
     return write(asked.groupBy("bucket").applyInArrow(run, ANSWERS), name)
 
 
-def said(known: dict, step: str, n: int, dtype: str = "u1") -> np.ndarray:
+def said(known: dict, step: str, n: int, dtype: str = "u1", packed: bool = False) -> np.ndarray:
     """The answers of a step in the order of the block's ascending keys."""
     got = known.get(step, {})
-    out = np.frombuffer(b"".join(got[b] for b in sorted(got)), dtype=dtype)
+    if packed:
+        out = np.concatenate([np.empty(0, dtype), *[unpack(got[b], dtype) for b in sorted(got)]])
+    else:
+        out = np.frombuffer(b"".join(got[b] for b in sorted(got)), dtype=dtype)
     if len(out) != n:
         raise RuntimeError(f"{step}: {len(out)} answers to {n} keys")
     return out

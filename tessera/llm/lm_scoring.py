@@ -138,7 +138,7 @@ class _Tokens:
         """Take the counts of the orders up to ``upto`` from the answers."""
         for order in range(len(self.orders) + 1, upto + 1):
             g = self.grams(order)
-            got = said(known, f"order{order}", len(g.keys), "u8")
+            got = said(known, f"order{order}", len(g.keys), "u8", packed=True)
             g.count, g.owned = (got & ~OWNED).astype(np.int64), got >= OWNED
             self.orders.append(g)
             for out, ok in ((self.kept, g.count >= max(1, self.model.min_count)),
@@ -165,7 +165,7 @@ class _Tokens:
         """Per order, the backoff of each n-gram as a history; 1 where nothing of it is kept."""
         keys, by = self.left_keys()
         left = np.empty(len(keys))
-        left[by] = said(known, "left", len(keys), "f8")
+        left[by] = said(known, "left", len(keys), "f8", packed=True)
         out, a = [], 0
         for k in range(1, len(self.orders)):
             some = self.histories(k)
@@ -344,9 +344,9 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
             g = tokens.grams(n)
             return g.keys, None, g.seen.astype(np.uint32)
 
-        asked = blocks.ask(grams, blocks.buckets(0.03 if n == 1 else 0.08), dict(known))
+        asked = blocks.ask(grams, blocks.buckets(0.03 if n == 1 else 0.08), dict(known), packed=True)
         known[f"order{n}"] = answer(asked, _decide_grams(min_count) if n > 1 else _decide_words,
-                                    "u8", None, "u4", name=f"order{n}")
+                                    "u8", None, "u4", name=f"order{n}", packed=True)
         if n == 1:
             totals = _totals(known["order1"])
             model.types, model.tokens = (int(x or 0) for x in totals)
@@ -365,8 +365,8 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
         keys, by = tokens.left_keys()
         return keys, None, np.concatenate(marks)[by]
 
-    known["left"] = answer(blocks.ask(left, blocks.buckets(0.08), dict(known)),
-                           _decide_left(discount), "u8", None, _KEPT, name="left")
+    known["left"] = answer(blocks.ask(left, blocks.buckets(0.08), dict(known), packed=True),
+                           _decide_left(discount), "u8", None, _KEPT, name="left", packed=True)
 
     def finish(block: Block, known: dict) -> list[pa.RecordBatch]:
         tokens = _Tokens(block, model)

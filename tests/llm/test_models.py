@@ -7,13 +7,15 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import make
+from tessera.llm.blocks import key_buckets, pack, split_by_bucket, unpack
 from tessera.llm.chat_formatting import preference_pairs, swapped_replies
 from tessera.llm.decontamination import Index, Words, bound, contamination, nearest
-from tessera.llm.lang_id import counts, language_id
+from tessera.llm.lang_id import counts, language_id, spherical_kmeans
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.mixing import mix_sources, rake
 from tessera.llm.quality import RULES, ordered, quality_cascade
@@ -31,6 +33,29 @@ def test_language_id_held_out(spark):
     assert got.score.between(0, 1).all() and got.rejected.mean() < 0.01
 
 
+def test_language_id_rejects_by_distance(spark):
+    rng = random.Random(2)
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+                      for _ in range(500)) for _ in range(100)]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    odd = spark.createDataFrame([(10**6 + k, t, None, "noise") for k, t in enumerate(noise)], docs.schema)
+    got = language_id(spark, docs.unionAll(odd)).toPandas()
+    far = got.doc_id >= 10**6
+    assert got[far].rejected.mean() > 0.95
+    assert got[~far & got.held_out].rejected.mean() <= 0.01
+
+
+def test_small_clusters_are_merged():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(at, 0.1, (60, 8)) for at in np.eye(8)[:2]] + [np.eye(8)[7:]])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    for seed in range(10):
+        centroids = spherical_kmeans(x, 3, seed=seed)
+        size = np.bincount((x @ centroids.T).argmax(axis=1))
+        assert size.min() >= 12 and np.linalg.norm(centroids, axis=1) == pytest.approx(1)
+    assert len(spherical_kmeans(x[:1], 3)) == 1 and len(spherical_kmeans(x[[0, 0, 0]], 3)) == 1
+
+
 def test_language_id_odd_texts(spark, hard_rows, hard_docs, no_docs):
     rows = language_id(spark, hard_docs).collect()
     assert len(rows) == len(hard_rows)
@@ -144,6 +169,22 @@ def test_lm_scores_use_every_kept_history(spark, hard_rows, hard_docs):
         assert r.score == pytest.approx(want[r.doc_id, r.n_tokens])
 
 
+def test_packed_arrays():
+    rng = np.random.default_rng(1)
+    keys = np.sort(rng.integers(0, 1 << 64, 1000, dtype=np.uint64))
+    keys[-1] = np.uint64((1 << 64) - 1)
+    assert (unpack(pack(keys, True), "u8", True) == keys).all()
+    counts_ = rng.geometric(0.5, 1000).astype(np.uint32)
+    assert (unpack(pack(counts_), "u4") == counts_).all() and len(pack(counts_)) < 600
+    assert len(unpack(pack(keys[:0], True), "u8", True)) == 0
+    for n in (1, 3, 240_000, 2**31 - 1):
+        assert key_buckets(keys, n).tolist() == [int(k) * n >> 64 for k in keys.tolist()]
+        rows = split_by_bucket(7, keys, None, counts_, n, packed=True)
+        assert rows.num_rows == len(set(key_buckets(keys, n)))
+        back = [unpack(k, "u8", True) for k in rows.column("keys").to_pylist()]
+        assert (np.concatenate(back) == keys).all()
+
+
 def test_contamination_recall_with_edits(spark, no_docs):
     rng = random.Random(1)
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
@@ -218,6 +259,27 @@ def test_rake_meets_every_marginal(spark):
             assert hit.iloc[0] == pytest.approx(share, abs=1e-7)
 
 
+def test_a_tiny_source_costs_no_other_document(spark):
+    rows = [(k, f"w{k} " * 40, "en", "ab"[k % 2]) for k in range(2000)]
+    tokens = lambda docs: (mix_sources(spark, make(spark, docs), F.lit("t"))
+                           .agg(F.sum("mixing.n_tokens")).first()[0])
+    before, after = tokens(rows), tokens([*rows, (2000, "just six words of a source", "en", "c")])
+    assert before / 80_000 == pytest.approx(0.5, abs=0.05) and abs(after - before) <= 200
+
+
+def test_rows_without_ids_are_drawn_one_by_one(spark):
+    rows = [(None, f"w{k} x y", "en", "a") for k in range(400)]
+    assert 150 < mix_sources(spark, make(spark, rows), F.lit("t")).count() < 250
+
+
+def test_targets_that_cannot_be_met_are_named(spark):
+    cells = spark.createDataFrame([("a", "x", 5), ("b", "y", 5)], "source string, lang string, tokens long")
+    goal = {"source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double"),
+            "lang": spark.createDataFrame([("x", 0.1), ("y", 0.9)], "lang string, share double")}
+    with pytest.warns(UserWarning, match="off by"):
+        rake(cells, goal, max_rounds=3)
+
+
 def test_mix_sources_odd_tables(spark, hard_rows, hard_docs, no_docs):
     topic = F.lit("t")
     clash = {c: F.lit("clash") for c in ("cell_source", "topic", "probability", "n_tokens", "row",
