@@ -111,7 +111,9 @@ class _Tokens:
     def words(self):
         """Distinct tokens, their training counts, the number of each token's word, and a token of
         each word."""
-        keys, where, of = np.unique(self.hash, return_index=True, return_inverse=True)
+        keys, of = np.unique(self.hash, return_inverse=True)
+        where = np.empty(len(keys), dtype=np.int64)
+        where[of] = np.arange(len(of))
         return keys, np.bincount(of[self.train], minlength=len(keys)).astype(np.uint64), of, where
 
     def grams(self, order: int) -> _Grams:
@@ -126,7 +128,8 @@ class _Tokens:
         at = np.flatnonzero((history >= 0) & (self.kept[order - 2] >= 0))
         history = history[at]
         grams = join_hashes(mix(self.orders[order - 2].keys[history]), self.hash[at])
-        order_, starts = groups(grams)
+        order_ = np.argsort(grams)  # any order among equal ones
+        starts = np.flatnonzero(np.diff(grams[order_], prepend=grams[order_][:1] + np.uint64(1)))
         size = np.diff(np.append(starts, len(grams)))
         of = np.empty(len(grams), dtype=np.int64)
         of[order_] = np.repeat(np.arange(len(starts)), size)
@@ -293,8 +296,8 @@ class Automaton:
             weight[open_] += self.fail_weight[state[open_]]
             state[open_] = self.fail[state[open_]]
 
-    def run(self, stretch: int = 256) -> np.ndarray:
-        """Log-probability of each token.  All texts run from left to right side by side, each
+    def run(self, stretch: int = 64) -> np.ndarray:
+        """Log-probability of each token (``stretch`` does not change it).  All texts run from left to right side by side, each
         carrying its state.  A long text runs in stretches; all but its first start in the empty
         state as many words early as a state holds, after which the state is that of the whole text."""
         tokens, early = self.tokens, len(self.tokens.orders) - 1
