@@ -68,6 +68,8 @@ def main() -> None:
             g["fact_transactions"], g["dim_customer"]),
         "join_point_in_time_bucketed": lambda: star.transactions_point_in_time(
             g["fact_transactions"], g["dim_customer"], bucket="year"),
+        "join_point_in_time_merged": lambda: star.transactions_point_in_time(
+            g["fact_transactions"], g["dim_customer"], bucket="year", merge=True),
         "join_current": lambda: star.transactions_current(
             g["fact_transactions"], g["dim_customer"]),
         "transactions_star": lambda: star.transactions_star(

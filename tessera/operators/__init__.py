@@ -22,6 +22,7 @@ from tessera.operators.star import (
     join_calendar,
     join_current,
     loans_star,
+    merge_as_of,
     spend_by_city_quarter,
     transactions_current,
     transactions_point_in_time,

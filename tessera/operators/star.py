@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.scd2 import current_only
@@ -76,6 +76,60 @@ def join_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
             .drop("_pit_key", "_pit_start", "_pit_end", "_pit_b", "_pit_fb"))
 
 
+def merge_as_of(fact: DataFrame, dim: DataFrame, key: str, event_col: str,
+                dim_cols: Sequence[str], how: str = "inner", prefix: str = "",
+                bucket: str = "month",
+                bounds: tuple[str, str] = (CALENDAR_START, CALENDAR_END)) -> DataFrame:
+    """``join_as_of`` as a merge: events and versions in one order of time, each event taking the last
+    version before it, so that no event is compared with a version.
+
+    Both sides are dealt by (key, time slice), so that a key with a third of the events spreads over
+    its slices.  A slice that has events starts with the version carried into it, found among the
+    versions of the key and a row for each such slice; slices are clipped to ``bounds``, which limits
+    their number a key.
+
+    The versions of a key must not overlap (``scd2_intervals`` makes such; gaps and zero-length
+    intervals may occur).  Null keys and null times match nothing: ``inner`` drops these events, as
+    it does those before the first version or in a gap, ``left`` keeps them with nulls."""
+    if how not in ("inner", "left"):
+        raise ValueError(f"unknown join {how!r}")
+    moment = dim.schema["effective_start_date"].dataType
+    versions = dim.filter(F.col(key).isNotNull() & (F.col("effective_start_date") < F.col("effective_end_date"))).select(
+        F.col(key).alias("_key"), _bucket(F.col("effective_start_date"), bucket, bounds).alias("_slice"),
+        F.col("effective_start_date").alias("_at"),
+        F.struct(F.col("effective_start_date").alias("_start"), F.col("effective_end_date").alias("_end"),
+                 *[F.col(c).alias(prefix + c) for c in dim_cols]).alias("_version"))
+    dated = F.col(key).isNotNull() & F.col(event_col).isNotNull()
+    events = fact.filter(dated).select(
+        F.col(key).alias("_key"), _bucket(F.col(event_col), bucket, bounds).alias("_slice"),
+        F.col(event_col).cast(moment).alias("_at"),
+        F.struct(*[F.col(f"`{c}`") for c in fact.columns]).alias("_event"))
+
+    # a slice's own row has no time, so that it comes before the versions that start in the slice
+    up_to = (Window.partitionBy("_key").orderBy("_slice", F.col("_at").asc_nulls_first())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = (events.select("_key", "_slice").distinct()
+               .unionByName(versions, allowMissingColumns=True)
+               .withColumn("_version", F.last("_version", ignorenulls=True).over(up_to))
+               .filter(F.col("_at").isNull() & F.col("_version").isNotNull())
+               .withColumn("_at", F.col("_version._start")))
+
+    # of equal times the version comes first: its interval holds its start
+    so_far = (Window.partitionBy("_key", "_slice").orderBy("_at", F.col("_event").isNotNull())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = (events.unionByName(versions.unionByName(carried), allowMissingColumns=True)
+              .withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+              .filter(F.col("_event").isNotNull()))
+    holds = F.coalesce(F.col("_at") < F.col("_version._end"), F.lit(False))
+    names = [prefix + c for c in dim_cols]
+    if how == "inner":
+        return merged.filter(holds).select("_event.*", *[F.col("_version")[c].alias(c) for c in names])
+    found = merged.select("_event.*", *[F.when(holds, F.col("_version")[c]).alias(c) for c in names])
+    rest = fact.filter(~dated).select(
+        "*", *[F.lit(None).cast(dim.schema[c].dataType).alias(prefix + c) for c in dim_cols])
+    return found.union(rest)
+
+
 def join_calendar(fact: DataFrame, dim_date: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Join on the integer ``date_key``.  Spark's own size threshold decides
     whether the calendar is broadcast."""
@@ -111,13 +165,16 @@ def transactions_current(fact_transactions: DataFrame, dim_customer: DataFrame)
 
 
 def transactions_point_in_time(fact_transactions: DataFrame, dim_customer: DataFrame,
-                               bucket: str | None = None) -> DataFrame:
-    """Each transaction with the customer version valid at transaction time."""
+                               bucket: str | None = None, merge: bool = False) -> DataFrame:
+    """Each transaction with the customer version valid at transaction time; ``merge``: by
+    ``merge_as_of``."""
     f = fact_transactions.select("transaction_hub_key", "customer_hub_key",
                                  "transaction_date", "amount_usd")
-    return join_as_of(f, dim_customer, "customer_hub_key", "transaction_date",
-                      ["customer_key", "city", "credit_tier", "effective_start_date"],
-                      bucket=bucket)
+    cols = ["customer_key", "city", "credit_tier", "effective_start_date"]
+    if merge:
+        return merge_as_of(f, dim_customer, "customer_hub_key", "transaction_date", cols,
+                           bucket=bucket or "month")
+    return join_as_of(f, dim_customer, "customer_hub_key", "transaction_date", cols, bucket=bucket)
 
 
 def activity_by_day(fact_transactions: DataFrame, dim_date: DataFrame) -> DataFrame:

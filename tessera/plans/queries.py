@@ -260,6 +260,11 @@ def join_point_in_time_bucketed(spark: SparkSession, sf: str) -> DataFrame:
                                            bucket="month")
 
 
+def join_point_in_time_merged(spark: SparkSession, sf: str) -> DataFrame:
+    return star.transactions_point_in_time(*_g(spark, sf, "fact_transactions", "dim_customer"),
+                                           merge=True)
+
+
 def activity_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return star.activity_by_day(*_g(spark, sf, "fact_transactions", "dim_date"))
 
@@ -413,6 +418,7 @@ def registry() -> dict[str, Query]:
         "text_ids": text_ids,
         "fractional_score": fractional_score,
         "join_point_in_time_bucketed": join_point_in_time_bucketed,
+        "join_point_in_time_merged": join_point_in_time_merged,
         "activity_by_day": activity_by_day,
         "transactions_star": transactions_star,
         "loans_star": loans_star,

@@ -176,3 +176,9 @@ def test_loads_of_part_of_the_stored_keys(spark, warehouse_sf0001):
         got = load(bronze, spec, vault.stored_of_extract(some, bronze, key, ids))
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
         assert 0 < want.count() < 50
+
+
+def test_merged_point_in_time_compares_no_event_with_a_version(spark, warehouse_sf0001):
+    g = [warehouse_sf0001.read("gold", n) for n in ["fact_transactions", "dim_customer"]]
+    p = plan(star.transactions_point_in_time(*g, merge=True))
+    assert "Join" not in p and "Window" in p, p

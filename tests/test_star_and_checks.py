@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tessera.operators.checks import (
     run_checks,
 )
 from tessera.operators.scd2 import build_scd2_dim, scd2_intervals
-from tessera.operators.star import join_as_of, join_current
+from tessera.operators.star import join_as_of, join_current, merge_as_of
 from tessera.plans import gold
 
 TS = "timestamp_ntz"
@@ -201,3 +202,45 @@ def test_bucketed_point_in_time_null_events_and_left_mode(spark):
     left = {r.id: r.attr for r in join_as_of(fact, dim, "k", "t", ["attr"], how="left",
                                              bucket="year").collect()}
     assert left == {1: "v1", 2: None, 3: "v2", 4: None}
+
+
+def test_merged_point_in_time_equals_plain(spark, warehouse_sf0001):
+    f = warehouse_sf0001.read("gold", "fact_transactions").select(
+        "transaction_hub_key", "customer_hub_key", "transaction_date", "amount_usd")
+    d = warehouse_sf0001.read("gold", "dim_customer")
+    for how in ["inner", "left"]:
+        plain = join_as_of(f, d, "customer_hub_key", "transaction_date", ["customer_key", "city"], how=how)
+        merged = merge_as_of(f, d, "customer_hub_key", "transaction_date", ["customer_key", "city"], how=how)
+        assert merged.columns == plain.columns
+        assert merged.exceptAll(plain).count() == 0 and plain.exceptAll(merged).count() == 0
+
+
+def test_merged_point_in_time_on_random_histories(spark):
+    """Gaps, zero-length copies, repeated events, null keys, times and attributes, times outside the
+    bounds, versions that start in the slice, before it and many slices before."""
+    rng = random.Random(7)
+    def day():
+        return dt.datetime(rng.choice([2009, 2014, 2016, 2017, 2018, 2031]), rng.randint(1, 12), rng.randint(1, 9))
+    versions = []
+    for k in "abcdef":
+        days = sorted({day() for _ in range(rng.randint(0, 9))})
+        for i, (start, end) in enumerate(zip(days, days[1:] + [dt.datetime(9999, 12, 31)])):
+            if rng.random() < 0.8:  # else a gap
+                versions.append((k, rng.choice([None, f"{k}{i}"]), i, start, end))
+            versions.append((k, f"zero{i}", -1, start, start))
+    versions.append((None, "null", 0, day(), dt.datetime(9999, 12, 31)))
+    dim = spark.createDataFrame(versions, "k string, attr string, n int, effective_start_date timestamp_ntz, "
+                                          "effective_end_date timestamp_ntz")
+    starts = [v[3] for v in versions]
+    events = [(i, rng.choice(["a", "b", "c", "d", "e", "f", "g", None]),
+               rng.choice([None, day(), day(), rng.choice(starts), rng.choice(starts) - dt.timedelta(seconds=1)]))
+              for i in range(600)]
+    fact = spark.createDataFrame(events + events[:20], "id int, k string, t timestamp_ntz")
+    for how in ["inner", "left"]:
+        plain = sorted(map(tuple, join_as_of(fact, dim, "k", "t", ["attr", "n"], how=how, prefix="d_").collect()), key=str)
+        assert len(plain) > 100
+        for bucket in ["year", "month"]:
+            merged = merge_as_of(fact, dim, "k", "t", ["attr", "n"], how=how, prefix="d_", bucket=bucket)
+            assert sorted(map(tuple, merged.collect()), key=str) == plain
+    assert merge_as_of(fact, dim.limit(0), "k", "t", ["attr"]).count() == 0
+    assert merge_as_of(fact.limit(0), dim, "k", "t", ["attr"], how="left").count() == 0

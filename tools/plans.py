@@ -85,6 +85,8 @@ def main() -> None:
             g("fact_transactions"), g("dim_customer")),
         "join_point_in_time, bucket=year": star.transactions_point_in_time(
             g("fact_transactions"), g("dim_customer"), bucket="year"),
+        "join_point_in_time, merged": star.transactions_point_in_time(
+            g("fact_transactions"), g("dim_customer"), merge=True),
         "transactions_star": star.transactions_star(
             g("fact_transactions"), g("dim_customer"), g("dim_account"), g("dim_merchant"),
             g("dim_date")),
