@@ -45,8 +45,6 @@ _RESULT_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
     ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
     ("score", pa.float64())])
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 
 
 #: Marks the answer of the block that owns an n-gram.
@@ -92,14 +90,18 @@ class _Tokens:
 
     def __init__(self, block: Block, model: Model):
         self.block, self.model = block, model
-        data = _LOWER[block.data]
+        data = np.frombuffer(block.data.tobytes().lower(), dtype=np.uint8)  # A-Z only
         starts, ends = word_spans(data)
         n_docs = len(block.ids)
-        of = np.searchsorted(block.starts, starts, side="right") - 1
-        self.doc = np.sort(np.concatenate([of, np.arange(n_docs)]))
-        self.first = np.searchsorted(self.doc, np.arange(n_docs))
-        self.hash = np.full(len(self.doc), END)
-        self.hash[np.arange(len(of)) + of] = span_hashes(data, starts, ends)
+        # words lie in one document each, in its order: a search a document tells how many it has
+        size = np.diff(np.searchsorted(starts, block.starts), append=len(starts)) + 1
+        self.first = np.cumsum(size) - size
+        self.doc = np.repeat(np.arange(n_docs), size)
+        self.hash = np.empty(len(self.doc), dtype=np.uint64)
+        is_end = np.zeros(len(self.doc), dtype=bool)
+        is_end[self.first + size - 1] = True
+        self.hash[is_end] = END
+        self.hash[~is_end] = span_hashes(data, starts, ends)
         self.held = np.array([i is not None and zlib.crc32(str(i).encode()) % model.folds
                               == model.held_out for i in block.ids], dtype=bool)
         self.train = ~self.held[self.doc]
