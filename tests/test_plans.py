@@ -6,8 +6,8 @@ from __future__ import annotations
 import pytest
 
 from tessera.operators import star
-from tessera.operators.vault import latest_version, load_hub
-from tessera.plans.models import HUB
+from tessera.operators.vault import latest_version, load_hub, load_link, load_satellite
+from tessera.plans.models import HUB, LINK, SAT
 
 
 def plan(df) -> str:
@@ -182,3 +182,32 @@ def test_merged_point_in_time_compares_no_event_with_a_version(spark, warehouse_
     g = [warehouse_sf0001.read("gold", n) for n in ["fact_transactions", "dim_customer"]]
     p = plan(star.transactions_point_in_time(*g, merge=True))
     assert "Join" not in p and "Window" in p, p
+
+
+def test_first_loads_shuffle_ids_not_hash_keys(spark, warehouse_sf0001):
+    bronze = warehouse_sf0001.read("bronze", "bronze_transactions")
+    for df, n in [(load_hub(bronze, HUB["hub_transaction"], buckets=8), 2),
+                  (load_link(bronze, LINK["link_account_merchant"], buckets=8), 2),
+                  (load_satellite(bronze, SAT["sat_transaction_details"], buckets=8), 1)]:
+        p = df._jdf.queryExecution().optimizedPlan().toString()
+        dealt = p.index("RepartitionByExpression")
+        below = p[dealt:].split("\n", 1)[1]
+        assert "md5" in p[:dealt] and "md5" not in below and plan(df).count("Exchange hash") == n
+
+
+def test_bucketed_point_in_time_explodes_no_version(spark, warehouse_sf0001):
+    from tessera.operators.star import transactions_point_in_time
+    wh = warehouse_sf0001
+    p = plan(transactions_point_in_time(wh.read("gold", "fact_transactions"), wh.read("gold", "dim_customer"),
+                                        bucket="month"))
+    assert "Generate" not in p and "NestedLoop" not in p
+
+
+def test_dim_versions_are_not_shuffled_for_their_parents(spark, warehouse_sf0001):
+    from tessera.plans.pipeline import gold_model
+    p = with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"},
+                  lambda: plan(gold_model(warehouse_sf0001, "dim_account")))
+    # versions of keys that are not hot meet their links where they lie
+    branches = p.split("Union")[1].split("\n   :- ")[-1].split("\n   +- ")
+    assert "account_hub_key" in branches[0] and "_place" not in branches[0]
+    assert "_place" in branches[1]
