@@ -3,12 +3,13 @@
 A text is a vector of byte trigrams (letters lower-cased in ASCII, everything that is not a letter
 a single space), hashed to ``dims`` components, with sublinear term counts times inverse document
 frequency over all training documents, at length one.  Each language has ``clusters`` centroids by
-spherical k-means on a bounded sample of its training texts; clusters of under a tenth of them are
-merged into the others.  The prediction is the language of the nearest centroid.
+spherical k-means over all its training texts; clusters of under a tenth of them are merged into the
+others.  Only the starts come from a bounded sample.  The prediction is the language of the nearest
+centroid.
 
 A text is rejected if its cosine is under the bar of its length.  Short texts have low cosines, so
 lengths are banded by powers of four trigrams.  A band's bar lies half way between what all but 1 %
-of the sampled texts reach with their own language and what half of them reach with the nearest other.
+of the training texts reach with their own language and what half of them reach with the nearest other.
 """
 
 from __future__ import annotations
@@ -31,9 +32,15 @@ MAX_CENTROIDS = 4096
 _CHUNK = 1 << 19
 #: Clusters of a smaller share of a language's sample are merged into the others.
 LEAST_SHARE = 0.1
-#: Bands of fewer sampled texts take the bar of the next shorter one; the shortest have none.
+#: Bands of fewer training texts take the bar of the next shorter one; the shortest have none.
 BAND_TEXTS = 20
 BANDS = 16
+#: Rounds of k-means over all training texts.
+ROUNDS = 3
+#: Bins of a cosine from 0 to 1, in which bars are counted.
+BINS = 2000
+#: Unit of the whole numbers that vectors are summed in: 2^39 texts before they overflow.
+_ONE = 1 << 24
 #: Texts whose vectors are held at once.
 _ROWS = 128
 
@@ -134,39 +141,99 @@ def band(n: np.ndarray) -> np.ndarray:
     return np.minimum((np.log2(np.maximum(n, 1)) / 2).astype(np.int64), BANDS - 1)
 
 
-def bars(sample: DataFrame, langs: list[str], centroids: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """The cosine a text of each band has to reach."""
+def settle(train: DataFrame, langs: list[str], centroids: np.ndarray,
+           idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A round of spherical k-means over all texts of ``train``: each goes to the nearest centroid of
+    its language.  The new centroids and the number of texts of each.  Sums are of whole numbers,
+    so that they do not depend on the order."""
+    spark, dims = train.sparkSession, centroids.shape[1]
+    of, model = np.array(langs, dtype=object), spark.sparkContext.broadcast((centroids, idf))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centroids, idf = model.value
+        sums: dict[int, np.ndarray] = {}
+        for rows, raw in chunks(batches, _CHUNK):
+            lang = np.array(rows.column(0).to_pylist(), dtype=object)
+            for a, count in counts(Texts(raw), dims):
+                x = vectors(count, idf)
+                mine = lang[a : a + len(x), None] == of[None, :]
+                own = np.where(mine, x @ centroids.T, -1.0).argmax(axis=1)
+                own[~mine.any(axis=1)] = -1
+                for c in np.unique(own[own >= 0]).tolist():
+                    total = sums.setdefault(c, np.zeros(dims + 1, dtype=np.int64))
+                    total[:dims] += np.rint(x[own == c].astype(np.float64) * _ONE).astype(np.int64).sum(axis=0)
+                    total[dims] += int((own == c).sum())
+        for c, total in sums.items():
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), c)), pa.array(at), pa.array(total[at])],
+                                             names=["c", "dim", "n"])
+
+    def pack(group: pa.Table) -> pa.Table:
+        total = np.zeros(dims + 1, dtype=np.int64)
+        total[group.column("dim").to_numpy()] = group.column("n").to_numpy()
+        x = total[:dims].astype(np.float64)
+        x /= max(np.linalg.norm(x), 1e-12)
+        return pa.table({"c": group.column("c")[:1], "size": [int(total[dims])],
+                         "centroid": [x.astype(np.float32).tobytes()]},
+                        schema=pa.schema([("c", pa.int64()), ("size", pa.int64()), ("centroid", pa.binary())]))
+
+    out, sizes = centroids.copy(), np.zeros(len(langs), dtype=np.int64)
+    for r in (train.select("lang", "text").mapInArrow(run, "c long, dim long, n long")
+              .groupBy("c", "dim").agg(F.sum("n").alias("n"))
+              .groupBy("c").applyInArrow(pack, "c long, size long, centroid binary").collect()):
+        sizes[r["c"]] = r["size"]
+        found = np.frombuffer(r["centroid"], dtype=np.float32)
+        if found.any():  # else only texts without a trigram
+            out[r["c"]] = found
+    model.unpersist()
+    return out, sizes
+
+
+def _quantile(n: np.ndarray, q: float) -> float:
+    """The ``q`` quantile of cosines counted in bins."""
+    return (np.searchsorted(np.cumsum(n), max(q * n.sum(), 1)) + 0.5) / len(n)
+
+
+def bars(train: DataFrame, langs: list[str], centroids: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The cosine a text of each band has to reach, from those of all texts of ``train``."""
     out = np.zeros(BANDS)
     if not langs:
         return out
     of, dims = np.array(langs, dtype=object), centroids.shape[1]
+    model = train.sparkSession.sparkContext.broadcast((centroids, idf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centroids, idf = model.value
+        total = np.zeros(BANDS * 2 * BINS, dtype=np.int64)
         for rows, raw in chunks(batches, _CHUNK):
             lang = np.array(rows.column(0).to_pylist(), dtype=object)
             for a, count in counts(Texts(raw), dims):
                 near = vectors(count, idf) @ centroids.T
                 mine = lang[a : a + len(near), None] == of[None, :]
-                own, off = (np.where(m, near, 0.0).max(axis=1).astype(np.float64)
-                            for m in (mine, ~mine))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(band(count.sum(axis=1))), pa.array(own), pa.array(off)],
-                    names=["band", "own", "off"])
-
-    rows = (sample.select("lang", "text").mapInArrow(run, "band long, own double, off double")
-            .groupBy("band").agg(F.count("*").alias("n"), F.percentile("own", F.lit(0.01)).alias("own"),
-                                 F.percentile("off", F.lit(0.5)).alias("off")).collect())
-    found = {r["band"]: (r["own"] + r["off"]) / 2 for r in rows
-             if r["n"] >= BAND_TEXTS and r["own"] > r["off"]}
-    for b in range(BANDS):
-        out[b] = found.get(b, out[b - 1] if b else 0.0)
+                for side, m in enumerate((mine, ~mine)):
+                    cosine = np.where(m, near, 0.0).max(axis=1).clip(0, 1)
+                    at = np.minimum((cosine * BINS).astype(np.int64), BINS - 1)
+                    at += (band(count.sum(axis=1)) * 2 + side) * BINS
+                    total += np.bincount(at, minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    total = np.zeros(BANDS * 2 * BINS, dtype=np.int64)
+    for at, n in (train.select("lang", "text").mapInArrow(run, "at long, n long")
+                  .groupBy("at").agg(F.sum("n")).collect()):
+        total[at] = n
+    model.unpersist()
+    for b, (own, off) in enumerate(total.reshape(BANDS, 2, BINS)):
+        out[b] = out[b - 1] if b else 0.0
+        if own.sum() >= BAND_TEXTS and _quantile(own, 0.01) > _quantile(off, 0.5):
+            out[b] = (_quantile(own, 0.01) + _quantile(off, 0.5)) / 2
     return out
 
 
 def fit(spark: SparkSession, train: DataFrame, dims: int, clusters: int, sample_per_lang: int,
         id_col: str, text_col: str, lang_col: str):
-    """(languages, centroids, bars, idf).  At most ``sample_per_lang`` texts a language, those of
-    least hashed id, go into clusters and bars; document frequencies count all training texts."""
+    """(languages, centroids, bars, idf), all from all training texts.  At most ``sample_per_lang``
+    texts a language, those of least hashed id, only say where the clusters start."""
     df = document_frequency(train, dims, text_col)
     idf = (np.log((1 + df[dims]) / (1 + df[:dims])) + 1).astype(np.float32)
     # hashed ids thin each language to about twice the sample first, whatever its size
@@ -204,7 +271,16 @@ def fit(spark: SparkSession, train: DataFrame, dims: int, clusters: int, sample_
     centroids = np.array([np.frombuffer(r["centroid"], dtype=np.float32) for r in rows],
                          dtype=np.float32).reshape(len(rows), dims)
     langs = [r["lang"] for r in rows]
-    return langs, centroids, bars(sample, langs, centroids, idf), idf
+    texts = _texts(train, text_col, F.col(lang_col).alias("lang"))
+    for left in reversed(range(ROUNDS if langs else 0)):
+        centroids, sizes = settle(texts, langs, centroids, idf)
+        if left:  # the rounds left settle the texts of those given up
+            own = {lang: [k for k, of in enumerate(langs) if of == lang] for lang in langs}
+            least = {min(ks, key=lambda k: sizes[k]): sum(sizes[k] for k in ks)
+                     for ks in own.values() if len(ks) > 1}
+            keep = [k for k in range(len(langs)) if sizes[k] >= LEAST_SHARE * least.get(k, 0)]
+            langs, centroids = [langs[k] for k in keep], centroids[keep]
+    return langs, centroids, bars(texts, langs, centroids, idf), idf
 
 
 def _has_letters(texts: Texts, raw: list[bytes]) -> np.ndarray:
@@ -222,7 +298,7 @@ def language_id(spark: SparkSession, docs: DataFrame, folds: int = 4, held_out:
     """One row a document: doc_id, held_out, lang_pred, score, rejected.  With ``carry`` all columns
     of ``docs``, and those results in a struct column ``language_id`` (replaced if it is there).
 
-    Training uses text and non-null ``lang_col`` of documents whose crc32(id as text) mod ``folds``
+    Training uses the whole text and non-null ``lang_col`` of documents whose crc32(id as text) mod ``folds``
     is not ``held_out``.  A prediction reads the text alone.  ``score`` is the cosine to the nearest
     centroid.  ``rejected``: no language, or a cosine under the bar of the text's length.
 

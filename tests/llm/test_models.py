@@ -15,7 +15,7 @@ from tests.llm.conftest import make
 from tessera.llm.blocks import key_buckets, pack, split_by_bucket, unpack
 from tessera.llm.chat_formatting import preference_pairs, swapped_replies
 from tessera.llm.decontamination import Index, Words, bound, contamination, nearest
-from tessera.llm.lang_id import counts, language_id, spherical_kmeans
+from tessera.llm.lang_id import counts, fit, language_id, spherical_kmeans
 from tessera.llm.lm_scoring import lm_scores
 from tessera.llm.mixing import mix_sources, rake
 from tessera.llm.quality import RULES, ordered, quality_cascade
@@ -56,6 +56,17 @@ def test_small_clusters_are_merged():
     assert len(spherical_kmeans(x[:1], 3)) == 1 and len(spherical_kmeans(x[[0, 0, 0]], 3)) == 1
 
 
+def test_language_id_model_does_not_depend_on_the_sample(spark):
+    words = {"xa": "lorem ipsum dolor sit amet consectetur elit".split(), "xb": "ein kleiner Hund lief durch den Wald".split()}
+    rows = [(i, " ".join(words[lang][(i * k + k) % 7] for k in range(1, 4 + i % 9)), lang)
+            for i, lang in enumerate(["xa", "xb"] * 100)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    few, all_ = (fit(spark, train, 1024, 1, n, "doc_id", "text", "lang") for n in (2, 1000))
+    assert few[0] == all_[0] == ["xa", "xb"]
+    for a, b in zip(few[1:], all_[1:]):
+        assert np.array_equal(a, b)
+
+
 def test_language_id_odd_texts(spark, hard_rows, hard_docs, no_docs):
     rows = language_id(spark, hard_docs).collect()
     assert len(rows) == len(hard_rows)
