@@ -203,3 +203,27 @@ def test_stored_tables_are_coded(spark, scratch):
         files = glob.glob(f"{scratch}/{layer}/t/**/*.parquet", recursive=True)
         assert files and all(f.endswith(".zstd.parquet") for f in files)
     wh.drop()
+
+
+def test_models_drop_what_they_shuffled(spark, scratch):
+    """A model's shuffle files go once it is written, and the session is left as it was."""
+    import time
+
+    from tessera.plans.pipeline import build_models
+    from tessera.session import DROP_SHUFFLES
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> int:
+        names = disk.getAllBlocks().mkString(" ").split()
+        return sum(n.startswith("shuffle_") for n in names)
+
+    wh, held = Warehouse(spark, scratch), shuffled()
+    build_models(wh, DriverTables(spark, SF), ["hub_account"], set())
+    for _ in range(50):  # files are removed beside the driver's work
+        if shuffled() <= held:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= held
+    assert spark.conf.get(DROP_SHUFFLES, None) == before
+    wh.drop()
