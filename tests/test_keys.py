@@ -16,6 +16,7 @@ from tessera.functions import (
     month_start,
     padded_name,
 )
+from tessera.functions.keys import packed_key, unpacked_key
 
 
 def md5(text: str) -> str:
@@ -83,3 +84,13 @@ def test_date_helpers(spark):
     assert r.k == 20240501 and r.kt == 20210101
     assert r.m == dt.date(2024, 5, 1)
     assert r.mn == "May      " and r.dn == "Wednesday"
+
+
+def test_packed_keys_come_back_and_stay_apart(spark):
+    md5 = hashlib.md5(b"1").hexdigest()
+    texts = [None, "", "t1", "hot", "é", md5, md5.upper(), md5[:31], md5 + "0", "x" * 16, "\0" * 17, "g" * 32]
+    got = (spark.createDataFrame([(t,) for t in texts], "k string").withColumn("p", packed_key("k"))
+           .select("k", "p", unpacked_key("p").alias("back")).collect())
+    assert [r.back for r in got] == texts
+    assert len({bytes(r.p) for r in got if r.p is not None}) == len(texts) - 1
+    assert len(next(r.p for r in got if r.k == md5)) == 16

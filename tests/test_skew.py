@@ -81,3 +81,27 @@ def test_facts_rank_nothing(spark, warehouse_sf0001):
     inside = [x for x in below[1:] if len(x) - len(x.lstrip(" :+-")) > depth]
     first = next((k for k, x in enumerate(below[1:]) if len(x) - len(x.lstrip(" :+-")) <= depth), len(below))
     assert not any("Exchange" in x for x in inside[:first]), p
+
+
+def test_keys_of_facts_are_shuffled_packed(spark, warehouse_sf0001):
+    from tessera.operators import star
+    from tessera.plans.pipeline import gold_model
+    p = with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"},
+                  lambda: plan(gold_model(warehouse_sf0001, "fact_transactions")))
+    assert p.index("hex(transaction_hub_key") < p.index("Exchange hashpartitioning(_place") < p.index("unhex(")
+    g = [warehouse_sf0001.read("gold", n) for n in
+         ("fact_transactions", "dim_customer", "dim_account", "dim_merchant", "dim_date")]
+    p = with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, lambda: plan(star.transactions_star(*g)))
+    # the widest dimensions come last: their shuffles carry no merchant's key
+    assert p.index("Exchange hashpartitioning(account_hub_key") < p.index("Exchange hashpartitioning(customer_hub_key")
+    assert p.index("Exchange hashpartitioning(customer_hub_key") < p.index("Exchange hashpartitioning(merchant_hub_key")
+    assert p.index("unhex(") > p.index("Exchange hashpartitioning(merchant_hub_key")
+
+
+def test_facts_with_keys_that_are_no_md5(spark):
+    facts = spark.createDataFrame([("t1", "a1"), ("t2", "a2"), ("t3", None)], "transaction_hub_key string, account_hub_key string")
+    links = spark.createDataFrame([("a1", "c1"), ("a1", "c2"), (None, "c3")], "account_hub_key string, customer_hub_key string")
+    got = gold._with_customer(facts, links, ("transaction_hub_key", "account_hub_key"))
+    want = facts.join(links, "account_hub_key", "left")
+    cols = ["transaction_hub_key", "account_hub_key", "customer_hub_key"]
+    assert rows(got.select(*cols)) == rows(want.select(*cols))
