@@ -57,7 +57,8 @@ def read_block(rows: pa.RecordBatch | pa.Table, k: int) -> Block:
     return Block(row["block"], row["ids"], np.array(row["lens"], dtype=np.int64), body, extra)
 
 
-def _pack(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pack(size: int, encode: Callable[[bytes, np.ndarray], bytes] | None = None,
+          ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())),
                         ("lens", pa.list_(pa.int32())), ("bytes", pa.int64()), ("body", pa.binary())])
     kinds = [f.type for f in schema]
@@ -70,7 +71,8 @@ def _pack(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
 
         def flush() -> pa.RecordBatch:
             body = b"\n".join(texts) + b"\n"
-            packed = zstandard.ZstdCompressor(level=1).compress(body)
+            held_as = encode(body, np.array(lens, dtype=np.int64)) if encode else body
+            packed = zstandard.ZstdCompressor(level=1).compress(held_as)
             cols = [[first + n], [ids], [lens], [len(body)], [packed]]
             arrays = [pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)]
             names = list(schema.names)
@@ -105,10 +107,12 @@ class Blocks:
     """The block table of a set of documents."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, size: int, id_col: str = "doc_id",
-                 text_col: str = "text", carry: bool = False, scratch: Scratch | None = None):
+                 text_col: str = "text", carry: bool = False, scratch: Scratch | None = None,
+                 encode: Callable[[bytes, np.ndarray], bytes] | None = None):
         """``size``: bytes of text after which a block is closed (it holds at least a document).
         ``carry``: keep the documents' other columns, as ``extra``.  ``scratch``: the database that
-        the table goes to, for its owner to drop."""
+        the table goes to, for its owner to drop.  ``encode(bytes of the block, lengths of its texts)``:
+        what a block holds in place of its bytes, so that no pass has to derive it again."""
         ship(spark)
         self.spark = spark
         self.parts = shuffle_partitions(spark)
@@ -120,7 +124,7 @@ class Blocks:
             cols.append(others.alias("extra"))
             kind = docs.select(others.alias("extra")).schema[0].dataType.simpleString()
             schema += f", extra array<{kind}>"
-        packed = docs.select(*cols).mapInArrow(_pack(size), schema)
+        packed = docs.select(*cols).mapInArrow(_pack(size, encode), schema)
         name = f"llm_blocks_{uuid.uuid4().hex}"
         writer = packed.write.bucketBy(self.parts, "block").option("compression", "uncompressed")
         if scratch:
@@ -176,23 +180,52 @@ class Blocks:
                 .applyInArrow(both, schema))
 
 
-def pack(items: np.ndarray, ascending: bool = False) -> bytes:
-    """The items' first bytes, then their second bytes and so on, compressed; of ascending integers
-    the differences.  Counts are mostly small and differences have zero bytes in front, so that most
-    of these planes shrink to nothing."""
+def planes(items: np.ndarray, ascending: bool = False) -> bytes:
+    """The items' first bytes, then their second bytes and so on; of ascending integers the
+    differences.  Counts are mostly small and differences have zero bytes in front, so that most of
+    these planes compress to nothing."""
     if ascending:
         items = np.diff(items, prepend=items.dtype.type(0))
-    planes = np.ascontiguousarray(items).view(np.uint8).reshape(len(items), items.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return np.ascontiguousarray(items).view(np.uint8).reshape(len(items), items.dtype.itemsize).T.tobytes()
 
 
-def unpack(raw: bytes, dtype, ascending: bool = False) -> np.ndarray:
+def from_planes(raw, dtype, ascending: bool = False) -> np.ndarray:
     dtype = np.dtype(dtype)
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8)
-    items = np.ascontiguousarray(planes.reshape(dtype.itemsize, -1).T).view(dtype).reshape(-1)
+    by_byte = np.frombuffer(raw, dtype=np.uint8).reshape(dtype.itemsize, -1)
+    items = np.ascontiguousarray(by_byte.T).view(dtype).reshape(-1)
     return np.cumsum(items, dtype=dtype) if ascending else items
 
 
+def pack(items: np.ndarray, ascending: bool = False) -> bytes:
+    """The items' planes, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(planes(items, ascending))
+
+
+def unpack(raw: bytes, dtype, ascending: bool = False) -> np.ndarray:
+    return from_planes(zstandard.ZstdDecompressor().decompress(raw), dtype, ascending)
+
+
+def stable_order(keys: np.ndarray) -> np.ndarray:
+    """The stable order of uint64 keys.  Keys are sorted with the row number behind them, in place of
+    their last bits if there is no room, which is cheaper than sorting row numbers by key; where keys
+    differ in those bits alone, so that they are not in order then, they are sorted as they are."""
+    if not len(keys):
+        return np.empty(0, dtype=np.int64)
+    low = np.uint64(len(keys).bit_length())
+    rows = np.arange(len(keys), dtype=np.uint64)
+    room = int(keys.max()).bit_length() + int(low) <= 64
+    by = keys << low if room else keys >> low << low
+    by |= rows
+    by.sort()
+    by &= (np.uint64(1) << low) - np.uint64(1)
+    by = by.view(np.int64)
+    if not room:
+        there = keys[by]
+        if (there[1:] < there[:-1]).any():
+            return np.argsort(keys, kind="stable")
+    return by
+
+
 def key_buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of each key: the integer part of key x buckets / 2^64.  Buckets are fewer than 2^31."""
     n, half, low = np.uint64(buckets), np.uint64(32), np.uint64(0xFFFFFFFF)

@@ -98,9 +98,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+#: Factor and summand of the left hash.
+JOIN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x632BE59BD9B4E019)
+
+
 def join_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Hash of two neighbouring strings from their hashes (order counts)."""
-    return mix(left * np.uint64(0x9E3779B97F4A7C15) + right + np.uint64(0x632BE59BD9B4E019))
+    return mix(left * JOIN[0] + right + JOIN[1])
 
 
 def windows_of(hashes: np.ndarray, length: int) -> np.ndarray:

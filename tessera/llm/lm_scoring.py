@@ -15,6 +15,9 @@ has no arc the failure arc, weighted by the log of ``back``, leads to the longes
 ends there too.  The empty history has an arc for each word.  A text is read once from left to right;
 it carries its state, and its score is the sum of the weights on its way.
 
+A text is tokenised once, when it is written to its block: a block holds the hashes of its distinct
+tokens and, of each token, the number of its hash.
+
 On Spark, no task holds the whole model, and none of it is collected or broadcast.  Counts are summed
 by key bucket over the block exchange (``blocks.py``), and each block gets the counts of its own
 n-grams back; one of the blocks that have an n-gram owns it.  A last exchange sums what the
@@ -34,8 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.blocks import Block, Blocks, answer, groups, said
-from tessera.llm.hashing import join_hashes, mix, span_hashes, word_spans
+from tessera.llm.blocks import Block, Blocks, answer, from_planes, groups, planes, said, stable_order
+from tessera.llm.hashing import JOIN, mix, span_hashes, word_spans
 
 BLOCK_BYTES = 4 << 20
 END = np.uint64(0xE0F1D2C3B4A59687)  # the token that ends a text
@@ -75,69 +78,84 @@ class Model:
 class _Grams:
     """The n-grams of one order that a block asks about."""
 
-    at: np.ndarray       # tokens that end one
+    at: np.ndarray | None  # tokens that end one; None: all
     of: np.ndarray       # the number of each
     where: np.ndarray    # of each distinct one, a token that ends it
     keys: np.ndarray     # distinct keys, ascending
     history: np.ndarray  # of each distinct one, the number of the n-gram without its last word
-    seen: np.ndarray     # count in the block's training documents
-    count: np.ndarray    # count in all training documents, 0 if not kept
-    owned: np.ndarray
+    count: np.ndarray | None = None  # count in all training documents, 0 if not kept
+    owned: np.ndarray | None = None
+
+
+def _tokenised(body: bytes, lens: np.ndarray) -> bytes:
+    """What a block holds: the tokens of each document, the hashes of distinct tokens, ascending, and
+    the number of each token's hash.  ``lens`` is below 0 for null texts."""
+    data = np.frombuffer(body.lower(), dtype=np.uint8)  # A-Z only
+    starts, ends = word_spans(data)
+    lens = np.maximum(lens, 0)
+    # words lie in one document each, in its order: a search a document tells how many it has
+    size = np.diff(np.searchsorted(starts, np.cumsum(lens + 1) - 1 - lens), append=len(starts)) + 1
+    hashes = np.empty(int(size.sum()), dtype=np.uint64)
+    is_end = np.zeros(len(hashes), dtype=bool)
+    is_end[np.cumsum(size) - 1] = True
+    hashes[is_end] = END
+    hashes[~is_end] = span_hashes(data, starts, ends)
+    keys, of = np.unique(hashes, return_inverse=True)
+    return b"".join([np.array([len(keys), len(of)], dtype=np.int64).tobytes(), planes(size),
+                     planes(keys, True), planes(of.astype(np.uint32))])
 
 
 class _Tokens:
-    """The tokens of a block: hashes, the document of each, training or not."""
+    """The tokens of a block: the hash of each as a number, the document, training or not."""
 
     def __init__(self, block: Block, model: Model):
         self.block, self.model = block, model
-        data = np.frombuffer(block.data.tobytes().lower(), dtype=np.uint8)  # A-Z only
-        starts, ends = word_spans(data)
-        n_docs = len(block.ids)
-        # words lie in one document each, in its order: a search a document tells how many it has
-        size = np.diff(np.searchsorted(starts, block.starts), append=len(starts)) + 1
+        n_docs, at = len(block.ids), 16
+        n_keys, n = np.frombuffer(block.data[:at].tobytes(), dtype=np.int64).tolist()
+
+        def read(items: int, dtype: str, ascending: bool = False) -> np.ndarray:
+            nonlocal at
+            a, at = at, at + items * np.dtype(dtype).itemsize
+            return from_planes(block.data[a:at], dtype, ascending)
+
+        size = read(n_docs, "i8")
+        self.keys, self.word = read(n_keys, "u8", True), read(n, "u4").astype(np.int64)
         self.first = np.cumsum(size) - size
-        self.doc = np.repeat(np.arange(n_docs), size)
-        self.hash = np.empty(len(self.doc), dtype=np.uint64)
-        is_end = np.zeros(len(self.doc), dtype=bool)
-        is_end[self.first + size - 1] = True
-        self.hash[is_end] = END
-        self.hash[~is_end] = span_hashes(data, starts, ends)
+        self.size = size
         self.held = np.array([i is not None and zlib.crc32(str(i).encode()) % model.folds
                               == model.held_out for i in block.ids], dtype=bool)
-        self.train = ~self.held[self.doc]
+        self.train = np.repeat(~self.held, size)
         self.orders: list[_Grams] = []
-        #: per order, the n-gram of some count that ends at each token, and the state, or -1
-        self.kept: list[np.ndarray] = []
-        self.states: list[np.ndarray] = []
-
-    def words(self):
-        """Distinct tokens, their training counts, the number of each token's word, and a token of
-        each word."""
-        keys, of = np.unique(self.hash, return_inverse=True)
-        where = np.empty(len(keys), dtype=np.int64)
-        where[of] = np.arange(len(of))
-        return keys, np.bincount(of[self.train], minlength=len(keys)).astype(np.uint64), of, where
+        self._ends: dict[tuple[int, bool], np.ndarray] = {}
 
     def grams(self, order: int) -> _Grams:
         """n-grams of this order whose history is a state and whose last words are kept."""
         if order == 1:
-            keys, seen, of, where = self.words()
-            return _Grams(np.arange(len(self.hash)), of, where, keys, np.zeros(len(keys), np.int64), seen,
-                          seen, seen > 0)
-        history = np.full(len(self.hash), -1, dtype=np.int64)
-        history[1:] = self.states[order - 2][:-1]
+            where = np.empty(len(self.keys), dtype=np.int64)
+            where[self.word] = np.arange(len(self.word))
+            return _Grams(None, self.word, where, self.keys, np.zeros(len(self.keys), np.int64))
+        history = np.full(len(self.word), -1, dtype=np.int64)
+        history[1:] = self.states(order - 1)[:-1]
         history[self.first] = -1
-        at = np.flatnonzero((history >= 0) & (self.kept[order - 2] >= 0))
+        at = np.flatnonzero((history >= 0) & (self.kept(order - 1) >= 0))
         history = history[at]
-        grams = join_hashes(mix(self.orders[order - 2].keys[history]), self.hash[at])
-        order_ = np.argsort(grams)  # any order among equal ones
-        starts = np.flatnonzero(np.diff(grams[order_], prepend=grams[order_][:1] + np.uint64(1)))
-        size = np.diff(np.append(starts, len(grams)))
+        # join_hashes, its left part once a history
+        left = mix(self.orders[order - 2].keys) * JOIN[0] + JOIN[1]
+        grams = mix(left[history] + self.keys[self.word[at]])
+        order_ = stable_order(grams)
+        sorted_ = grams[order_]
+        new = np.empty(len(grams), dtype=bool)
+        new[:1] = True
+        np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
         of = np.empty(len(grams), dtype=np.int64)
-        of[order_] = np.repeat(np.arange(len(starts)), size)
-        seen = np.bincount(of[self.train[at]], minlength=len(starts)).astype(np.uint64)
-        some = order_[starts]
-        return _Grams(at, of, at[some], grams[some], history[some], seen, seen, seen > 0)
+        of[order_] = np.cumsum(new) - 1
+        some = order_[new]
+        return _Grams(at, of, at[some], sorted_[new], history[some])
+
+    def seen(self, g: _Grams) -> np.ndarray:
+        """Of each n-gram, its count in the block's training documents."""
+        train = self.train if g.at is None else self.train[g.at]
+        return np.bincount(g.of[train], minlength=len(g.keys))
 
     def learn(self, upto: int, known: dict) -> None:
         """Take the counts of the orders up to ``upto`` from the answers."""
@@ -146,11 +164,35 @@ class _Tokens:
             got = said(known, f"order{order}", len(g.keys), "u8", packed=True)
             g.count, g.owned = (got & ~OWNED).astype(np.int64), got >= OWNED
             self.orders.append(g)
-            for out, ok in ((self.kept, g.count >= max(1, self.model.min_count)),
-                            (self.states, (g.count >= self.model.least()) & (g.keys != END))):
-                ends = np.full(len(self.hash), -1, dtype=np.int64)
-                ends[g.at] = np.where(ok[g.of], g.of, -1)
-                out.append(ends)
+
+    def is_kept(self, order: int) -> np.ndarray:
+        return self.orders[order - 1].count >= max(1, self.model.min_count)
+
+    def is_state(self, order: int) -> np.ndarray:
+        g = self.orders[order - 1]
+        return (g.count >= self.model.least()) & (g.keys != END)
+
+    def kept(self, order: int) -> np.ndarray:
+        """The kept n-gram that ends at each token, or -1."""
+        return self._ending(order, False, self.is_kept(order))
+
+    def states(self, order: int) -> np.ndarray:
+        """The state of so many words that ends at each token, or -1."""
+        return self._ending(order, True, self.is_state(order))
+
+    def _ending(self, order: int, states: bool, ok: np.ndarray) -> np.ndarray:
+        if (order, states) not in self._ends:
+            g = self.orders[order - 1]
+            if (order, not states) in self._ends and np.array_equal(self.is_kept(order), self.is_state(order)):
+                return self._ends[order, not states]
+            number = np.where(ok, np.arange(len(ok)), -1)
+            if g.at is None:
+                ends = number[g.of]
+            else:
+                ends = np.full(len(self.word), -1, dtype=np.int64)
+                ends[g.at] = number[g.of]
+            self._ends[order, states] = ends
+        return self._ends[order, states]
 
     def histories(self, order: int) -> np.ndarray:
         """Numbers of the histories of ``order`` words that may have kept n-grams."""
@@ -163,7 +205,7 @@ class _Tokens:
         keys = np.concatenate([np.empty(0, np.uint64), *[
             mix(self.orders[k - 1].keys[self.histories(k)] ^ np.uint64(k))
             for k in range(1, len(self.orders))]])
-        by = np.argsort(keys, kind="stable")
+        by = stable_order(keys)
         return keys[by], by
 
     def backs(self, known: dict) -> list[np.ndarray]:
@@ -246,8 +288,7 @@ class Automaton:
         self.n_states = 1
         fail, fail_weight = [np.zeros(1, dtype=np.int64)], [np.zeros(1)]
         for k, back in enumerate(tokens.backs(known), 1):
-            g, at = tokens.orders[k - 1], tokens.states[k - 1]
-            is_state = at[g.where] >= 0
+            g, at, is_state = tokens.orders[k - 1], tokens.states(k), tokens.is_state(k)
             number.append(np.where(is_state, self.n_states - 1 + np.cumsum(is_state), -1))
             self.n_states += np.count_nonzero(is_state)
             fail.append(ends[-1][g.where[is_state]])
@@ -265,15 +306,16 @@ class Automaton:
             g, h = tokens.orders[k - 1], tokens.orders[k - 2]
             state = number[k - 2][g.history]
             share = np.maximum(g.count - model.discount, 0) / h.count[g.history]
-            lower = tokens.kept[k - 2][g.where]
+            lower = tokens.kept(k - 1)[g.where]
             chance = share + back[state] * shorter[lower]
-            kept = tokens.kept[k - 1][g.where] >= 0
+            kept = tokens.is_kept(k)
             keys.append(state[kept] * self.n_words + self.word[g.where[kept]])
             weights.append(np.log10(chance[kept]))
             to.append(ends[min(k, top)][g.where[kept]])
             shorter = chance
-        by = np.argsort(np.concatenate(keys))
-        self.arc = np.append(np.concatenate(keys)[by], np.iinfo(np.int64).max)
+        arcs = np.concatenate(keys)
+        by = stable_order(arcs.view(np.uint64))
+        self.arc = np.append(arcs[by], np.iinfo(np.int64).max)
         self.arc_weight, self.arc_to = np.concatenate(weights)[by], np.concatenate(to)[by]
 
     def _step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +331,9 @@ class Automaton:
             if not len(open_):
                 return to, weight
             key = state[open_] * self.n_words + word[open_]
-            arc = np.searchsorted(self.arc, key)
+            arc = np.empty(len(key), dtype=np.int64)
+            by = np.argsort(key)  # a search in order stays in the cache
+            arc[by] = np.searchsorted(self.arc, key[by])
             has = self.arc[arc] == key
             done, arc = open_[has], arc[has]
             to[done] = self.arc_to[arc]
@@ -304,7 +348,7 @@ class Automaton:
         state as many words early as a state holds, after which the state is that of the whole text."""
         tokens, early = self.tokens, len(self.tokens.orders) - 1
         n = len(self.word)
-        at = np.arange(n) - tokens.first[tokens.doc]
+        at = np.arange(n) - np.repeat(tokens.first, tokens.size)
         begin = np.flatnonzero(at % stretch == 0)
         size = np.diff(np.append(begin, n))
         warm = np.minimum(at[begin], early)
@@ -339,7 +383,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
     Returns doc_id, held_out, n_tokens, n_known (tokens seen in training), train_tokens, base_score
     (the unigram floor's log10 probability), score.
     """
-    blocks = Blocks(spark, docs, BLOCK_BYTES, id_col, text_col)
+    blocks = Blocks(spark, docs, BLOCK_BYTES, id_col, text_col, encode=_tokenised)
     model = Model(folds, held_out, discount, min_count, state_share)
     known: dict[str, DataFrame] = {}
     for n in range(1, order + 1):
@@ -347,7 +391,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
             tokens = _Tokens(block, model)
             tokens.learn(n - 1, known)
             g = tokens.grams(n)
-            return g.keys, None, g.seen.astype(np.uint32)
+            return g.keys, None, tokens.seen(g).astype(np.uint32)
 
         asked = blocks.ask(grams, blocks.buckets(0.03 if n == 1 else 0.08), dict(known), packed=True)
         known[f"order{n}"] = answer(asked, _decide_grams(min_count) if n > 1 else _decide_words,
@@ -365,7 +409,8 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
             mine = g.owned & (g.count > 0)
             part = np.zeros(len(tokens.orders[n - 2].keys), dtype=_KEPT)
             part["n"] = np.bincount(g.history[mine], minlength=len(part))
-            np.add.at(part["total"], g.history[mine], g.count[mine].astype(np.uint64))
+            # exact below 2^53
+            part["total"] = np.bincount(g.history[mine], weights=g.count[mine], minlength=len(part))
             marks.append(part[tokens.histories(n - 1)])
         keys, by = tokens.left_keys()
         return keys, None, np.concatenate(marks)[by]
@@ -379,10 +424,9 @@ def lm_scores(spark: SparkSession, docs: DataFrame, order: int = 3, folds: int =
         automaton = Automaton(tokens, known)
         base, seen = np.log10(automaton.base)[automaton.word], tokens.orders[0].count > 0
         n = len(block.ids)
-        cuts = np.append(tokens.first, len(tokens.doc))
         return [pa.RecordBatch.from_arrays([
             pa.array(block.ids, type=pa.int64()), pa.array(tokens.held),
-            pa.array(np.diff(cuts)),
+            pa.array(tokens.size),
             pa.array(np.add.reduceat(seen[automaton.word].astype(np.int64), tokens.first)),
             pa.array(np.full(n, model.tokens, dtype=np.int64)),
             pa.array(np.add.reduceat(base, tokens.first)),

@@ -335,3 +335,40 @@ def test_swapped_replies_with_odd_columns(spark):
                                   "last_turn int, reply string")
     got = {(r.conv_id, r.turn): r.text for r in swapped_replies(turns).collect()}
     assert got == {(2, 0): "a", (2, 1): "c", (3, 0): "b", (9, 0): "", (None, 0): "e", (4, 0): None}
+
+
+def test_blocks_of_lm_hold_tokens_not_texts(spark, monkeypatch):
+    from tessera.llm import lm_scoring
+    from tessera.llm.blocks import read_block
+
+    texts = ["A b a", None, "", " \n", "b\tÄ a", "c"]
+    made = []
+
+    class Watched(lm_scoring.Blocks):
+        def __init__(self, *args, **kw):
+            super().__init__(*args, **kw)
+            made.append(self)
+
+    monkeypatch.setattr(lm_scoring, "Blocks", Watched)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    n_tokens = {r.doc_id: r.n_tokens for r in lm_scores(spark, docs).collect()}
+    assert n_tokens == {i: len((t or "").split()) + 1 for i, t in enumerate(texts)}
+    block = read_block(made[0].table.toArrow(), 0)
+    assert b"A b a" not in block.data.tobytes() and b"a b a" not in block.data.tobytes()
+    tokens = lm_scoring._Tokens(block, lm_scoring.Model(5, 1, 0.75, 2, 0.0))
+    want = [w for t in texts for w in [*(t or "").encode().lower().split(), None]]
+    assert len(tokens.keys) == len(set(want)) and (np.diff(tokens.keys) > 0).all()
+    number = {}
+    assert all(number.setdefault(w, k) == k for w, k in zip(want, tokens.word.tolist(), strict=True))
+
+
+def test_stable_order():
+    from tessera.llm.blocks import stable_order
+
+    rng = np.random.default_rng(3)
+    top = np.uint64((1 << 64) - 1)
+    for keys in (rng.integers(0, 1 << 64, 5000, dtype=np.uint64), rng.integers(0, 50, 5000, dtype=np.uint64),
+                 top - rng.integers(0, 50, 5000, dtype=np.uint64),  # differ in the last bits alone
+                 np.repeat(rng.integers(0, 1 << 64, 100, dtype=np.uint64), 40)[rng.permutation(4000)],
+                 np.array([top]), np.empty(0, dtype=np.uint64)):
+        assert (stable_order(keys) == np.argsort(keys, kind="stable")).all()
