@@ -227,3 +227,14 @@ def test_models_drop_what_they_shuffled(spark, scratch):
     assert shuffled() <= held
     assert spark.conf.get(DROP_SHUFFLES, None) == before
     wh.drop()
+
+
+def test_models_leave_no_snapshot_behind(spark, scratch):
+    """Snapshots are for loads to come; the loads of these models are all written."""
+    from tessera.plans.models import SAT
+    from tessera.plans.pipeline import STATE, build_models, current_state
+    wh = Warehouse(spark, scratch)
+    build_models(wh, DriverTables(spark, SF), ["sat_account_details"], set())
+    assert wh.batch_ids(STATE, "sat_account_details") == []
+    assert current_state(wh, SAT["sat_account_details"], 4).count() == 1500
+    wh.drop()

@@ -211,3 +211,21 @@ def test_dim_versions_are_not_shuffled_for_their_parents(spark, warehouse_sf0001
     branches = p.split("Union")[1].split("\n   :- ")[-1].split("\n   +- ")
     assert "account_hub_key" in branches[0] and "_place" not in branches[0]
     assert "_place" in branches[1]
+
+
+def test_keys_of_an_extract_are_dealt_as_ids(spark, warehouse_sf0001):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import vault
+    wh = warehouse_sf0001
+    bronze = wh.read("bronze", "bronze_accounts")
+    bronze = bronze.unionByName(bronze).unionByName(bronze.limit(1).withColumn("account_id", F.lit(None).cast("long")))
+    for name, key, ids in [("hub_account", "account_hub_key", ["account_id"]),
+                           ("link_customer_account", "customer_account_link_key", ["customer_id", "account_id"])]:
+        stored = wh.read("silver", name)
+        got = vault.stored_of_extract(stored, bronze, key, ids, wh.buckets)
+        p = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "md5" not in p[p.index("RepartitionByExpression"):].split("\n", 1)[1], p
+        check_no_exchange(plan(got), name)
+        want = vault.stored_of_extract(stored, bronze, key, ids)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 1500

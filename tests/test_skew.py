@@ -105,3 +105,41 @@ def test_facts_with_keys_that_are_no_md5(spark):
     want = facts.join(links, "account_hub_key", "left")
     cols = ["transaction_hub_key", "account_hub_key", "customer_hub_key"]
     assert rows(got.select(*cols)) == rows(want.select(*cols))
+
+
+@pytest.mark.parametrize("classes", [1, 3, 1 << 15])
+def test_hot_keys_are_exact_whatever_shares_their_class(spark, monkeypatch, classes):
+    monkeypatch.setattr(skew, "CLASSES", classes)
+    right = spark.range(1000).select(F.when(F.col("id") < 400, F.lit("hot")).otherwise(
+        F.concat(F.lit("k"), F.col("id") % 50)).alias("k"))
+    assert rows(skew.hot_keys(right, "k", 100)) == rows(spark.sql("select 'hot' k, true"))
+    # no key is hot, the class of all keys is
+    assert skew.hot_keys(right.filter("k != 'hot'"), "k", 100).count() == 0
+
+
+def test_hot_keys_are_counted_in_full_classes_alone(spark, warehouse_sf0001):
+    links = warehouse_sf0001.read("silver", "link_customer_account")
+    p = plan(skew.hot_keys(links, "account_hub_key", 100))
+    # what the keys are counted of has passed the classes
+    assert p.index("Exchange hashpartitioning(account_hub_key") < p.index("LeftSemi"), p
+    assert "Exchange hashpartitioning(_class" in p, p
+
+
+def test_parents_and_counts_are_shuffled_packed(spark, warehouse_sf0001):
+    from tessera.plans.pipeline import gold_model
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+    p = with_conf(spark, off, lambda: plan(gold_model(warehouse_sf0001, "dim_account")))
+    dealt = [line for line in p.split("\n") if "REPARTITION_BY_COL" in line]
+    assert dealt and all("hex(account_hub_key" in line for line in dealt), p
+    assert p.index(dealt[0]) < p.index("unhex(account_hub_key") and "unhex(customer_hub_key" in p, p
+    p = plan(gold.account_counts(warehouse_sf0001.read("gold", "dim_account")))
+    assert p.index("Exchange hashpartitioning(_groupingexpression") < p.index("unhex("), p
+
+
+def test_counts_by_keys_that_are_no_md5(spark):
+    dim = spark.createDataFrame([("c1", "Checking", True), ("c1", "Savings", True), ("c1", "Savings", False),
+                                 (None, "Credit", True), ("A" * 32, "Savings", True), ("", "checking", True)],
+                                "customer_hub_key string, account_type string, is_current boolean")
+    got = gold.account_counts(dim)
+    assert got.schema["customer_hub_key"].dataType.simpleString() == "string"
+    assert rows(got) == sorted(map(str, [("c1", 2, 1, 1), (None, 1, 0, 0), ("A" * 32, 1, 0, 1), ("", 1, 0, 0)]))
