@@ -229,3 +229,21 @@ def test_keys_of_an_extract_are_dealt_as_ids(spark, warehouse_sf0001):
         check_no_exchange(plan(got), name)
         want = vault.stored_of_extract(stored, bronze, key, ids)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 1500
+
+
+def test_first_sightings_are_shuffled_once_for_rows_and_keys(spark, warehouse_sf0001):
+    from tessera.operators import vault
+    wh = warehouse_sf0001
+    bronze = wh.read("bronze", "bronze_accounts")
+    for spec, load, ids in [(HUB["hub_account"], load_hub, ["account_id"]),
+                            (LINK["link_customer_account"], vault.load_link, ["customer_id", "account_id"])]:
+        key = getattr(spec, "dealt_by", None) or spec.key_col
+        stored = wh.read_before("silver", spec.name, 3)
+
+        def new(sighted):
+            return load(bronze, spec, vault.stored_of_extract(stored, bronze, key, ids, wh.buckets, sighted),
+                        buckets=wh.buckets)
+
+        got = new(True)
+        assert sorted(map(str, got.collect())) == sorted(map(str, new(False).collect()))
+        assert "ReusedExchange" in with_conf(spark, {"spark.sql.adaptive.enabled": "false"}, lambda: plan(new(True)))
