@@ -238,3 +238,64 @@ def test_models_leave_no_snapshot_behind(spark, scratch):
     assert wh.batch_ids(STATE, "sat_account_details") == []
     assert current_state(wh, SAT["sat_account_details"], 4).count() == 1500
     wh.drop()
+
+
+def test_large_tables_go_when_nothing_reads_them(spark, scratch, warehouse_sf0001, monkeypatch):
+    """With every table large: what no query named goes, in steps, and comes again with the same rows."""
+    from tessera.plans import pipeline
+    monkeypatch.setattr(pipeline, "LARGE", 0)
+    wh, built, tables = Warehouse(spark, scratch), set(), DriverTables(spark, SF)
+    keep = {"fact_transactions"}
+    pipeline.build_models(wh, tables, ["fact_transactions"], built, keep=keep)
+    assert built == keep
+    assert not wh.exists("silver", "sat_transaction_details") and not wh.exists("bronze", "bronze_transactions")
+    fact = wh.read("gold", "fact_transactions")    # built in slices
+    keep.add("dim_customer")
+    pipeline.build_models(wh, tables, ["dim_customer"], built, keep=keep)
+    assert built == keep and not wh.exists("gold", "dim_account")
+    keep.add("hub_account")
+    pipeline.build_models(wh, tables, ["hub_account", "fact_transactions"], built, keep=keep)
+    assert built == keep and wh.batch_ids("silver", "hub_account") == [1, 2, 3]
+    for layer, name, df in [("gold", "fact_transactions", fact), ("silver", "hub_account", None), ("gold", "dim_customer", None)]:
+        got = wh.read(layer, name) if df is None else df
+        assert sorted(map(str, got.collect())) == sorted(map(str, warehouse_sf0001.read(layer, name).collect())), name
+    wh.drop()
+
+
+def test_models_are_checked_before_large_tables_go(spark, scratch, monkeypatch):
+    """Every check of the catalogue has its tables, though none is left at the end."""
+    from tessera.operators.checks import CheckSpec
+    from tessera.plans import pipeline
+    from tessera.plans.check_specs import CHECK_SPECS
+    monkeypatch.setattr(pipeline, "LARGE", 0)
+    seen = []
+    count = pipeline.count_failures
+    monkeypatch.setattr(pipeline, "count_failures", lambda tables, specs, *a: seen.extend(specs) or count(tables, specs, *a))
+    failing = [CheckSpec("hub_account", "relationships", ("account_id",), to="hub_branch", field="branch_id"),
+               CheckSpec("dim_account", "unique", ("account_hub_key",)),
+               CheckSpec("source_accounts", "unique", ("customer_id",))]
+    wh, built = Warehouse(spark, scratch), set()
+    got = pipeline.check_models(wh, DriverTables(spark, SF), [*CHECK_SPECS, *failing], built, set())
+    assert got[:-3] == [0] * 209 and built == set()
+    t = DriverTables(spark, SF)
+    accounts = t.accounts(3)
+    orphans = accounts.join(t.branches(3), accounts.account_id == F.col("branch_id"), "left_anti").count()
+    versions = 1877 - 1500  # second versions, of as many accounts
+    assert got[-3:] == [orphans, versions, accounts.groupBy("customer_id").count().filter("count > 1").count()]
+    assert sorted(map(str, seen)) == sorted(map(str, [*CHECK_SPECS, *failing]))  # each once
+    wh.drop()
+
+
+def test_steps_hold_each_model_once_after_what_it_reads():
+    from tessera.plans.pipeline import build_steps, upstream, with_upstream
+    from tessera.plans.queries import MODELS
+    order = with_upstream(MODELS)
+    steps = build_steps(order)
+    assert sorted(m for s in steps for m in s) == sorted(order)
+    done = set()
+    for step in steps:
+        for m in step:
+            assert all(u in done or u in step for u in upstream(m)), m
+        done |= set(step)
+    # the largest source last: what others are built from is gone by then
+    assert [m for s in steps for m in s].index("dim_customer") < [m for s in steps for m in s].index("link_account_merchant")

@@ -247,3 +247,48 @@ def test_first_sightings_are_shuffled_once_for_rows_and_keys(spark, warehouse_sf
         got = new(True)
         assert sorted(map(str, got.collect())) == sorted(map(str, new(False).collect()))
         assert "ReusedExchange" in with_conf(spark, {"spark.sql.adaptive.enabled": "false"}, lambda: plan(new(True)))
+
+
+def test_checks_shuffle_nothing_where_tables_lie_by_the_key(spark, warehouse_sf0001):
+    from tessera.operators.checks import CheckSpec, model_failures
+    from tessera.plans.pipeline import dealt_by
+    wh = warehouse_sf0001
+    t = {n: wh.read("silver", n) for n in ("hub_account", "sat_account_details", "link_customer_account")}
+    t["fact_transactions"] = wh.read("gold", "fact_transactions")
+
+    def planned(spec):
+        return with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"},
+                         lambda: plan(model_failures(t[spec.model], [(0, spec)], t, dealt_by(wh))))
+
+    key = "account_hub_key"
+    for spec in [CheckSpec("hub_account", "unique", (key,)),
+                 CheckSpec("sat_account_details", "relationships", (key,), to="hub_account", field=key),
+                 CheckSpec("sat_account_details", "unique_combination", (key, "load_date"))]:
+        assert "Exchange hashpartitioning" not in planned(spec), spec
+    for spec in [CheckSpec("link_customer_account", "relationships", (key,), to="hub_account", field=key),
+                 CheckSpec("fact_transactions", "unique", ("transaction_hub_key",))]:
+        p = planned(spec)
+        # packed and counted before
+        assert p.index("Exchange hashpartitioning") < p.index("partial_count(1)") < p.index("unhex("), p
+
+
+def test_checks_count_any_values(spark):
+    """Keys that are md5 texts or not, numbers beside texts, nulls, scopes; dealt or not."""
+    import hashlib
+
+    from tessera.operators.checks import CheckSpec, run_checks
+    md5 = hashlib.md5(b"x").hexdigest()
+    t = spark.createDataFrame([(md5, 1, "1"), (md5, 2, "2"), (md5.upper(), 1, None), ("", None, "7"), (None, 7, "x"),
+                               (None, None, "")], "k string, n long, s string")
+    p = spark.createDataFrame([(md5, 1, "1"), (None, 2, "2")], "k string, n int, s string")
+    specs = [CheckSpec("t", "unique", ("k",)), CheckSpec("t", "unique", ("n",)), CheckSpec("t", "not_null", ("k",)),
+             CheckSpec("t", "relationships", ("k",), to="p", field="k"),
+             CheckSpec("t", "relationships", ("n",), to="p", field="n"),
+             CheckSpec("t", "relationships", ("n",), to="p", field="s"),
+             CheckSpec("t", "relationships", ("s",), to="p", field="n"),
+             CheckSpec("t", "unique_combination", ("k", "n")), CheckSpec("t", "unique_combination", ("k",)),
+             CheckSpec("t", "not_null", ("s",), where="n = 1"), CheckSpec("t", "unique", ("k",), where="n > 1"),
+             CheckSpec("t", "relationships", ("s",), to="p", field="s", where="n is null")]
+    want = [1, 1, 2, 2, 1, 1, 3, 0, 2, 1, 0, 2]
+    for dealt in (None, {"t": "k", "p": "k"}, {"t": "n"}):
+        assert [r.failures for r in run_checks({"t": t, "p": p}, specs, dealt).collect()] == want, dealt
