@@ -143,3 +143,33 @@ def test_counts_by_keys_that_are_no_md5(spark):
     got = gold.account_counts(dim)
     assert got.schema["customer_hub_key"].dataType.simpleString() == "string"
     assert rows(got) == sorted(map(str, [("c1", 2, 1, 1), (None, 1, 0, 0), ("A" * 32, 1, 0, 1), ("", 1, 0, 0)]))
+
+
+@pytest.mark.parametrize("slices", [1, 2, 4, 7])
+def test_slices_hold_each_row_once(spark, slices):
+    keys = spark.range(500).selectExpr("md5(string(id)) k").union(
+        spark.createDataFrame([(None,), ("",), ("zz",), ("40",), ("é",), ("F0",)], "k string"))
+    conds = gold.key_slices("k", slices)
+    assert len(conds) == slices
+    assert rows(keys) == sorted(r for c in conds for r in rows(keys.filter(c)))
+
+
+def test_the_key_travels_once(spark, warehouse_sf0001):
+    """The place that a row is dealt to holds its key."""
+    p = with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, lambda: plan(left_join_salted(
+        warehouse_sf0001.read("gold", "fact_transactions").select("account_hub_key", "amount_usd"),
+        warehouse_sf0001.read("silver", "link_customer_account").select("account_hub_key", "customer_hub_key"),
+        "account_hub_key", "customer_hub_key")))
+    dealt = p[p.index("Exchange hashpartitioning(_place"):].split("\n")[1]
+    assert "amount_usd" in dealt and "account_hub_key#" not in dealt.split("CASE")[0], dealt
+
+
+def test_star_joins_packed_keys(spark, warehouse_sf0001):
+    from tessera.operators import star
+    g = [warehouse_sf0001.read("gold", n) for n in
+         ("fact_transactions", "dim_customer", "dim_account", "dim_merchant", "dim_date")]
+    p = with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, lambda: plan(star.transactions_star(*g)))
+    for key in ("customer_hub_key", "account_hub_key", "merchant_hub_key", "transaction_hub_key"):
+        assert f"unhex({key}" in p, key
+    # the calendar comes last, so that its columns are in no other shuffle
+    assert p.index("Exchange hashpartitioning(date_key") < p.index("Exchange hashpartitioning(account_hub_key")
